@@ -10,11 +10,10 @@ from dataclasses import dataclass
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorekit.functions.columns import finite, unpivot_structs
-from scorekit.functions.columns import hash32
 from scorekit.operators.clean import MISSING_NUMBER
 from scorekit.operators.metrics import auc_and_ks
 
@@ -35,14 +34,14 @@ def assemble(df: DataFrame, features: Sequence[str], missing: float | None = MIS
 
 def make_classifier(kind: str, target: str, params: dict | None = None, seed: int = 42):
     params = {k: v for k, v in (params or {}).items() if k != "n_features"}
-    common = dict(featuresCol=VECTOR, labelCol=target, probabilityCol="_probability",
-                  rawPredictionCol="_raw", predictionCol="PRED")
-    if kind in ("lgbm", "xgboost", "catboost"):
-        return GBTClassifier(**common, seed=seed, **params)
-    if kind == "forest":
-        return RandomForestClassifier(**common, seed=seed, **params)
-    if kind == "logit":
-        return LogisticRegression(**common, **params)
+    common = dict(featuresCol=VECTOR, labelCol=target, predictionCol="PRED")
+    estimators = {"lgbm": GBTClassifier, "xgboost": GBTClassifier, "catboost": GBTClassifier,
+                  "forest": RandomForestClassifier, "logit": LogisticRegression}
+    if kind in estimators:
+        if kind != "logit":
+            common["seed"] = seed
+        estimator = estimators[kind](**common, **params)
+        return estimator.setProbabilityCol("_probability").setRawPredictionCol("_raw")
     raise ValueError(f"unknown classifier {kind!r}; known: {KINDS}")
 
 
@@ -194,10 +193,6 @@ def linear_importance(df: DataFrame, coefficients: dict[str, float], signed: boo
                                      for n in names])
 
 
-def _rotated(column: str, key: Sequence[str], seed: int) -> Column:
-    return hash32(*key, seed=f"{seed}-{column}")
-
-
 def permutation_importance(df: DataFrame, classifier: Classifier, key: Sequence[str],
                            seed: int = 7) -> DataFrame:
     """Loss of AUC when one feature is exchanged between rows.

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from scorekit.functions.columns import hash32
 from scorekit.operators.sample import sample_rows, stratified_sample
 
+UNREADABLE = (PySparkException, Py4JJavaError)
 EXCEL = (".xls", ".xlsx")
 
 
@@ -33,7 +33,7 @@ def read_table(spark: SparkSession, path: str, delimiter: str | None = None) ->
     _reject_excel(path)
     try:
         return _parquet(spark, path)
-    except PySparkException:
+    except UNREADABLE:
         return _delimited(spark, path, delimiter)
 
 
@@ -57,7 +57,7 @@ def read_by_extension(spark: SparkSession, path: str, delimiter: str = "\t", tar
     else:
         try:
             df = _parquet(spark, path)
-        except PySparkException as error:
+        except UNREADABLE as error:
             raise ValueError(f"Unsupported file format: {path}") from error
     if keep_fraction is None:
         return df
@@ -72,11 +72,3 @@ def read_with_volume(spark: SparkSession, path: str, fraction: float | None = No
     if fraction is not None:
         df = sample_rows(df, fraction, seed, list(key or df.columns))
     return df, len(df.columns), df.count()
-
-
-def row_key(*columns, seed=0) -> Column:
-    """Stable text key of a row from its natural key columns."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns]))
-
-
-__all__ = ["read_table", "read_sampled", "read_by_extension", "read_with_volume", "row_key", "hash32"]

@@ -259,9 +259,9 @@ def _quantile_sql(score, landmarks):
 q AS (SELECT quantile_cont({score}, [{probs}]) AS v, [{probs}] AS p FROM sampled WHERE sample = 'train'),
 marks AS (SELECT v, min(p) AS lo, max(p) AS hi FROM (SELECT unnest(v) AS v, unnest(p) AS p FROM q) GROUP BY v),
 steps AS (SELECT v, lo, hi, lead(v) OVER (ORDER BY v) AS v1, lead(lo) OVER (ORDER BY v) AS lo1 FROM marks),
-ends AS (SELECT min(v) AS a, max(v) AS b FROM marks),
+ends AS (SELECT min(v) AS lowest, max(v) AS highest FROM marks),
 placed AS (SELECT s.*, steps.*, ends.* FROM sampled s ASOF LEFT JOIN steps ON s.{score} >= steps.v, ends)""") + f"""
-SELECT {', '.join(ROW_KEY)}, {rs(f'''CASE WHEN {score} <= a THEN 0 WHEN {score} >= b THEN 1 WHEN {score} = v THEN (lo + hi) / 2
+SELECT {', '.join(ROW_KEY)}, {rs(f'''CASE WHEN {score} <= lowest THEN 0 WHEN {score} >= highest THEN 1 WHEN {score} = v THEN (lo + hi) / 2
   ELSE hi + (lo1 - hi) * ({score} - v) / (v1 - v) END''')} AS calibrated_prob FROM placed"""
 
 

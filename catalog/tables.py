@@ -171,19 +171,19 @@ def _cell(i: int) -> tuple[int, int]:
 
 def wide_features(spark, sf, columns) -> DataFrame:
     """One row per customer; column i counts or sums scaled prices of one calendar month (NULL when
-    absent). Sums are divided by 7 so that no derived value ends on a rounding tie."""
+    absent). Sums are divided by an odd constant so that no derived value ends on a rounding tie."""
     items = load(spark, sf, "lineitem").join(
         load(spark, sf, "orders").select("o_orderkey", "o_custkey"),
         F.col("l_orderkey") == F.col("o_orderkey"))
     slim = items.select(F.col("o_custkey").cast("string").alias("id"),
                         F.month("l_shipdate").alias("_m"), "l_linenumber",
-                        F.round(F.col("l_extendedprice") / 100000, 4).alias("_x"))
+                        (F.col("l_extendedprice") / 100000).alias("_x"))
     sums = []
     for i, c in enumerate(columns):
         m, s = _cell(i)
         here = (F.col("_m") == m) & (F.col("l_linenumber") <= 7 - s % 5)
         sums.append(F.sum(F.when(here, 1.0)).alias(c) if i % 3 == 0
-                    else (F.round(F.sum(F.when(here, F.col("_x"))), 4) / 7).alias(c))
+                    else (F.round(F.sum(F.when(here, F.col("_x"))), 7) / 7.3890561).alias(c))
     return slim.groupBy("id").agg(*sums)
 
 
@@ -193,11 +193,11 @@ def wide_sql(columns) -> str:
         m, s = _cell(i)
         here = f"m = {m} AND l_linenumber <= {7 - s % 5}"
         cells.append(f'CAST(nullif(count(*) FILTER ({here}), 0) AS DOUBLE) AS "{c}"' if i % 3 == 0
-                     else f'round(sum(x) FILTER ({here}), 4) / 7 AS "{c}"')
+                     else f'round(sum(x) FILTER ({here}), 7) / 7.3890561::DOUBLE AS "{c}"')
     sums = ",\n".join(cells)
     return f"""items AS (
   SELECT CAST(o_custkey AS VARCHAR) AS id, month(l_shipdate) AS m, l_linenumber,
-         round(l_extendedprice / 100000, 4) AS x
+         l_extendedprice / 100000 AS x
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 wide AS (SELECT id, {sums} FROM items GROUP BY id)"""
 

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scorekit.functions.columns import finite, hash32
 from scorekit.operators import profile
@@ -106,9 +107,7 @@ def shuffled_copies(df: DataFrame, features: Sequence[str], key: Sequence[str],
     shadows = [f"shadow_{f}" for f in features]
     dealt = (df.withColumn("_deal", hash32(*key, seed=seed))
              .repartition("_deal").sortWithinPartitions("_deal", *key))
-    schema = df.schema
-    for name in shadows:
-        schema = schema.add(name, "double")
+    schema = T.StructType([*df.schema.fields, *[T.StructField(s, T.DoubleType()) for s in shadows]])
     source = dealt.select(*df.columns, *[finite(f).alias(s) for f, s in zip(features, shadows)])
     first = len(df.columns)
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from scorekit.functions.columns import finite, unpivot_structs
 from scorekit.functions.order_stats import row_rank
+from scorekit.functions.skew import spread_join
 from scorekit.operators.clean import MISSING_NUMBER, replace_missing
-from scorekit.session import lookup_join
+from scorekit.session import small_table, stage
 
 RARE_CODE = 1
 
@@ -35,18 +36,24 @@ def frequency_ranks(df: DataFrame, columns: Sequence[str], min_count: int = 40)
 
 @dataclass(frozen=True)
 class RankCountModel:
-    """Frequency codes: known values get their rank, unseen or rare ones 1, missing ``set_nans``."""
+    """Frequency codes: known values get their rank, unseen or rare ones 1, missing ``set_nans``.
+
+    ``local`` tells that the mapping was checked to be small and lives in memory.
+    """
 
     mapping: DataFrame
     columns: Sequence[str]
     set_nans: int = -999
+    local: bool = False
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = df
         for c in self.columns:
             codes = (self.mapping.where(F.col("variable") == c)
                      .select(F.col("value").alias("_value"), F.col("code").alias("_code")))
-            joined = lookup_join(out.withColumn("_value", F.col(c).cast("string")), codes, "_value")
+            keyed = out.withColumn("_value", F.col(c).cast("string"))
+            joined = (keyed.join(F.broadcast(codes), "_value", "left") if self.local
+                      else spread_join(keyed, codes, ["_value"]))
             code = (F.when(F.col(c).isNull(), F.lit(self.set_nans))
                     .otherwise(F.coalesce(F.col("_code"), F.lit(RARE_CODE))).cast("int"))
             out = joined.select(*[code.alias(c) if x == c else F.col(x) for x in out.columns])
@@ -60,7 +67,12 @@ class RankCountEncoder:
     min_count: int = 40
 
     def fit(self, df: DataFrame) -> RankCountModel:
-        return RankCountModel(frequency_ranks(df, self.columns, self.min_count), self.columns, self.set_nans)
+        """Count once: the mapping becomes an in-memory relation, or a stored table when it is long."""
+        ranks = frequency_ranks(df, self.columns, self.min_count)
+        local = small_table(ranks)
+        if local is not None:
+            return RankCountModel(local, self.columns, self.set_nans, True)
+        return RankCountModel(stage(ranks, "rank-count"), self.columns, self.set_nans)
 
 
 @dataclass(frozen=True)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from scorekit.functions.columns import ratio
 from scorekit.functions.feature_names import AMOUNTS, BEHAVIOUR_MONTHS
+from scorekit.functions.skew import hot_keys, spread_join
 from scorekit.operators.clean import dedup_by_key, postcode_prefixes
 
 COVERAGE_PREFIX = "FLAG_COBERTURA_DADOS_"
@@ -42,22 +43,25 @@ def shifted_features(source: FeatureSource, id_column: str, month: str) -> DataF
         F.lit(1).alias(COVERAGE_PREFIX + source.name))
 
 
-def join_features(base: DataFrame, source: FeatureSource, id_column: str, month: str) -> DataFrame:
+def join_features(base: DataFrame, source: FeatureSource, id_column: str, month: str,
+                  hot: Sequence[str] | None = None) -> DataFrame:
     """Left join of one source plus its 0/1 coverage flag.
 
-    Both sides are hashed on (id, month). A hot (id, month) on the base side is split at run time by
-    adaptive skew-join handling; the feature side has one row per key.
+    Both sides are hashed on (id, month). Keys that own very many base rows (``hot``, looked up when
+    not given) are dealt over several tasks.
     """
     flag = COVERAGE_PREFIX + source.name
     keyed = base.withColumn(id_column, F.col(id_column).cast("string"))
-    joined = keyed.join(shifted_features(source, id_column, month), [id_column, month], "left")
+    joined = spread_join(keyed, shifted_features(source, id_column, month), [id_column, month], "left", hot)
     return joined.select(*[F.coalesce(F.col(flag), F.lit(0)).alias(flag) if c == flag else F.col(c)
                            for c in joined.columns])
 
 
 def enrich(base: DataFrame, sources: Sequence[FeatureSource], id_column: str, month: str) -> DataFrame:
-    """Fold all sources onto the base; every join shares the (id, month) partitioning."""
-    return reduce(lambda df, source: join_features(df, source, id_column, month), sources, base)
+    """Fold all sources onto the base; every join shares one partitioning and one list of hot keys."""
+    keyed = base.withColumn(id_column, F.col(id_column).cast("string"))
+    hot = hot_keys(keyed, [id_column, month])
+    return reduce(lambda df, source: join_features(df, source, id_column, month, hot), sources, keyed)
 
 
 def positive_flags(df: DataFrame, amounts: dict[str, str]) -> DataFrame:
@@ -108,5 +112,5 @@ def join_registry(base: DataFrame, registry: DataFrame, id_column: str, registry
     """Company registry: latest row per id, left join, postcode prefixes of 2 to 5 digits."""
     latest = dedup_by_key(registry.select(registry_id, updated, *columns), [registry_id], [updated])
     keyed = latest.select(F.col(registry_id).cast("string").alias(id_column), *columns)
-    joined = base.withColumn(id_column, F.col(id_column).cast("string")).join(keyed, id_column, "left")
+    joined = spread_join(base.withColumn(id_column, F.col(id_column).cast("string")), keyed, [id_column])
     return postcode_prefixes(joined, postcode)

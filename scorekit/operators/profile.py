@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from scorekit.functions.columns import (bin_index, categorical_columns, finite, numeric_columns, ratio,
                                         unpivot_structs)
 from scorekit.functions.order_stats import bucket_edges, exact_quantiles, running_sums, with_buckets
+from scorekit.functions.skew import HOT_KEYS, HOT_ROWS, key_text, spread_join
 from scorekit.operators.metrics import feature_auc
 
 JVM_CORRELATION_COLUMNS = 12
@@ -112,7 +113,11 @@ def _pair_entries(row, pairs, columns):
 def _corr_by_aggregates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
     clean = df.select(*[finite(c).alias(c) for c in columns])
-    row = clean.agg(*[F.corr(columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in pairs])
+
+    def corr(a, b):
+        # not the built-in corr: it raises on a constant column in ANSI mode
+        return ratio(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b)))
+    row = clean.agg(*[corr(columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in pairs])
     return unpivot_structs(row, [], _pair_entries(row, pairs, columns))
 
 
@@ -151,7 +156,11 @@ def _corr_by_blocks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
     vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
     cov = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
-    spread = F.when((vx > 0) & (vy > 0), F.sqrt(vx) * F.sqrt(vy))
+    # a column whose spread is rounding noise around its mean counts as constant
+    noise = F.lit([float(c * 1e-10) ** 2 for c in centre])
+    squares = F.col("n") * F.col("n")
+    moving = (vx > squares * F.get(noise, F.col("i"))) & (vy > squares * F.get(noise, F.col("j")))
+    spread = F.when(moving, F.sqrt(vx) * F.sqrt(vy))
     labels = F.array(*[F.lit(c) for c in columns])
     return total.select(F.get(labels, F.col("i")).alias("feature_1"),
                         F.get(labels, F.col("j")).alias("feature_2"), ratio(cov, spread).alias("r"))
@@ -239,7 +248,10 @@ def spearman_pairs(df: DataFrame, columns: Sequence[str], key: Sequence[str]) ->
     counted = long.groupBy("_i", "_bucket", "_value").agg(F.count("*").alias("n"))
     ranks = (running_sums(counted, ["_i"], "_bucket", "_value", ["n"])
              .select("_i", "_value", (F.col("cum_n") - (F.col("n") - 1) / 2).alias("_rank")))
-    wide = (long.select("_row", "_i", "_value").join(ranks, ["_i", "_value"])
+    hot = (counted.where(F.col("n") >= HOT_ROWS).orderBy(F.desc("n")).limit(HOT_KEYS)
+           .select(key_text(["_i", "_value"]).alias("key")).collect())
+    wide = (spread_join(long.select("_row", "_i", "_value"), ranks, ["_i", "_value"], "inner",
+                        [h["key"] for h in hot])
             .groupBy("_row").agg(*[F.max(F.when(F.col("_i") == i, F.col("_rank"))).alias(c)
                                    for i, c in enumerate(columns)]))
     return pearson_pairs(wide, columns)

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from scorekit.functions.columns import hash32
 from scorekit.functions.order_stats import row_rank
+from scorekit.functions.skew import spread_join
 from scorekit.session import lookup_join, parallel_buckets
 
 HASH_RANGE = 1 << 32
@@ -114,7 +115,7 @@ def split_samples(df: DataFrame, id_column: str, month: str, **options) -> dict[
 
 def rows_of_entities(df: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
     """All rows of the listed entities."""
-    return df.join(ids.select(id_column).distinct(), id_column, "left_semi")
+    return spread_join(df, ids.select(id_column).distinct(), [id_column], "left_semi")
 
 
 def split_by_recency(df: DataFrame, month: str, n_recent: int = 1) -> tuple[DataFrame, DataFrame]:

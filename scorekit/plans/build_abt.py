@@ -54,11 +54,12 @@ def build_abt(df: DataFrame, spec: BaseSpec, sources: Sequence[enrich.FeatureSou
               features: Sequence[str] | None = None, staged_path: str | None = None) -> DataFrame:
     """The whole job: one lazy plan per stage, a ``sample`` column instead of four frames.
 
-    The enriched table is written once and read back, so the derived-feature projection, the month
-    scan of the split and any later stage start from storage.
+    The prepared base is staged because the enrichment reads it twice (hot keys, join); the enriched
+    table is staged so that derived features, the month scan of the split and later jobs start from
+    storage.
     """
-    enriched = stage(enrich_base(prepare_base(df, spec, keep_fraction), spec, sources), "enriched",
-                     staged_path)
+    base = stage(prepare_base(df, spec, keep_fraction), "base")
+    enriched = stage(enrich_base(base, spec, sources), "enriched", staged_path)
     marked = sample.assign_sample(enriched, spec.id_column, spec.month, n_recent)
     wide = derive.derive_selected(marked, bases) if bases else marked
     keys = [spec.id_column, spec.date_column, spec.month, spec.target, "sample"]

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorekit.functions.skew import spread_join
+
 LOOKUP_ROWS = 50_000
 _local_folders: dict[str, str] = {}
 
@@ -59,9 +61,11 @@ def small_table(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame | None:
 
 def lookup_join(big: DataFrame, lookup: DataFrame, on, how: str = "left",
                 max_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """Join a lookup: broadcast once its size is checked, else an ordinary shuffled join."""
+    """Join a lookup: broadcast once its size is checked, else a shuffled join that spreads hot keys."""
     local = small_table(lookup, max_rows)
-    return big.join(lookup, on, how) if local is None else big.join(F.broadcast(local), on, how)
+    if local is not None:
+        return big.join(F.broadcast(local), on, how)
+    return spread_join(big, lookup, [on] if isinstance(on, str) else on, how)
 
 
 def parallel_buckets(spark: SparkSession) -> int:

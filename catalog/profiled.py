@@ -98,19 +98,18 @@ def value_ranks(spark, sf):
 
 
 SPEARMAN_FEATURES = ["l_quantity", "l_extendedprice", "net_price", "l_discount"]
-_ROWID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 _SPEARMAN_RANKS = "rk AS (SELECT " + ", ".join(
     f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}"
     for c in SPEARMAN_FEATURES) + " FROM feats)"
 
 
 def spearman(spark, sf):
-    return rounded(profile.spearman_pairs(feature_frame(spark, sf), SPEARMAN_FEATURES, ROW_KEY), "r")
+    return rounded(profile.spearman_pairs(feature_frame(spark, sf), SPEARMAN_FEATURES), "r")
 
 
 def smart_correlated(spark, sf):
     return rounded(profile.smart_correlated_drops(feature_frame(spark, sf), SPEARMAN_FEATURES, "target",
-                                                  ROW_KEY, 0.8), "auc")
+                                                  0.8), "auc")
 
 
 def f_statistic(spark, sf):
@@ -366,7 +365,7 @@ def coordinator(spark, sf):
     df = stage(_model_frame(spark, sf).where("sample = 'train'"), "model-frame")
     found = select.select_features(df, MODEL_FEATURES, "target", ROW_KEY, ("catboost", "mrmr"), (3,), (100,), (3,),
                                    model_params=FAST_TREES)
-    return feature_list(spark, select.prune_correlated(df, found, "target", ROW_KEY, 0.8))
+    return feature_list(spark, select.prune_correlated(df, found, "target", 0.8))
 
 
 STATIC_COLUMNS = [*NUMERIC_FEATURES, "mostly_null", "l_returnflag", "l_linestatus", "target"]

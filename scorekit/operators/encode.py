@@ -91,8 +91,10 @@ def fit_standard(df: DataFrame, columns: Sequence[str]) -> LinearScaler:
     """Mean and population deviation over the finite values; a constant column is only centred."""
     row = df.agg(*[F.avg(finite(c)).alias(f"m_{i}") for i, c in enumerate(columns)],
                  *[F.stddev_pop(finite(c)).alias(f"s_{i}") for i, c in enumerate(columns)]).first()
-    return LinearScaler({c: row[f"m_{i}"] or 0.0 for i, c in enumerate(columns)},
-                        {c: row[f"s_{i}"] or 1.0 for i, c in enumerate(columns)})
+    means = {c: row[f"m_{i}"] or 0.0 for i, c in enumerate(columns)}
+    spreads = {c: row[f"s_{i}"] or 0.0 for i, c in enumerate(columns)}
+    # a spread that is only rounding noise of the mean means a constant column
+    return LinearScaler(means, {c: s if s > 1e-10 * abs(means[c]) else 1.0 for c, s in spreads.items()})
 
 
 def fit_max_abs(df: DataFrame, columns: Sequence[str]) -> LinearScaler:

@@ -121,11 +121,13 @@ def _corr_by_aggregates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return unpivot_structs(row, [], _pair_entries(row, pairs, columns))
 
 
-def _corr_by_blocks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _corr_by_blocks(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
     """Wide inputs: every task reduces its rows to pairwise-complete cross products (centred on the
-    global means for stability); one small row per pair and task is then summed."""
+    global means for stability); one small row per pair and task is then summed. ``weight`` counts a
+    row several times."""
     k = len(columns)
-    clean = df.select(*[finite(c).alias(c) for c in columns])
+    times = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    clean = df.select(*[finite(c).alias(c) for c in columns], times.alias("_times"))
     first = clean.agg(*[F.avg(c).alias(c) for c in columns]).first()
     centre = np.array([0.0 if first[c] is None else first[c] for c in columns])
     upper_i, upper_j = np.tril_indices(k, -1)
@@ -138,10 +140,11 @@ def _corr_by_blocks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                                     for c in range(k)])
             seen = (~np.isnan(data)).astype(float)
             x = np.where(seen > 0, data - centre, 0.0)
-            sums[0] += seen.T @ seen
-            sums[1] += x.T @ seen
-            sums[2] += (x * x).T @ seen
-            sums[3] += x.T @ x
+            often = seen * batch.column(k).to_numpy(zero_copy_only=False)[:, None]
+            sums[0] += seen.T @ often
+            sums[1] += x.T @ often
+            sums[2] += (x * x).T @ often
+            sums[3] += x.T @ (x * often)
         n, s, ss, sp = sums
         i, j = upper_i, upper_j
         yield pa.RecordBatch.from_arrays(
@@ -232,32 +235,35 @@ def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                          (F.col("cum_n") - (F.col("n") - 1) / 2).alias("avg_rank"))
 
 
-def spearman_pairs(df: DataFrame, columns: Sequence[str], key: Sequence[str]) -> DataFrame:
+def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Spearman correlation of every pair: tie-averaged ranks over each column's own values, then
     pairwise-complete Pearson.
 
-    Ranks travel once in long form - (row key, feature, value) meets (feature, value) - and return to
-    wide form by row key, whatever the number of columns.
+    Equal rows are merged into one with a weight, so a row is identified by its values. Ranks travel
+    once in long form - (row, feature, value) meets (feature, value) - and return to wide form by
+    row, whatever the number of columns.
     """
     edges = bucket_edges(df, columns)
-    clean = with_buckets(df.select(F.struct(*key).alias("_row"), *[finite(c).alias(c) for c in columns]),
-                         edges)
+    merged = (df.select(*[finite(c).alias(c) for c in columns]).groupBy(*columns)
+              .agg(F.count("*").alias("_times")))
+    clean = with_buckets(merged.withColumn("_row", F.md5(key_text(columns))), edges)
     entries = [F.struct(F.lit(i).alias("_i"), F.col(f"{c}_bucket").alias("_bucket"),
                         F.col(c).alias("_value")) for i, c in enumerate(columns)]
-    long = unpivot_structs(clean, ["_row"], entries).where(F.col("_value").isNotNull())
-    counted = long.groupBy("_i", "_bucket", "_value").agg(F.count("*").alias("n"))
+    long = unpivot_structs(clean, ["_row", "_times"], entries).where(F.col("_value").isNotNull())
+    counted = long.groupBy("_i", "_bucket", "_value").agg(F.sum("_times").alias("n"))
     ranks = (running_sums(counted, ["_i"], "_bucket", "_value", ["n"])
              .select("_i", "_value", (F.col("cum_n") - (F.col("n") - 1) / 2).alias("_rank")))
     hot = (counted.where(F.col("n") >= HOT_ROWS).orderBy(F.desc("n")).limit(HOT_KEYS)
            .select(key_text(["_i", "_value"]).alias("key")).collect())
-    wide = (spread_join(long.select("_row", "_i", "_value"), ranks, ["_i", "_value"], "inner",
+    wide = (spread_join(long.select("_row", "_times", "_i", "_value"), ranks, ["_i", "_value"], "inner",
                         [h["key"] for h in hot])
-            .groupBy("_row").agg(*[F.max(F.when(F.col("_i") == i, F.col("_rank"))).alias(c)
+            .groupBy("_row").agg(F.max("_times").alias("_times"),
+                                 *[F.max(F.when(F.col("_i") == i, F.col("_rank"))).alias(c)
                                    for i, c in enumerate(columns)]))
-    return pearson_pairs(wide, columns)
+    return _corr_by_blocks(wide, columns, "_times")
 
 
-def smart_correlated_drops(df: DataFrame, features: Sequence[str], target: str, key: Sequence[str],
+def smart_correlated_drops(df: DataFrame, features: Sequence[str], target: str,
                            threshold: float = 0.8) -> DataFrame:
     """Group features whose Spearman correlation exceeds the threshold and keep, per group, the one
     with the best univariate AUC.
@@ -265,7 +271,7 @@ def smart_correlated_drops(df: DataFrame, features: Sequence[str], target: str,
     Groups are formed in feature order: an unassigned feature opens a group with all unassigned
     features correlated to it. Only the list of correlated pairs reaches the driver.
     """
-    strong = spearman_pairs(df, features, key).where(F.abs("r") > threshold).collect()
+    strong = spearman_pairs(df, features).where(F.abs("r") > threshold).collect()
     linked: dict[str, set[str]] = {f: set() for f in features}
     for r in strong:
         linked[r["feature_1"]].add(r["feature_2"])

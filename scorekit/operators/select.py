@@ -189,13 +189,13 @@ def select_features(train: DataFrame, features: Sequence[str], target: str, key:
 
 
 def prune_correlated(train: DataFrame, selections: dict[str, list[str]], target: str,
-                     key: Sequence[str], threshold: float = 0.8) -> dict[str, list[str]]:
+                     threshold: float = 0.8) -> dict[str, list[str]]:
     """Spearman pruning of every selected list."""
     out = {}
     for method, names in selections.items():
         drops = set()
         if len(names) > 1:
-            table = profile.smart_correlated_drops(train, names, target, key, threshold)
+            table = profile.smart_correlated_drops(train, names, target, threshold)
             drops = {r["feature"] for r in table.where("dropped").collect()}
         out[method] = [f for f in names if f not in drops]
     return out

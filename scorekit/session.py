@@ -73,3 +73,14 @@ def parallel_buckets(spark: SparkSession) -> int:
     configured shuffle width, within bounds that keep the edge list small."""
     width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(64, min(4096, width))
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """Session settings that suit these jobs: run-time re-planning and skew handling, and no
+    whole-stage method so large that the JVM refuses to compile it (wide derived features)."""
+    for key, value in {"spark.sql.adaptive.enabled": "true",
+                       "spark.sql.adaptive.skewJoin.enabled": "true",
+                       "spark.sql.adaptive.coalescePartitions.enabled": "true",
+                       "spark.sql.codegen.hugeMethodLimit": "8000"}.items():
+        spark.conf.set(key, value)
+    return spark

@@ -114,7 +114,7 @@ def test_all_relevant_and_coordinator(df):
     found = select.select_features(part, FEATURES, "y", ["k"], ("catboost", "mrmr"), (1,), (100,), (2,), model_params=TREES)
     assert found["catboost_top1"] == [SIGNAL] and found["mrmr_top2"][0] == SIGNAL
     twin = part.withColumn("twin", F.col(SIGNAL) * 2 + 1)
-    pruned = select.prune_correlated(twin, {"m": [SIGNAL, "twin", NOISE]}, "y", ["k"], 0.9)
+    pruned = select.prune_correlated(twin, {"m": [SIGNAL, "twin", NOISE]}, "y", 0.9)
     assert len(pruned["m"]) == 2 and NOISE in pruned["m"]
 
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.tables import Query, r, rs, wide_features, wide_sql, with_
+from catalog.tables import Query, rs, wide_features, wide_sql, with_
 from scorekit.functions import feature_names as names
 from scorekit.operators import derive
 
@@ -13,8 +12,8 @@ PLAIN = [f"x{i}" for i in range(1, 6)]
 
 
 def _rounded_doubles(df):
-    return df.select([r(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-                      for f in df.schema.fields])
+    return df.selectExpr(*[f"rint(`{f.name}` * 1000000D) / 1000000D + 0D AS `{f.name}`"
+                           if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`" for f in df.schema.fields])
 
 
 # independent SQL formulations --------------------------------------------------------------------

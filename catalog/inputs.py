@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.tables import (BASE, FEATURES, SCORED, STORE, STORE2, STORE_FEATURES, ROW_KEY, Query,
                             behaviour_rows, behaviour_sql, feature_frame, load, md5_32, monthly_store,
-                            orders_base, r, rounded, rs, scored, second_store, with_)
+                            orders_base, r, rounded, rs, scored, second_store, stored, with_)
 from scorekit.functions.feature_names import AMOUNTS, BEHAVIOUR_MONTHS
 from scorekit.operators import clean, enrich, reports, sample, target
 from scorekit.operators.metrics import feature_auc
@@ -118,7 +118,8 @@ def rewrite_without(spark, sf):
 
 def feature_list_table(spark, sf):
     """Brands by frequency, per size, persisted as a selection table and read back."""
-    quality = feature_auc(feature_frame(spark, sf), ["l_quantity", "l_extendedprice", "l_tax"], "target")
+    quality = feature_auc(stored(feature_frame(spark, sf), "l_quantity", "l_extendedprice", "l_tax", "target"),
+                          ["l_quantity", "l_extendedprice", "l_tax"], "target")
     ranked = [x["feature"] for x in quality.orderBy(F.desc("auc"), "feature").collect()]
     path = shared_path(spark, "selection")
     writers.save_feature_list(spark, {"auc_top3": ranked, "auc_top1": ranked[:1]}, path)
@@ -290,7 +291,7 @@ STATUS_FEATURES = ["l_quantity", "l_extendedprice", "l_tax", "net_price"]
 
 
 def removal_status(spark, sf):
-    quality = feature_auc(feature_frame(spark, sf), STATUS_FEATURES, "target")
+    quality = feature_auc(stored(feature_frame(spark, sf), *STATUS_FEATURES, "target"), STATUS_FEATURES, "target")
     report = quality.where(F.col("auc") < 0.55).select(F.col("feature").alias("FEATURE_NAME"),
                                                       F.lit("weak").alias("REASON_FOR_REMOVAL"))
     return reports.feature_status(spark, [*STATUS_FEATURES, "id"], report, ["id"])

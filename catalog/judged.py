@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.inputs import auc_sql
 from catalog.tables import (FEATURES, NUMERIC_FEATURES, ROW_KEY, SAMPLED, SCORED, Query, feature_frame,
-                            load, r, rounded, rs, scored, with_)
+                            load, r, rounded, rs, scored, stored, with_)
 from scorekit.operators import metrics, reports
 
 
@@ -136,7 +136,8 @@ IMPORTANCE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "
 
 
 def _importance(spark, sf):
-    auc = metrics.feature_auc(feature_frame(spark, sf), IMPORTANCE_FEATURES, "target")
+    auc = metrics.feature_auc(stored(feature_frame(spark, sf), *IMPORTANCE_FEATURES, "target"),
+                              IMPORTANCE_FEATURES, "target")
     return auc.select("feature", F.round(F.col("auc") - 0.4, 6).alias("importance"))
 
 

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from catalog.inputs import auc_sql
 from catalog.tables import (FEATURES, NUMERIC_FEATURES, ROW_KEY, SAMPLED, SCORED, Query, feature_frame,
-                            load, r, rounded, rs, scored, with_)
+                            load, r, rounded, rs, scored, stored, with_)
 from scorekit.operators import calibrate, encode, profile, reports, select, train
 from scorekit.operators.metrics import auc_and_ks, feature_auc
-from scorekit.operators.sample import assign_sample, split_by_recency
+from scorekit.operators.sample import split_by_recency
 from scorekit.plans import select_features as filters
 from scorekit.plans import train_and_report as reporting
 from scorekit.session import stage
@@ -29,12 +29,14 @@ IV_TEXT = ["l_returnflag", "l_linestatus"]
 
 
 def woe_table(spark, sf):
-    bins = profile.woe_bins(feature_frame(spark, sf), "target", IV_NUMERIC, IV_TEXT)
+    bins = profile.woe_bins(stored(feature_frame(spark, sf), *IV_NUMERIC, *IV_TEXT, "target"), "target",
+                            IV_NUMERIC, IV_TEXT)
     return bins.select("variable", "n", "events", r("woe").alias("woe"), r("iv").alias("iv"))
 
 
 def information_value(spark, sf):
-    return rounded(profile.information_value(feature_frame(spark, sf), "target", IV_NUMERIC, IV_TEXT), "iv")
+    df = stored(feature_frame(spark, sf), *IV_NUMERIC, *IV_TEXT, "target")
+    return rounded(profile.information_value(df, "target", IV_NUMERIC, IV_TEXT), "iv")
 
 
 def _woe_sql():
@@ -78,19 +80,20 @@ def matrix(spark, sf):
 
 
 def keep_by_variance(spark, sf):
-    df = feature_frame(spark, sf)
+    df = stored(feature_frame(spark, sf), *CORR_FEATURES)
     out = profile.drop_by_variance(df, profile.correlated_pairs(df, 0.8, CORR_FEATURES), CORR_FEATURES)
     return out.select("feature_1", "feature_2", "drop_feature")
 
 
 def keep_by_auc(spark, sf):
-    df = feature_frame(spark, sf)
+    df = stored(feature_frame(spark, sf), *CORR_FEATURES, "target")
     out = profile.drop_by_auc(df, profile.correlated_pairs(df, 0.8, CORR_FEATURES), CORR_FEATURES, "target")
     return rounded(out, "value_1", "value_2")
 
 
 def univariate_auc(spark, sf):
-    return rounded(feature_auc(feature_frame(spark, sf), CORR_FEATURES, "target"), "auc")
+    df = stored(feature_frame(spark, sf), *CORR_FEATURES, "target")
+    return rounded(feature_auc(df, CORR_FEATURES, "target"), "auc")
 
 
 def value_ranks(spark, sf):
@@ -104,12 +107,12 @@ _SPEARMAN_RANKS = "rk AS (SELECT " + ", ".join(
 
 
 def spearman(spark, sf):
-    return rounded(profile.spearman_pairs(feature_frame(spark, sf), SPEARMAN_FEATURES), "r")
+    return rounded(profile.spearman_pairs(stored(feature_frame(spark, sf), *SPEARMAN_FEATURES), SPEARMAN_FEATURES), "r")
 
 
 def smart_correlated(spark, sf):
-    return rounded(profile.smart_correlated_drops(feature_frame(spark, sf), SPEARMAN_FEATURES, "target",
-                                                  0.8), "auc")
+    df = stored(feature_frame(spark, sf), *SPEARMAN_FEATURES, "target")
+    return rounded(profile.smart_correlated_drops(df, SPEARMAN_FEATURES, "target", 0.8), "auc")
 
 
 def f_statistic(spark, sf):
@@ -126,7 +129,8 @@ def _f_sql():
 
 
 def mrmr(spark, sf):
-    names = profile.mrmr_ranking(feature_frame(spark, sf), NUMERIC_FEATURES, "target", 4)
+    df = stored(feature_frame(spark, sf), *NUMERIC_FEATURES, "target")
+    names = profile.mrmr_ranking(df, NUMERIC_FEATURES, "target", 4)
     return spark.createDataFrame([(i, n) for i, n in enumerate(names, 1)], "rank int, feature string")
 
 
@@ -168,13 +172,13 @@ SCALED = ["l_quantity", "l_extendedprice", "line_gap"]
 
 
 def standard_scaled(spark, sf):
-    df = assign_sample(feature_frame(spark, sf), "l_orderkey", "data_ref1").select(*ROW_KEY, "sample", *SCALED)
+    df = stored(feature_frame(spark, sf, True), *ROW_KEY, "sample", *SCALED)
     fitted = encode.fit_standard(df.where("sample = 'train'"), SCALED)
     return rounded(fitted.transform(df), *SCALED)
 
 
 def max_abs_scaled(spark, sf):
-    df = assign_sample(feature_frame(spark, sf), "l_orderkey", "data_ref1").select(*ROW_KEY, "sample", *SCALED)
+    df = stored(feature_frame(spark, sf, True), *ROW_KEY, "sample", *SCALED)
     filled = df.select(*ROW_KEY, "sample", *[F.coalesce(F.col(c), F.lit(-99999.0)).alias(c) for c in SCALED])
     fitted = encode.fit_max_abs(filled.where("sample = 'train'"), SCALED)
     return rounded(fitted.transform(filled), *SCALED)
@@ -186,9 +190,9 @@ sfeats AS (SELECT *, CASE WHEN l_linenumber > 1 THEN l_linenumber * l_quantity E
 
 def _recipe(kind):
     def run(spark, sf):
-        df = assign_sample(feature_frame(spark, sf), "l_orderkey", "data_ref1").select(
-            *ROW_KEY, "sample", "data_ref1", "line_gap", "l_quantity",
-            F.when(F.col("l_linenumber") > 2, F.col("l_returnflag")).alias("l_returnflag"))
+        df = stored(feature_frame(spark, sf, True).withColumn(
+            "l_returnflag", F.when(F.col("l_linenumber") > 2, F.col("l_returnflag"))),
+            *ROW_KEY, "sample", "data_ref1", "line_gap", "l_quantity", "l_returnflag")
         fitted = encode.fit_preprocessor(kind, df.where("sample = 'train'"), ["line_gap", "l_quantity"],
                                          ["l_returnflag"])
         out = fitted.transform(df)
@@ -224,7 +228,7 @@ enc AS (SELECT src.*, CAST(CASE WHEN flag IS NULL THEN -999 ELSE coalesce(code,
 # calibration -------------------------------------------------------------------------------------
 
 def _train_rest(spark, sf):
-    df = scored(spark, sf, True)
+    df = stored(scored(spark, sf, True), *ROW_KEY, "sample", "proba", "proba_tied", "target")
     return df.where("sample = 'train'"), df
 
 
@@ -271,8 +275,7 @@ FAST_TREES = {"maxIter": 5, "maxDepth": 3}
 
 
 def _model_frame(spark, sf):
-    df = assign_sample(feature_frame(spark, sf), "l_orderkey", "data_ref1")
-    return df.select(*ROW_KEY, "data_ref1", "sample", "target", *MODEL_FEATURES)
+    return feature_frame(spark, sf, True).select(*ROW_KEY, "data_ref1", "sample", "target", *MODEL_FEATURES)
 
 
 def _fit(kind, params):
@@ -372,7 +375,7 @@ STATIC_COLUMNS = [*NUMERIC_FEATURES, "mostly_null", "l_returnflag", "l_linestatu
 
 
 def static_filters(spark, sf):
-    df = feature_frame(spark, sf).select(*STATIC_COLUMNS)
+    df = stored(feature_frame(spark, sf), *STATIC_COLUMNS)
     return filters.filter_static(df, "target", limits=filters.FilterLimits(correlation=0.8)).report
 
 
@@ -407,8 +410,7 @@ UNION ALL SELECT f, 'High Correlation (threshold: above 0.9)' FROM gone3"""
 
 
 def all_filters(spark, sf):
-    df = assign_sample(feature_frame(spark, sf), "l_orderkey", "data_ref1").select(
-        *STATIC_COLUMNS, "sample", "data_ref1")
+    df = stored(feature_frame(spark, sf, True), *STATIC_COLUMNS, "sample", "data_ref1")
     return filters.select_by_filters(df.where("sample = 'train'").drop("sample"),
                                      df.where("sample = 'test'").drop("sample"), "target", "data_ref1",
                                      params=FAST_TREES, max_rounds=2).report

@@ -13,6 +13,8 @@ from scorekit.functions import feature_names as names
 from scorekit.functions.columns import hash32
 from scorekit.operators.clean import month_of
 from scorekit.operators.sample import assign_sample
+from scorekit.session import stage
+from scorekit.sources.readers import spread_scan
 
 
 class Query(NamedTuple):
@@ -28,11 +30,11 @@ def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def r(value, digits: int = 6) -> Column:
     """Rounded, without negative zero."""
     c = F.col(value) if isinstance(value, str) else value
-    return F.round(c, digits) + F.lit(0.0)
+    return F.rint(c * F.lit(10.0 ** digits)) / F.lit(10.0 ** digits) + F.lit(0.0)
 
 
 def rs(expr: str, digits: int = 6) -> str:
-    return f"round({expr}, {digits}) + 0.0"
+    return f"round_even({expr}, {digits}) + 0.0"
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -108,11 +110,11 @@ def scored(spark, sf, sample: bool = False) -> DataFrame:
     prediction; optionally the entity / time sample."""
     quantity, price = F.col("l_quantity"), F.col("l_extendedprice")
     z = (quantity - 25) / 10 + (price - 53000) / 60000
-    base = load(spark, sf, "lineitem").select(
+    base = spread_scan(load(spark, sf, "lineitem")).select(
         *ROW_KEY, month_of("l_shipdate").alias("data_ref1"), "l_quantity", "l_extendedprice",
         (F.col("l_discount") + 0.0).alias("l_discount"), "l_tax", "l_returnflag", "l_linestatus",
-        F.round(1 / (1 + F.exp(-z)), 6).alias("proba"),
-        F.round(1 / (1 + F.exp(-(quantity - 25) / 10)), 6).alias("proba_tied"),
+        r(1 / (1 + F.exp(-z))).alias("proba"),
+        r(1 / (1 + F.exp(-(quantity - 25) / 10))).alias("proba_tied"),
         (hash32(*ROW_KEY, seed="t") % 1000).alias("_u"))
     out = base.select(*[c for c in base.columns if c != "_u"],
                       (F.col("_u") < 700 * F.col("proba")).cast("int").alias("target"),
@@ -148,14 +150,19 @@ sampled AS (
 NUMERIC_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net_price", "line_gap"]
 
 
-def feature_frame(spark, sf) -> DataFrame:
+def feature_frame(spark, sf, sample: bool = False) -> DataFrame:
     """The scored rows plus a correlated twin, a column with missing values and a nearly empty one."""
-    return scored(spark, sf).withColumns({
+    return scored(spark, sf, sample).withColumns({
         "net_price": F.col("l_extendedprice") * (1 - F.col("l_discount")),
         "line_gap": F.when(F.col("l_linenumber") > 1, F.col("l_linenumber") * F.col("l_quantity")),
         "mostly_null": F.when(F.col("l_linenumber") == 7, F.when(F.col("l_tax") > 0.07, F.col("l_tax")))})
 
 
+def stored(df: DataFrame, *columns: str) -> DataFrame:
+    """The wanted columns as a stored table: what operators with several passes are given in practice."""
+    return stage(df.select(*columns) if columns else df, "table")
+
+
 FEATURES = SCORED + """,
 feats AS (
   SELECT *, l_extendedprice * (1 - l_discount) AS net_price,
@@ -183,7 +190,7 @@ def wide_features(spark, sf, columns) -> DataFrame:
         m, s = _cell(i)
         here = (F.col("_m") == m) & (F.col("l_linenumber") <= 7 - s % 5)
         sums.append(F.sum(F.when(here, 1.0)).alias(c) if i % 3 == 0
-                    else (F.round(F.sum(F.when(here, F.col("_x"))), 7) / 7.3890561).alias(c))
+                    else (r(F.sum(F.when(here, F.col("_x"))), 7) / 7.3890561).alias(c))
     return slim.groupBy("id").agg(*sums)
 
 

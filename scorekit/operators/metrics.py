@@ -14,12 +14,17 @@ BUCKET = "_bucket"
 
 
 def class_counts(df: DataFrame, score: str, target: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Positives and negatives per distinct score: combined map-side, so ties cost one row."""
-    y = F.col(target).cast("int")
-    return (df.select(*keys, finite(score).alias("score"), y.alias("_y"))
-            .where(F.col("score").isNotNull() & F.col("_y").isin(0, 1))
-            .groupBy(*keys, F.col("score"))
-            .agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg")))
+    """Positives and negatives per distinct score: combined map-side, so ties cost one row.
+
+    Unusable rows are left out of the counts rather than filtered, so that derived scores and targets
+    are evaluated once.
+    """
+    usable = F.col("score").isNotNull()
+    return (df.select(*keys, finite(score).alias("score"), F.col(target).cast("int").alias("_y"))
+            .groupBy(*keys, "score")
+            .agg(F.count_if(usable & (F.col("_y") == 1)).alias("pos"),
+                 F.count_if(usable & (F.col("_y") == 0)).alias("neg"))
+            .where(F.col("pos") + F.col("neg") > 0))
 
 
 def running_class_counts(df: DataFrame, score: str, target: str, keys: Sequence[str] = ()) -> DataFrame:

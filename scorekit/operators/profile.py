@@ -15,7 +15,7 @@ from scorekit.functions.order_stats import bucket_edges, exact_quantiles, runnin
 from scorekit.functions.skew import HOT_KEYS, HOT_ROWS, key_text, spread_join
 from scorekit.operators.metrics import feature_auc
 
-JVM_CORRELATION_COLUMNS = 12
+JVM_CORRELATION_COLUMNS = 3
 MISSING_LEVEL = "nan"
 
 
@@ -239,14 +239,17 @@ def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Spearman correlation of every pair: tie-averaged ranks over each column's own values, then
     pairwise-complete Pearson.
 
-    Equal rows are merged into one with a weight, so a row is identified by its values. Ranks travel
+    Equal rows are merged into one with a weight, so 128 hash bits of its values identify a row. Ranks travel
     once in long form - (row, feature, value) meets (feature, value) - and return to wide form by
     row, whatever the number of columns.
     """
     edges = bucket_edges(df, columns)
     merged = (df.select(*[finite(c).alias(c) for c in columns]).groupBy(*columns)
               .agg(F.count("*").alias("_times")))
-    clean = with_buckets(merged.withColumn("_row", F.md5(key_text(columns))), edges)
+    present = [F.col(c).isNotNull() for c in columns]
+    values = [F.coalesce(F.col(c), F.lit(0.0)) for c in columns]
+    row = F.struct(F.xxhash64(*values, *present), F.xxhash64(F.lit(1), *values, *present))
+    clean = with_buckets(merged.withColumn("_row", row), edges)
     entries = [F.struct(F.lit(i).alias("_i"), F.col(f"{c}_bucket").alias("_bucket"),
                         F.col(c).alias("_value")) for i, c in enumerate(columns)]
     long = unpivot_structs(clean, ["_row", "_times"], entries).where(F.col("_value").isNotNull())

@@ -72,3 +72,12 @@ def read_with_volume(spark: SparkSession, path: str, fraction: float | None = No
     if fraction is not None:
         df = sample_rows(df, fraction, seed, list(key or df.columns))
     return df, len(df.columns), df.count()
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than cores (a few small files) over all cores.
+
+    A large table has far more splits than cores and passes through unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

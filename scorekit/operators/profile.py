@@ -121,15 +121,18 @@ def _corr_by_aggregates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return unpivot_structs(row, [], _pair_entries(row, pairs, columns))
 
 
-def _corr_by_blocks(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
-    """Wide inputs: every task reduces its rows to pairwise-complete cross products (centred on the
-    global means for stability); one small row per pair and task is then summed. ``weight`` counts a
-    row several times."""
+def _corr_by_blocks(df: DataFrame, columns: Sequence[str], weight: str | None = None,
+                    centre: Sequence[float] | None = None) -> DataFrame:
+    """Wide inputs: every task reduces its rows to pairwise-complete cross products (centred for
+    stability, by default on the means); one small row per pair and task is then summed. ``weight``
+    counts a row several times."""
     k = len(columns)
     times = F.lit(1.0) if weight is None else F.col(weight).cast("double")
     clean = df.select(*[finite(c).alias(c) for c in columns], times.alias("_times"))
-    first = clean.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    centre = np.array([0.0 if first[c] is None else first[c] for c in columns])
+    if centre is None:
+        first = clean.agg(*[F.avg(c).alias(c) for c in columns]).first()
+        centre = [0.0 if first[c] is None else first[c] for c in columns]
+    centre = np.array(centre)
     upper_i, upper_j = np.tril_indices(k, -1)
     schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 
@@ -244,6 +247,7 @@ def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     row, whatever the number of columns.
     """
     edges = bucket_edges(df, columns)
+    sizes = df.agg(*[F.count(finite(c)).alias(c) for c in columns]).first()
     merged = (df.select(*[finite(c).alias(c) for c in columns]).groupBy(*columns)
               .agg(F.count("*").alias("_times")))
     present = [F.col(c).isNotNull() for c in columns]
@@ -256,14 +260,17 @@ def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     counted = long.groupBy("_i", "_bucket", "_value").agg(F.sum("_times").alias("n"))
     ranks = (running_sums(counted, ["_i"], "_bucket", "_value", ["n"])
              .select("_i", "_value", (F.col("cum_n") - (F.col("n") - 1) / 2).alias("_rank")))
-    hot = (counted.where(F.col("n") >= HOT_ROWS).orderBy(F.desc("n")).limit(HOT_KEYS)
-           .select(key_text(["_i", "_value"]).alias("key")).collect())
+    hot = []
+    if max(sizes) >= HOT_ROWS:
+        hot = (counted.where(F.col("n") >= HOT_ROWS).orderBy(F.desc("n")).limit(HOT_KEYS)
+               .select(key_text(["_i", "_value"]).alias("key")).collect())
     wide = (spread_join(long.select("_row", "_times", "_i", "_value"), ranks, ["_i", "_value"], "inner",
                         [h["key"] for h in hot])
             .groupBy("_row").agg(F.max("_times").alias("_times"),
                                  *[F.max(F.when(F.col("_i") == i, F.col("_rank"))).alias(c)
                                    for i, c in enumerate(columns)]))
-    return _corr_by_blocks(wide, columns, "_times")
+    # the mean rank of n values is (n + 1) / 2, which saves a pass over the ranks
+    return _corr_by_blocks(wide, columns, "_times", [(sizes[c] + 1) / 2 for c in columns])
 
 
 def smart_correlated_drops(df: DataFrame, features: Sequence[str], target: str,

@@ -23,13 +23,13 @@ def latest_per_id(spark, sf):
 
 
 def by_month_and_target(spark, sf):
-    return sample.sample_by_month_and_target(orders_base(spark, sf), "data_ref1", "target", 0.4, 10,
-                                             ["o_orderkey"])
+    return sample.sample_by_month_and_target(orders_base(spark, sf), "data_ref1", "target", ["o_orderkey"],
+                                             0.4, 10)
 
 
 def by_target(spark, sf):
-    return sample.stratified_sample(scored(spark, sf).select(*ROW_KEY, "target", "proba"), "target", 0.3, 10,
-                                    ROW_KEY)
+    return sample.stratified_sample(scored(spark, sf).select(*ROW_KEY, "target", "proba"), "target", ROW_KEY,
+                                    0.3, 10)
 
 
 def row_fraction(spark, sf):

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scorekit.functions.columns import ratio
 from scorekit.functions.feature_names import AMOUNTS, BEHAVIOUR_MONTHS
 from scorekit.functions.skew import hot_keys, spread_join
 from scorekit.operators.clean import dedup_by_key, postcode_prefixes
+from scorekit.sources.feature_store import collect_months, shift_months
 
 COVERAGE_PREFIX = "FLAG_COBERTURA_DADOS_"
 
@@ -57,11 +60,23 @@ def join_features(base: DataFrame, source: FeatureSource, id_column: str, month:
                            for c in joined.columns])
 
 
+def within_months(source: FeatureSource, months: Sequence[date]) -> FeatureSource:
+    """The source cut to the snapshots that the cohort months ask for, before any roll-up. The filter
+    is on the stored column, so partitions and row groups are skipped."""
+    stored = F.col(source.month)
+    if not isinstance(source.table.schema[source.month].dataType, T.DateType):
+        stored = stored.cast("date")
+    return replace(source, table=source.table.where(stored.isin(shift_months(months, -source.lag))))
+
+
 def enrich(base: DataFrame, sources: Sequence[FeatureSource], id_column: str, month: str) -> DataFrame:
-    """Fold all sources onto the base; every join shares one partitioning and one list of hot keys."""
+    """Fold all sources onto the base. Every source is first cut to the months the base needs; the
+    joins share one partitioning and one list of hot keys."""
     keyed = base.withColumn(id_column, F.col(id_column).cast("string"))
     hot = hot_keys(keyed, [id_column, month])
-    return reduce(lambda df, source: join_features(df, source, id_column, month, hot), sources, keyed)
+    months = collect_months(keyed, month)
+    return reduce(lambda df, source: join_features(df, within_months(source, months), id_column, month, hot),
+                  sources, keyed)
 
 
 def positive_flags(df: DataFrame, amounts: dict[str, str]) -> DataFrame:

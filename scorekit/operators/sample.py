@@ -18,9 +18,12 @@ def hash_order(keys, seed) -> Column:
     return hash32(*keys, seed=seed)
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int, key) -> DataFrame:
+def sample_rows(df: DataFrame, fraction: float, seed: int, key=None) -> DataFrame:
     """Bernoulli sample: a row is in iff the hash of its key is below the fraction. Reproducible
-    whatever the partitioning, and pushed into the scan stage."""
+    whatever the partitioning, and pushed into the scan stage. Without a key each row is drawn on its
+    own by Spark's seeded sampler."""
+    if not key:
+        return df.sample(False, fraction, seed)
     return df.where(hash32(*key, seed=seed) < F.lit(int(fraction * HASH_RANGE)))
 
 
@@ -70,17 +73,17 @@ def stratified_rows(df: DataFrame, stratum: Column, keep_fraction: float, seed:
     return below.select(*df.columns).unionAll(edge.select(*df.columns))
 
 
-def sample_by_month_and_target(df: DataFrame, month: str, target: str, keep_fraction: float = 0.4,
-                               seed: int = 10, key=None) -> DataFrame:
-    """Equal share of every (month, target) stratum."""
+def sample_by_month_and_target(df: DataFrame, month: str, target: str, key, keep_fraction: float = 0.4,
+                               seed: int = 10) -> DataFrame:
+    """Equal share of every (month, target) stratum; ``key`` must identify rows."""
     stratum = F.concat_ws("_", F.col(month).cast("string"), F.col(target).cast("string"))
-    return stratified_rows(df, stratum, keep_fraction, seed, list(key or df.columns))
+    return stratified_rows(df, stratum, keep_fraction, seed, list(key))
 
 
-def stratified_sample(df: DataFrame, target: str, keep_fraction: float = 0.5, seed: int = 10,
-                      key=None) -> DataFrame:
-    """Equal share of every target class."""
-    return stratified_rows(df, F.col(target), keep_fraction, seed, list(key or df.columns))
+def stratified_sample(df: DataFrame, target: str, key, keep_fraction: float = 0.5,
+                      seed: int = 10) -> DataFrame:
+    """Equal share of every target class; ``key`` must identify rows."""
+    return stratified_rows(df, F.col(target), keep_fraction, seed, list(key))
 
 
 def recent_months(df: DataFrame, month: str, n: int) -> DataFrame:

@@ -36,8 +36,8 @@ def prepare_base(df: DataFrame, spec: BaseSpec, keep_fraction: float | None = No
     base = base.withColumn(f"{spec.entity_type}_cnpj", clean.clean_id(spec.id_column))
     base = clean.add_month(base, spec.date_column, spec.date_format, spec.month)
     if keep_fraction is not None:
-        base = sample.sample_by_month_and_target(base, spec.month, spec.target, keep_fraction, seed,
-                                                 [spec.id_column, spec.date_column])
+        base = sample.sample_by_month_and_target(base, spec.month, spec.target,
+                                                 [spec.id_column, spec.date_column], keep_fraction, seed)
     return base
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scorekit.operators.sample import sample_rows, stratified_sample
 
@@ -39,17 +40,16 @@ def read_table(spark: SparkSession, path: str, delimiter: str | None = None) ->
 
 def read_sampled(spark: SparkSession, path: str, fraction: float = 0.5, seed: int = 42,
                  columns=None, key=None, delimiter: str | None = None) -> DataFrame:
-    """Column-pruned read of a row sample without replacement."""
+    """Column-pruned read of a row sample without replacement, by natural key if there is one."""
     df = read_table(spark, path, delimiter)
-    key = list(key or df.columns)
-    wanted = list(columns or df.columns)
-    return sample_rows(df, fraction, seed, key).select(*wanted)
+    return sample_rows(df, fraction, seed, key).select(*(columns or df.columns))
 
 
 def read_by_extension(spark: SparkSession, path: str, delimiter: str = "\t", target: str | None = None,
                       keep_fraction: float | None = None, seed: int = 10, key=None) -> DataFrame:
     """``.csv`` / ``.txt`` / ``.parquet`` by suffix, anything else must be Parquet. With
-    ``keep_fraction`` the rows are sampled stratified by ``target``."""
+    ``keep_fraction`` the rows are sampled stratified by ``target``; without a natural key a row is
+    identified by its place in the files."""
     _reject_excel(path)
     suffix = path.lower().rstrip("/").rsplit(".", 1)[-1]
     if suffix in ("csv", "txt"):
@@ -61,16 +61,19 @@ def read_by_extension(spark: SparkSession, path: str, delimiter: str = "\t", tar
             raise ValueError(f"Unsupported file format: {path}") from error
     if keep_fraction is None:
         return df
-    return stratified_sample(df, target, keep_fraction, seed, list(key or df.columns))
+    if key:
+        return stratified_sample(df, target, key, keep_fraction, seed)
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    return stratified_sample(placed, target, ["_place"], keep_fraction, seed).drop("_place")
 
 
 def read_with_volume(spark: SparkSession, path: str, fraction: float | None = None, seed: int = 42,
                      key=None, delimiter: str | None = ";") -> tuple[DataFrame, int, int]:
-    """Read, optionally sample, and report (frame, number of columns, number of rows). Rows are
-    identified by their natural key, not by a physical row number."""
+    """Read, optionally sample, and report (frame, number of columns, number of rows). No surrogate
+    row number is added: later steps use natural keys."""
     df = read_table(spark, path, delimiter)
     if fraction is not None:
-        df = sample_rows(df, fraction, seed, list(key or df.columns))
+        df = sample_rows(df, fraction, seed, key)
     return df, len(df.columns), df.count()
 
 

@@ -200,3 +200,27 @@ def test_sinks_round_trip(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_enrichment_reads_only_the_months_it_needs(spark):
+    path = shared_path(spark, "monthly")
+    rows = [(i, dt.date(2022, m, 1), float(m)) for i in range(3) for m in range(1, 13)]
+    spark.createDataFrame(rows, "ent int, mes date, f double").write.partitionBy("mes").parquet(path)
+    base = spark.createDataFrame([("1", dt.date(2022, 6, 1)), ("2", dt.date(2022, 7, 1)), ("9", dt.date(2022, 7, 1))],
+                                 "id string, data_ref1 date")
+    source = enrich.FeatureSource("s", spark.read.parquet(path), "ent", "mes", ["f"])
+    out = enrich.enrich(base, [source], "id", "data_ref1")
+    assert {(r["id"], r["f"]) for r in out.collect()} == {("1", 5.0), ("2", 6.0), ("9", None)}
+    cut = enrich.within_months(source, [dt.date(2022, 6, 1), dt.date(2022, 7, 1)]).table
+    assert len(cut.select("mes").distinct().collect()) == 2
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "mes" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_keyless_stratified_read(spark):
+    path = shared_path(spark, "copies") + ".parquet"
+    spark.range(1000).selectExpr("id % 2 AS y", "1 AS same").write.parquet(path)
+    out = readers.read_by_extension(spark, path, target="y", keep_fraction=0.25)
+    assert out.columns == ["y", "same"]
+    assert sorted((r.y, r["count"]) for r in out.groupBy("y").count().collect()) == [(0, 125), (1, 125)]
+    assert 0 < readers.read_sampled(spark, path, 0.5).count() < 1000

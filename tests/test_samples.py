@@ -28,7 +28,7 @@ def test_stratified_sample_takes_the_smallest_hashes(spark):
     for r in df.collect():
         strata.setdefault(r.y, []).append(r.id)
     for fraction in (0.0, 0.3, 0.55, 1.0):
-        got = {r.id for r in sample.stratified_sample(df, "y", fraction, 10, ["id"]).collect()}
+        got = {r.id for r in sample.stratified_sample(df, "y", ["id"], fraction, 10).collect()}
         expected = set()
         for ids in strata.values():
             expected |= set(sorted(ids, key=lambda i: md5_32(10, i))[:math.floor(len(ids) * fraction)])
@@ -37,8 +37,8 @@ def test_stratified_sample_takes_the_smallest_hashes(spark):
 
 def test_sampling_by_month_and_target_honours_the_seed(spark):
     df = spark.range(600).selectExpr("id", "id % 3 AS m", "id % 2 AS y")
-    a = {r.id for r in sample.sample_by_month_and_target(df, "m", "y", 0.4, 1, ["id"]).collect()}
-    b = {r.id for r in sample.sample_by_month_and_target(df, "m", "y", 0.4, 2, ["id"]).collect()}
+    a = {r.id for r in sample.sample_by_month_and_target(df, "m", "y", ["id"], 0.4, 1).collect()}
+    b = {r.id for r in sample.sample_by_month_and_target(df, "m", "y", ["id"], 0.4, 2).collect()}
     assert len(a) == len(b) == 240 and a != b
     counts = df.where(F.col("id").isin(list(a))).groupBy("m", "y").count().collect()
     assert all(r["count"] == 40 for r in counts)

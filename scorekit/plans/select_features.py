@@ -1,4 +1,4 @@
-"""Job 2: the four-step feature filter and its removal report."""
+"""Job 2: the four-step feature filter, its removal report, and the model-driven refinement."""
 
 from __future__ import annotations
 
@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorekit.functions.columns import categorical_columns, numeric_columns
-from scorekit.operators import clean, profile, reports, sample, select, target as targets
+from scorekit.operators import clean, profile, reports, sample, select, target as targets, train as training
 from scorekit.operators.encode import RankCountEncoder
+from scorekit.session import stage
+from scorekit.sources import writers
 
 # Reasons written to the removal report.
 REASON_NULL = "High Percentage of Null Values (threshold: above 90%)"
 REASON_IV = "Low Information Value (threshold: Less than 0.02)"
 REASON_CORRELATION = "High Correlation (threshold: above 0.9)"
 REASON_DRIFT = "Drift Treatment"
+REASON_FORWARD = "Progressive Feature Elimination process"
 REASON_PREFIX = ("Features with prefix NEW__ have been intentionally removed to align with project "
                  "requirements")
 
@@ -90,3 +93,65 @@ def select_by_filters(train: DataFrame, test: DataFrame, target: str, month: str
     removed = [*static.removed, (drops, REASON_DRIFT)]
     return FilterResult([f for f in static.features if f not in set(drops)],
                         reports.removal_report(train.sparkSession, removed), removed)
+
+
+@dataclass(frozen=True)
+class Refinement:
+    """Outcome of the model-driven steps."""
+
+    importance: DataFrame
+    curve: DataFrame
+    history: DataFrame
+    features: list[str]
+    report: DataFrame
+    status: DataFrame
+    selections: dict[str, list[str]]
+
+
+def remaining_features(columns: Sequence[str], report: DataFrame, ignore: Sequence[str] = ()) -> list[str]:
+    """Resume from a stored removal report: the columns it did not remove."""
+    gone = {r["FEATURE_NAME"] for r in report.select("FEATURE_NAME").collect()} | set(ignore)
+    return [c for c in columns if c not in gone]
+
+
+def refine_features(df: DataFrame, features: Sequence[str], target: str, key: Sequence[str],
+                    removed: Sequence[tuple[list[str], str]] = (), n_curve: int | None = 200,
+                    n_forward: int | None = 150, step: int = 1, methods: Sequence[str] = (),
+                    max_correlation: float = 0.8, kind: str = "lgbm", params: dict | None = None,
+                    **method_options) -> Refinement:
+    """Importance of a baseline, AUC and KS against the number of features, forward selection, and
+    optionally several selection methods with Spearman pruning. ``df`` has a ``sample`` column; the
+    encoder is fitted on train and the encoded table is staged for the fitting loops."""
+    spark = df.sparkSession
+    train = df.where(F.col("sample") == "train")
+    texts = [c for c in categorical_columns(df) if c in set(features)]
+    encoded = RankCountEncoder(texts).fit(train).transform(df) if texts else df
+    table = stage(encoded.select(*dict.fromkeys([*key, target, "sample", *features])), "refine")
+    train = table.where(F.col("sample") == "train")
+    fitted = training.fit_classifier(train, features, target, kind, params)
+    ranked = [f for f, _ in fitted.importance()]
+    curve = select.progressive_curve(table, ranked[:n_curve], target, kind, params, step)
+    history = select.forward_selection(table, ranked[:n_forward], target, kind, params)
+    kept = {r["feature"] for r in history.where("kept").collect()}
+    dropped = [f for f in features if f not in kept]
+    reasons = [*removed, (dropped, REASON_FORWARD)]
+    report = reports.removal_report(spark, reasons)
+    everything = [f for names, _ in removed for f in names] + list(features)
+    selections = {}
+    if methods:
+        selections = select.prune_correlated(
+            train, select.select_features(train, features, target, key, methods, **method_options),
+            target, max_correlation)
+    return Refinement(training.importance_table(spark, fitted), curve, history,
+                      [f for f in features if f in kept], report,
+                      reports.feature_status(spark, everything, report), selections)
+
+
+def write_refined(spark, sources: dict[str, str], folder: str, refined: Refinement) -> None:
+    """Rewrite every dataset without the removed features and store report, importance and lists."""
+    gone = [r["FEATURE_NAME"] for r in refined.report.select("FEATURE_NAME").distinct().collect()]
+    for name, path in sources.items():
+        writers.rewrite_without(spark, path, f"{folder}/{name}", gone)
+    writers.save_report(refined.report, f"{folder}/removal_report")
+    writers.save_report(refined.importance, f"{folder}/feature_importance")
+    writers.save_feature_list(spark, {"forward": refined.features, **refined.selections}, f"{folder}/features")

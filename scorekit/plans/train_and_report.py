@@ -50,6 +50,7 @@ def evaluate(scored: DataFrame, target: str, month: str, features: Sequence[str]
         "histogram": reports.score_histogram(points, "score", target),
     }
     calibrators = {"isotonic": calibrate.fit_isotonic(train, "PROBA", target),
+                   "sigmoid": calibrate.fit_sigmoid(train, "PROBA", target),
                    "quantile": calibrate.fit_quantile_transform(train, "PROBA")}
     for name in ("test", "val", "oot"):
         part = points.where(F.col("sample") == name)

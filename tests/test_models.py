@@ -132,6 +132,24 @@ def test_filters_end_to_end(df):
     assert set(result.features).isdisjoint({r.FEATURE_NAME for r in result.report.collect()})
 
 
+def test_refinement_job(spark, df):
+    wide = df.withColumn("text", F.when(F.col("y") == 1, "a").otherwise("b"))
+    out = filters.refine_features(wide, [SIGNAL, NOISE, "text"], "y", ["k"], [(["old"], filters.REASON_IV)], 2, 2, step=2,
+                                  methods=("catboost",), params=TREES, recursive_sizes=(1,), model_params=TREES)
+    assert set(out.features) <= {SIGNAL, NOISE, "text"} and out.features
+    assert out.curve.count() == 1 and out.history.count() == 2
+    reasons = {r.FEATURE_NAME: r.REASON_FOR_REMOVAL for r in out.report.collect()}
+    assert reasons["old"] == filters.REASON_IV and set(reasons) - {"old"} == {SIGNAL, NOISE, "text"} - set(out.features)
+    assert {r.FEATURE_NAME: r.DROP_COL for r in out.status.collect()}["old"] == 1
+    assert list(out.selections) == ["catboost_top1"]
+    source, folder = shared_path(spark, "source"), shared_path(spark, "refined")
+    wide.write.parquet(source)
+    filters.write_refined(spark, {"train": source}, folder, out)
+    slim = spark.read.parquet(f"{folder}/train").columns
+    assert set(slim) == set(wide.columns) - set(reasons)
+    assert filters.remaining_features(wide.columns, out.report, ["k"]) == [c for c in slim if c != "k"]
+
+
 def test_train_and_report(df):
     board, tables = reporting.train_and_report(
         df, FEATURES, "y", "month", kinds=("lgbm", "logit"), n_trials=1,

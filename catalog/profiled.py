@@ -238,6 +238,25 @@ def isotonic(spark, sf):
     return curve.transform(df, "proba").select(*ROW_KEY, r("calibrated_prob", 5).alias("calibrated_prob"))
 
 
+def isotonic_tied(spark, sf):
+    fit_on, df = _train_rest(spark, sf)
+    curve = calibrate.fit_isotonic(fit_on, "proba_tied", "target")
+    return curve.transform(df, "proba_tied").select(*ROW_KEY, r("calibrated_prob").alias("calibrated_prob"))
+
+
+# the max-min characterisation of the isotonic fit over the distinct scores
+ISOTONIC_SQL = with_(SAMPLED, """
+pts AS (SELECT proba_tied AS p, sum(target) AS s, count(*) AS n FROM sampled WHERE sample = 'train' GROUP BY 1),
+idx AS (SELECT *, row_number() OVER (ORDER BY p) AS i, sum(s) OVER (ORDER BY p) AS cs, sum(n) OVER (ORDER BY p) AS cn FROM pts),
+seg AS (SELECT a.i AS lo, b.i AS hi, CAST(b.cs - a.cs + a.s AS DOUBLE) / (b.cn - a.cn + a.n) AS m
+        FROM idx a JOIN idx b ON a.i <= b.i),
+low AS (SELECT lo, x.i AS pos, min(m) AS m FROM seg JOIN idx x ON lo <= x.i AND hi >= x.i GROUP BY 1, 2),
+iso AS (SELECT p, max(m) AS v FROM idx JOIN low ON pos = i GROUP BY p),
+span AS (SELECT min(p) AS p_low, max(p) AS p_high FROM iso)""") + f"""
+SELECT {', '.join(ROW_KEY)}, {rs('greatest(p_low, least(p_high, v))')} AS calibrated_prob
+FROM sampled JOIN iso ON p = proba_tied, span"""
+
+
 def sigmoid(spark, sf):
     fit_on, df = _train_rest(spark, sf)
     curve = calibrate.fit_sigmoid(fit_on, "proba", "target")
@@ -464,6 +483,7 @@ FROM cust LEFT JOIN seg ON seg.v = c_mktsegment LEFT JOIN nat ON nat.v = c_natio
         + f" AS {c}" for c in SCALED) + " FROM sfeats"),
     *[Query(f"en4_prepare_{k}", _recipe(k), _recipe_sql(k)) for k in ("lgbm", "xgboost", "catboost", "logit")],
     Query("ca1_isotonic_calibration", isotonic),
+    Query("ca1_isotonic_calibration_tied", isotonic_tied, ISOTONIC_SQL),
     Query("ca2_sigmoid_calibration", sigmoid),
     Query("ca3_quantile_transform", quantile_transform, _quantile_sql("proba", 200)),
     Query("ca3_quantile_transform_tied", quantile_transform_tied, _quantile_sql("proba_tied", 100)),

@@ -23,6 +23,11 @@ def not_nan(expr: Column) -> Column:
     return F.when(~F.isnan(expr), expr)
 
 
+def double_array(values) -> Column:
+    """A constant array, parsed from one text instead of built element by element."""
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division that yields NULL for a zero denominator."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))

@@ -10,7 +10,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorekit.functions.columns import as_column, finite
+from scorekit.functions.columns import as_column, double_array, finite
 from scorekit.functions.order_stats import exact_quantiles
 
 
@@ -40,7 +40,7 @@ def _position(df: DataFrame, column: str, points: list[float]) -> DataFrame:
 
 
 def _interpolated(x, points, values):
-    xs, ys = F.lit(points), F.lit(values)
+    xs, ys = double_array(points), double_array(values)
     pos, last = F.col("_pos"), len(points) - 1
     x0, x1 = F.get(xs, pos), F.get(xs, pos + 1)
     y0, y1 = F.get(ys, pos), F.get(ys, pos + 1)
@@ -110,7 +110,7 @@ class QuantileTransform:
     def transform(self, df: DataFrame, column: str, name: str = "calibrated_prob") -> DataFrame:
         x = as_column(column)
         pos, end = F.col("_pos"), len(self.points) - 1
-        xs, lo, hi = F.lit(self.points), F.lit(self.first), F.lit(self.last)
+        xs, lo, hi = double_array(self.points), double_array(self.first), double_array(self.last)
         x0, x1 = F.get(xs, pos), F.get(xs, pos + 1)
         y0, y1 = F.get(hi, pos), F.get(lo, pos + 1)
         inside = (F.when(x == x0, (F.get(lo, pos) + F.get(hi, pos)) / 2)

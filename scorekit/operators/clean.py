@@ -9,6 +9,7 @@ from scorekit.functions.columns import as_column, categorical_columns, finite, n
 from scorekit.functions.feature_names import KEY_COLUMNS
 from scorekit.functions.order_stats import exact_quantiles
 
+# Fixed value: the number written for a missing value.
 MISSING_NUMBER = -99999
 EXPAND_CHUNK = 10_000
 

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 
 from scorekit.functions import feature_names as names
 
+# The column prefix that later steps filter on. The kind names below are part of the
+# column names and fixed too.
 PREFIX = "NEW__"
 
 # Labels of the ratio trend.

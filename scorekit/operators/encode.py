@@ -14,10 +14,11 @@ from scorekit.functions.skew import spread_join
 from scorekit.operators.clean import MISSING_NUMBER, replace_missing
 from scorekit.session import small_table, stage
 
-RARE_CODE = 1
+# Codes of rare or unseen and of missing categories, least count of a ranked one.
+RARE_CODE, MISSING_CODE, MIN_COUNT = 1, -999, 40
 
 
-def frequency_ranks(df: DataFrame, columns: Sequence[str], min_count: int = 40) -> DataFrame:
+def frequency_ranks(df: DataFrame, columns: Sequence[str], min_count: int = MIN_COUNT) -> DataFrame:
     """(variable, value, n, code): the values of each column seen more than ``min_count`` times,
     numbered from 1 by ascending count; equal counts are ordered by the md5 of the value.
 
@@ -43,7 +44,7 @@ class RankCountModel:
 
     mapping: DataFrame
     columns: Sequence[str]
-    set_nans: int = -999
+    set_nans: int = MISSING_CODE
     local: bool = False
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -63,8 +64,8 @@ class RankCountModel:
 @dataclass(frozen=True)
 class RankCountEncoder:
     columns: Sequence[str]
-    set_nans: int = -999
-    min_count: int = 40
+    set_nans: int = MISSING_CODE
+    min_count: int = MIN_COUNT
 
     def fit(self, df: DataFrame) -> RankCountModel:
         """Count once: the mapping becomes an in-memory relation, or a stored table when it is long."""
@@ -130,7 +131,7 @@ def _prepare(kind: str, df: DataFrame, scaler, features: Sequence[str]) -> DataF
 
 
 def fit_preprocessor(kind: str, train: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                     min_count: int = 40) -> Preprocessor:
+                     min_count: int = MIN_COUNT) -> Preprocessor:
     """Recipes: ``lgbm`` encodes; ``xgboost`` encodes, drops infinities, standardises; ``catboost``
     spells missing text 'NA'; ``logit`` encodes, fills missing, scales by the maximum."""
     if kind not in ("lgbm", "xgboost", "catboost", "logit"):

@@ -17,6 +17,7 @@ from scorekit.functions.skew import hot_keys, spread_join
 from scorekit.operators.clean import dedup_by_key, postcode_prefixes
 from scorekit.sources.feature_store import collect_months, shift_months
 
+# Fixed value: prefix of the coverage flags.
 COVERAGE_PREFIX = "FLAG_COBERTURA_DADOS_"
 
 

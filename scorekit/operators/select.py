@@ -18,6 +18,7 @@ from scorekit.operators.sample import label_and_union
 from scorekit.operators.train import fit_classifier, sample_metrics
 from scorekit.session import stage
 
+# Drift AUC limit and tolerated relative loss of KS per round.
 DRIFT_AUC = 0.55
 KS_TOLERANCE = 0.03
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,24 +10,13 @@ from pyspark.sql import functions as F
 from scorekit.functions.skew import spread_join
 
 LOOKUP_ROWS = 50_000
-_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Only a local session, where driver and executors share one machine, may fall back to a new
-    temporary folder.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, and where that is unset a folder in the
+    warehouse, which executors share as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by driver and executors")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="scorekit-")
-    return _local_folders[context.applicationId]
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged"
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -25,7 +25,7 @@ SHAPE_GRAMS = (2, 3, 5)
 SMOOTHING = 1.0
 COST = 4.0
 PASSES = 12
-CALIBRATION = 4  # every so-manieth row of the sample calibrates
+CALIBRATION = 4  # every so-manieth row of each class calibrates; all rows, with fewer of a class
 
 _SHAPE = np.zeros(256, np.uint8)  # sign of each byte: punctuation stays itself
 _SHAPE[:] = np.arange(256)
@@ -144,15 +144,18 @@ def _calibrated(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit_rows(found: list[np.ndarray], labels: np.ndarray) -> Model:
     """Fit on feature rows with labels 0 and 1. With one class only, or no rows, every score is the share
-    of label 1 (0.5 without rows)."""
+    of label 1 (0.5 without rows). Of each class, every CALIBRATION-th row calibrates and the others train."""
     dim = 1 << BITS
     y = np.where(labels > 0, 1.0, -1.0)
     share = (float((y > 0).sum()) + 0.5) / (len(y) + 1)
-    held = np.arange(len(y)) % CALIBRATION == CALIBRATION - 1
-    if any((y[part] == side).sum() == 0 for part in (held, ~held) for side in (1, -1)):
+    smaller = min((y > 0).sum(), (y < 0).sum())
+    if smaller == 0:
         return Model(np.zeros(dim), np.zeros(dim), 0.0, 1.0, float(np.log(share / (1 - share))))
+    place = np.where(y > 0, np.cumsum(y > 0), np.cumsum(y < 0))  # in the row's own class
+    held = place % CALIBRATION == 0 if smaller >= CALIBRATION else np.ones(len(y), bool)
+    train = np.flatnonzero(~held) if smaller >= CALIBRATION else np.arange(len(y))
     counts = np.full((2, dim), SMOOTHING)
-    for i in np.flatnonzero(~held):
+    for i in train:
         counts[int(labels[i] > 0), found[i]] += 1
     ratio = np.log((counts[1] / counts[1].sum()) / (counts[0] / counts[0].sum()))
 
@@ -162,7 +165,6 @@ def fit_rows(found: list[np.ndarray], labels: np.ndarray) -> Model:
 
     rows = [np.concatenate([at, [dim]]) for at in found]
     values = [scaled(at) for at in found]
-    train = np.flatnonzero(~held)
     balance = np.where(y > 0, len(train) / (2 * (y[train] > 0).sum()), len(train) / (2 * (y[train] < 0).sum()))
     weights = descend([rows[i] for i in train], [values[i] for i in train], y[train], COST * balance[train], dim + 1)
     margins = np.array([float(weights[rows[i]] @ values[i]) for i in np.flatnonzero(held)])

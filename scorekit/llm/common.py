@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from scorekit.session import shared_path, stage
 
-__all__ = ["ascii_lower", "bucket_of", "filesystem", "load", "make_folder",
+__all__ = ["ascii_lower", "bucket_of", "filesystem", "hash_share", "load", "make_folder",
            "held_out", "python_workers", "shared_path", "stage"]
 
 BATCH_BYTES = 8 << 20
@@ -45,6 +45,12 @@ def bucket_of(n: int, *columns) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
 
 
+def hash_share(key) -> Column:
+    """A number in [0, 1) from the hash of a key. The rows below 4 n / rows are about 4 n, whatever the
+    size of the table, and hold the n smallest."""
+    return F.pmod(F.xxhash64(key), F.lit(1 << 40)) / F.lit(float(1 << 40))
+
+
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and inner path of a URI or an absolute path."""
     return pafs.FileSystem.from_uri(path)

@@ -22,6 +22,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scorekit.llm.common import hash_share
+from scorekit.session import lookup_join
+
 ORDER = 3
 FIT_DOCS = 600  # documents per language
 LEAST = 2  # occurrences that a context of ORDER bytes needs to enter the tree
@@ -142,10 +145,13 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     summed counts of the sample, at most one per byte of it.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    chosen = (rows.where(F.octet_length("text") > 0).select("key", "lang").distinct()
+    filled = rows.where(F.octet_length("text") > 0).select("key", "lang")
+    counts = filled.groupBy("lang").agg(F.count("*").alias("n"))
+    by_hash = Window.partitionBy("lang").orderBy(hash_share("key"), "key")
+    chosen = (lookup_join(filled, counts, "lang", "inner").where(hash_share("key") * F.col("n") < 4 * fit_docs)
+              .select("key", "lang").distinct()
               .withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= fit_docs).drop("place"))
-    sample = rows.join(F.broadcast(chosen), ["key", "lang"]).groupBy("key", "lang").agg(F.min("text").alias("text"))
+    sample = lookup_join(rows, chosen, ["key", "lang"], "inner").groupBy("key", "lang").agg(F.min("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scorekit.llm.common import hash_share
+
 FIT_ROWS = 12_000  # labelled documents per fit
 BITS = 16  # log2 of the number of hashed features
 BYTE_GRAMS = (2, 4)
@@ -181,8 +183,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     bounded, so the descent runs in one task; only the model comes to the driver.
     """
     chosen = (labels.select(F.col(key).alias("key"), F.col(label).alias("label")).dropna().groupBy("key")
-              .agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most")
-              .orderBy(F.xxhash64("key"), "key").limit(rows))
+              .agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most"))
+    share = 4.0 * rows / max(1, chosen.count())
+    chosen = chosen.where(hash_share("key") < share).orderBy(hash_share("key"), "key").limit(rows)
     found = (docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
              .join(F.broadcast(chosen), "key").groupBy("key").agg(F.first("label").alias("label"), F.min("text").alias("text")))
 

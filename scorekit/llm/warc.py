@@ -149,6 +149,12 @@ def _ranges(contents: DataFrame, range_bytes: int) -> DataFrame:
                     F.least("bytes", (F.col("part") + 1) * range_bytes).alias("range_end")))
 
 
+def _tasks(contents: DataFrame) -> int:
+    """Tasks that read archives, one for each FILE_BYTES of them and for each archive."""
+    files, size = contents.agg(F.count("*"), F.sum("bytes")).first()
+    return max(1, files, (size or 0) // FILE_BYTES)
+
+
 def candidates(contents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Every offset at which a record may start, with the offset to which its successors lead at or
     after the end of the range (file, at, to, range_end). A chain that breaks inside its range is left
@@ -184,7 +190,7 @@ def candidates(contents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
                                       ("range_end", pa.int64())]))
 
     ranges = _ranges(contents, range_bytes)
-    return ranges.repartition("file", "start").mapInArrow(scan, CANDIDATES)
+    return ranges.repartition(_tasks(contents), "file", "start").mapInArrow(scan, CANDIDATES)
 
 
 def reachable(found: DataFrame) -> DataFrame:
@@ -266,7 +272,7 @@ def read_archives(contents: DataFrame, range_bytes: int = RANGE_BYTES, payloads:
                             rows, held = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return entries.repartition("file", "at").mapInArrow(read, RECORDS)
+    return entries.repartition(_tasks(contents), "file", "at").mapInArrow(read, RECORDS)
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None, range_bytes: int = RANGE_BYTES, **options) -> DataFrame:

@@ -36,7 +36,7 @@ CHECKSUMS = 0x80
 
 FRAME_IDS = 1 << 20
 TEXT_BYTES = 32 << 20  # text per file
-KNOWN_WORDS = 400_000  # words, and lower-case letter runs, whose ids a worker remembers
+KNOWN_WORDS = 1_000_000  # words, and lower-case letter runs, whose ids a worker remembers
 CONTENTS = "part int, file string, documents long, ids long, bytes long"
 DOCUMENTS = "doc_id long, first long, n_tokens long, ids_crc32 long, ids array<int>"
 
@@ -55,46 +55,58 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = exact_by_word(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.model = self.tokenizer.model
         self.words: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
+        self.points = {"": b""}
 
-    def _raw(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
-    def _learn(self, words: list[str]) -> None:
-        """Words of ASCII letters with points or commas behind fall into letters and points."""
-        split = {w: m.groups() if (m := _PLAIN.fullmatch(w)) else (w,) for w in words}
-        if len(self.cores) > KNOWN_WORDS:
-            self.cores.clear()
-        new = list(dict.fromkeys(p for parts in split.values() for p in _lower(parts) if p not in self.cores))
-        self.cores.update(zip(new, self._raw(new), strict=True))
-        if len(self.words) > KNOWN_WORDS:
+    def _core(self, letters: str) -> bytes:
+        """Ids of a run of ASCII letters, which is one piece that normalization only lower-cases."""
+        letters = letters.lower()
+        found = self.cores.get(letters)
+        if found is None:
+            if len(self.cores) >= KNOWN_WORDS:
+                self.cores.clear()
+            found = self.cores[letters] = np.array([t.id for t in self.model.tokenize(letters)], self.dtype).tobytes()
+        return found
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words. A word of ASCII letters, with points behind or not, falls into letters and
+        points; the ids of other words come from the tokenizer as they are."""
+        learned, others = {}, []
+        for word in words:
+            parts = _PLAIN.fullmatch(word)
+            if parts is None:
+                others.append(word)
+                continue
+            core, points = parts.groups()
+            if points and points not in self.points:
+                self.points[points] = self._ids([points])[0]
+            learned[word] = self._core(core) + self.points[points]
+        learned.update(zip(others, self._ids(others), strict=True))
+        if len(self.words) + len(learned) > KNOWN_WORDS:
             self.words.clear()
-        for word, parts in split.items():
-            self.words[word] = b"".join([self.cores[p] for p in _lower(parts)])
+            self.points = {"": b""}
+        self.words.update(learned)
+        return learned
 
     def encode(self, text: str) -> bytes:
         """Ids of the text as bytes."""
         if not self.by_word:
-            return self._raw([text])[0]
+            return self._ids([text])[0]
         pieces = text.replace("\n", " ").split(" ")
-        known = self.words
-        try:
-            return b"".join([known[w] for w in pieces])
-        except KeyError:
-            held = {w: known[w] for w in pieces if w in known}
-            new = [w for w in dict.fromkeys(pieces) if w not in held]
-            self._learn(new)
-            held.update((w, self.words[w]) for w in new)
-            return b"".join([held[w] for w in pieces])
+        found = list(map(self.words.get, pieces))
+        if None in found:
+            learned = self._learn(list(dict.fromkeys([w for w, ids in zip(pieces, found, strict=True) if ids is None])))
+            found = [ids if ids is not None else learned[w] for w, ids in zip(pieces, found, strict=True)]
+        return b"".join(found)
 
 
-_PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?]+)")
-
-
-def _lower(parts: Sequence[str]) -> list[str]:
-    return [p.lower() if p.isascii() and p.isalpha() else p for p in parts]
+_PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?]*)")
 
 
 def exact_by_word(path: str) -> bool:
@@ -274,4 +286,5 @@ def read_token_files(contents: DataFrame, wanted: Sequence[int] | None = None, i
                             rows = []
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return placed.repartition("file").mapInArrow(read, DOCUMENTS)
+    files = max(1, contents.count())
+    return placed.repartition(files, "file").mapInArrow(read, DOCUMENTS)

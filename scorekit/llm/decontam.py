@@ -173,21 +173,25 @@ def _count_shingles(docs: DataFrame, block: Block) -> dict[int, np.ndarray]:
     return totals
 
 
-def _add_hits(spark: SparkSession, block: Block, content: Column, state: Column) -> Column:
-    """``state`` (mask of hit words, items) of each document with the hits of one more block."""
+STATE = "n_words long, n_hit long, items array<string>, mask binary"
+
+
+def _with_hits(spark: SparkSession, block: Block | None, content: Column, state: Column) -> Column:
+    """STATE of each document with the hits of one more block; without a block, of its words alone."""
     shared = spark.sparkContext.broadcast(block)
 
-    @F.arrow_udf("mask binary, items array<string>")
+    @F.arrow_udf(STATE)
     def add(texts: pa.Array, states: pa.Array) -> pa.Array:
-        masks, found = [], []
+        rows = []
         for value, old in zip(texts, states.to_pylist(), strict=True):
-            mask, items = shared.value.hits(words_of(value.as_py()))
+            words = words_of(value.as_py())
+            mask, items = shared.value.hits(words) if shared.value else (np.zeros(len(words), bool), [])
             if old["mask"]:
                 mask |= np.unpackbits(np.frombuffer(old["mask"], np.uint8))[:len(mask)].astype(bool)
-            masks.append(np.packbits(mask).tobytes() if mask.any() else None)
-            found.append(sorted({*old["items"], *items}))
-        return pa.StructArray.from_arrays([pa.array(masks, pa.binary()), pa.array(found, pa.list_(pa.string()))],
-                                          ["mask", "items"])
+            rows.append({"n_words": len(words), "n_hit": int(mask.sum()), "items": sorted({*old["items"], *items}),
+                         "mask": np.packbits(mask).tobytes() if mask.any() else None})
+        return pa.array(rows, pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
+                                         ("mask", pa.binary())]))
 
     return add(content, state)
 
@@ -200,23 +204,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     Null and empty texts have no words and no hits. Items whose id or text is null, or whose text has no
     word, have no window. Repeated items count once. Rows and all other columns pass through.
     """
-    content = F.col(text).cast("binary")
-    state = F.struct(F.lit(None).cast("binary").alias("mask"), F.array().cast("array<string>").alias("items"))
+    spark, content = docs.sparkSession, F.col(text).cast("binary")
+    none = F.struct(F.lit(None).cast("binary").alias("mask"), F.array().cast("array<string>").alias("items"))
+    state = none
     for items in _blocks(benchmark, item, item_text, block_words):
         block = Block([(r["item"], bytes(r["text"])) for r in items.collect()], window, shingle)
         if block.windows:
             block.order(_count_shingles(docs.select(content.alias("text")), block))
-            state = _add_hits(docs.sparkSession, block, content, state)
-
-    @F.arrow_udf("n_words long, n_hit long, items array<string>")
-    def summary(texts: pa.Array, states: pa.Array) -> pa.Array:
-        words = [len(words_of(v.as_py())) for v in texts]
-        masks = states.field("mask").to_pylist()
-        hits = [int(np.unpackbits(np.frombuffer(m, np.uint8)).sum()) if m else 0 for m in masks]
-        return pa.StructArray.from_arrays([pa.array(words, pa.int64()), pa.array(hits, pa.int64()), states.field("items")],
-                                          ["n_words", "n_hit", "items"])
-
-    return docs.select("*", summary(content, state).alias(out))
+            state = _with_hits(spark, block, content, state)
+    if state is none:
+        state = _with_hits(spark, None, content, state)
+    return docs.select("*", state.alias(out)).withColumn(out, F.col(out).dropFields("mask"))
 
 
 def contaminated(found: Column, share: int = 20) -> Column:

@@ -163,9 +163,9 @@ def fit_rows(found: list[np.ndarray], labels: np.ndarray) -> Model:
 
     def scaled(at: np.ndarray) -> np.ndarray:
         v = ratio[at]
-        return np.concatenate([v / (float(np.sqrt(v @ v)) or 1.0), [1.0]])
+        return np.concatenate([v / (float(np.sqrt(v @ v)) or 1.0), [1.0]]).astype(np.float32)
 
-    rows = [np.concatenate([at, [dim]]) for at in found]
+    rows = [np.concatenate([at, [dim]]).astype(np.int32) for at in found]
     values = [scaled(at) for at in found]
     balance = np.where(y > 0, len(train) / (2 * (y[train] > 0).sum()), len(train) / (2 * (y[train] < 0).sum()))
     weights = descend([rows[i] for i in train], [values[i] for i in train], y[train], COST * balance[train], dim + 1)
@@ -202,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def learn(table: pa.Table) -> pa.Table:
         order = table.sort_by("key").combine_chunks()
-        at = [np.asarray(v.values.to_numpy(zero_copy_only=False), np.int64) for v in order.column("at")]
+        at = [v.values.to_numpy(zero_copy_only=False) for v in order.column("at")]
         model = fit_rows(at, order.column("label").to_numpy())
         return pa.table({"weights": [model.weights], "ratio2": [model.ratio2], "rest": [model[2:]]})
 

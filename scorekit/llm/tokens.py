@@ -36,7 +36,7 @@ CHECKSUMS = 0x80
 
 FRAME_IDS = 1 << 20
 TEXT_BYTES = 32 << 20  # text per file
-KNOWN_WORDS = 1_000_000  # words, and lower-case letter runs, whose ids a worker remembers
+KNOWN_WORDS = 300_000  # words whose ids a worker remembers
 CONTENTS = "part int, file string, documents long, ids long, bytes long"
 DOCUMENTS = "doc_id long, first long, n_tokens long, ids_crc32 long, ids array<int>"
 
@@ -44,8 +44,10 @@ DOCUMENTS = "doc_id long, first long, n_tokens long, ids_crc32 long, ids array<i
 class Encoder:
     """Encodes whole texts word by word and remembers the ids of words.
 
-    This is exact for tokenizers that never join text across an ASCII blank or line feed; ``exact_by_word``
-    tells whether a tokenizer's own description says so. Others encode whole texts at a time.
+    This is exact for tokenizers that lower-case and never join text across white space or between a letter
+    and a point; ``exact_by_word`` tells whether a tokenizer's own description says so. Texts that could hold
+    a special token, or a mark that composes with a letter before it, are encoded as they are, and so is every
+    text with other tokenizers.
     """
 
     def __init__(self, path: str):
@@ -53,60 +55,42 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.by_word = exact_by_word(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-        self.points = {"": b""}
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.whole = [t.content.lower().encode() for t in added] + [b"\xcc", b"\xcd"]  # U+0300 to U+037F
+        self.words: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
-    def _core(self, letters: str) -> bytes:
-        """Ids of a run of ASCII letters, which is one piece that normalization only lower-cases."""
-        letters = letters.lower()
-        found = self.cores.get(letters)
-        if found is None:
-            if len(self.cores) >= KNOWN_WORDS:
-                self.cores.clear()
-            found = self.cores[letters] = np.array([t.id for t in self.model.tokenize(letters)], self.dtype).tobytes()
-        return found
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words. A word of ASCII letters, with points behind or not, falls into letters and
-        points; the ids of other words come from the tokenizer as they are."""
-        learned, others = {}, []
-        for word in words:
-            parts = _PLAIN.fullmatch(word)
-            if parts is None:
-                others.append(word)
-                continue
-            core, points = parts.groups()
-            if points and points not in self.points:
-                self.points[points] = self._ids([points])[0]
-            learned[word] = self._core(core) + self.points[points]
-        learned.update(zip(others, self._ids(others), strict=True))
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of new words. ASCII letters are one piece, which normalization leaves as it is."""
+        learned = {w: np.array([t.id for t in self.model.tokenize(w.decode())], self.dtype).tobytes()
+                   for w in words if w.isalpha()}
+        others = [w for w in words if not w.isalpha()]
+        learned.update(zip(others, self._ids([w.decode() for w in others]), strict=True))
         if len(self.words) + len(learned) > KNOWN_WORDS:
             self.words.clear()
-            self.points = {"": b""}
         self.words.update(learned)
         return learned
 
-    def encode(self, text: str) -> bytes:
-        """Ids of the text as bytes."""
-        if not self.by_word:
-            return self._ids([text])[0]
-        pieces = text.replace("\n", " ").split(" ")
+    def encode(self, text: bytes) -> bytes:
+        """Ids of a UTF-8 text as bytes."""
+        lower = text.lower()  # bytes: ASCII only
+        if not self.by_word or any(part in lower for part in self.whole):
+            return self._ids([text.decode()])[0]
+        pieces = _POINT.sub(rb" \1", lower).split()
         found = list(map(self.words.get, pieces))
         if None in found:
-            learned = self._learn(list(dict.fromkeys([w for w, ids in zip(pieces, found, strict=True) if ids is None])))
+            learned = self._learn(list({w for w, ids in zip(pieces, found, strict=True) if ids is None}))
             found = [ids if ids is not None else learned[w] for w, ids in zip(pieces, found, strict=True)]
         return b"".join(found)
 
 
-_PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?]*)")
+_POINT = re.compile(rb"(?<=[a-z])([.,;:!?])(?=[ \n]|$)")  # alone between a letter and a blank
 
 
 def exact_by_word(path: str) -> bool:
@@ -230,7 +214,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     """
     make_folder(folder)
     content = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).cast("long").alias("key"), content.alias("text"), F.xxhash64(content).alias("tie"))
+    rows = docs.select(F.col(key).cast("long").alias("key"), content.cast("binary").alias("text"),
+                       F.xxhash64(content).alias("tie"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     order = [F.col("key").asc_nulls_last(), F.col("tie").asc()]
     parts = max(1, -(-total // text_bytes))

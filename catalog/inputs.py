@@ -265,6 +265,24 @@ def multi_source(spark, sf):
     return enrich.enrich(orders_base(spark, sf), [_store_source(spark, sf), second], "id", "data_ref1")
 
 
+def stored_source(layout):
+    """The multi-source join with the first source on disk, its months spelled as ``layout`` says."""
+    def run(spark, sf):
+        path = shared_path(spark, "store")
+        store = monthly_store(spark, sf)
+        if layout == "yyyyMM":
+            store = store.withColumn("mes", F.date_format("mes", layout))
+            writers.save_dataset(store, path, partition_by=["mes"])
+        else:
+            store = store.withColumns({"year": F.year("mes"), "month": F.month("mes")}).drop("mes")
+            writers.save_dataset(store, path, partition_by=["year", "month"])
+        first = enrich.FeatureSource("store", path, "entity", "mes", STORE_FEATURES,
+                                     month_format=layout if layout == "yyyyMM" else None)
+        second = enrich.FeatureSource("orders", second_store(spark, sf), "entity", "mes", ["n_orders", "max_order"], 2)
+        return enrich.enrich(orders_base(spark, sf), [first, second], "id", "data_ref1")
+    return run
+
+
 def coverage(spark, sf):
     joined = enrich.join_features(orders_base(spark, sf), _store_source(spark, sf), "id", "data_ref1")
     return joined.groupBy("data_ref1", "FLAG_COBERTURA_DADOS_store").agg(F.count("*").alias("n"))
@@ -399,16 +417,22 @@ def most_frequent(spark, sf):
 
 def flagship(spark, sf):
     """Customer base, target, cohort month, lagged features, coverage and sample in one plan."""
-    return sample.assign_sample(point_in_time(spark, sf), "id", "data_ref1")
+    base = orders_base(spark, sf).where(F.col("target") < 2)
+    joined = enrich.join_features(base, _store_source(spark, sf), "id", "data_ref1")
+    return sample.assign_sample(joined, "id", "data_ref1")
 
 
-FLAGSHIP_SQL = with_(BASE, STORE, "pit AS (" + PIT.format(month=LAGGED) + ")",
+FLAGSHIP_SQL = with_(BASE.replace("FROM orders)", "FROM orders WHERE o_orderstatus IN ('O', 'F'))"), STORE, "pit AS (" + PIT.format(month=LAGGED) + ")",
                      "cutoff AS (SELECT min(m) AS m FROM (SELECT DISTINCT data_ref1 AS m FROM base ORDER BY m DESC LIMIT 3))") + f"""
 SELECT pit.*, CASE WHEN data_ref1 >= (SELECT m FROM cutoff) THEN 'oot'
   WHEN {md5_32("'42'", 'id')} % 100 < 70 THEN 'train'
   WHEN {md5_32("'42'", 'id')} % 100 < 85 THEN 'test' ELSE 'val' END AS sample
 FROM pit"""
 
+MULTI_SQL = with_(BASE, STORE, STORE2, "pit AS (" + PIT.format(month=LAGGED) + ")") + """
+SELECT p.*, t.n_orders, t.max_order, CASE WHEN t.entity IS NULL THEN 0 ELSE 1 END AS "FLAG_COBERTURA_DADOS_orders"
+FROM pit p LEFT JOIN store2 t ON p.id = CAST(t.entity AS VARCHAR) AND p.data_ref1 = CAST(t.mes + INTERVAL 2 MONTH AS DATE)"""
+
 QUERIES = [
     Query("abt_minimum_slice", flagship, FLAGSHIP_SQL),
     Query("io1_read_fallback_parquet", read_fallback_parquet, CUSTOMER_SQL),
@@ -481,9 +505,9 @@ SELECT {', '.join(ROW_KEY)}, {rs('coalesce(line_gap, (SELECT quantile_cont(line_
   {rs('coalesce(mostly_null, (SELECT quantile_cont(mostly_null, 0.5) FROM feats))')} AS mostly_null FROM feats"""),
     Query("j1_point_in_time_join", point_in_time, with_(BASE, STORE) + PIT.format(month=LAGGED)),
     Query("j2_same_month_join", same_month, with_(BASE, STORE) + PIT.format(month="s.mes")),
-    Query("j3_multi_source_enrichment", multi_source, with_(BASE, STORE, STORE2, "pit AS (" + PIT.format(month=LAGGED) + ")") + """
-SELECT p.*, t.n_orders, t.max_order, CASE WHEN t.entity IS NULL THEN 0 ELSE 1 END AS "FLAG_COBERTURA_DADOS_orders"
-FROM pit p LEFT JOIN store2 t ON p.id = CAST(t.entity AS VARCHAR) AND p.data_ref1 = CAST(t.mes + INTERVAL 2 MONTH AS DATE)"""),
+    Query("j3_multi_source_enrichment", multi_source, MULTI_SQL),
+    Query("j3_year_month_store", stored_source("year/month"), MULTI_SQL),
+    Query("j3_text_month_store", stored_source("yyyyMM"), MULTI_SQL),
     Query("j4_entity_membership_join", entity_membership, with_(BASE) +
           f"SELECT * FROM base WHERE {md5_32(chr(39) + '42' + chr(39), 'id')} % 100 < 70"),
     Query("j5_group_count_join", group_counts, with_(BASE) + """

@@ -14,7 +14,6 @@ from scorekit.functions.columns import hash32
 from scorekit.operators.clean import month_of
 from scorekit.operators.sample import assign_sample
 from scorekit.session import stage
-from scorekit.sources.readers import spread_scan
 
 
 class Query(NamedTuple):
@@ -49,20 +48,21 @@ def with_(*ctes: str) -> str:
 # customer base -----------------------------------------------------------------------------------
 
 def orders_base(spark, sf) -> DataFrame:
-    """One row per order: text id, date, cohort month, 0/1 target."""
-    return (load(spark, sf, "orders").where(F.col("o_orderstatus").isin("O", "F"))
+    """One row per order: text id, date, cohort month, and a target that is 2 for pending orders."""
+    return (load(spark, sf, "orders")
             .select(F.col("o_custkey").cast("string").alias("id"), "o_orderkey",
                     F.col("o_orderdate").cast("date").alias("o_orderdate"),
                     month_of("o_orderdate").alias("data_ref1"),
-                    F.when(F.col("o_orderstatus") == "O", 0).otherwise(1).alias("target"),
+                    F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 1).otherwise(2)
+                    .alias("target"),
                     "o_totalprice"))
 
 
 BASE = """base AS (
   SELECT CAST(o_custkey AS VARCHAR) AS id, o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate,
          CAST(date_trunc('month', o_orderdate) AS DATE) AS data_ref1,
-         CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END AS target, o_totalprice
-  FROM orders WHERE o_orderstatus IN ('O', 'F'))"""
+         CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 2 END AS target, o_totalprice
+  FROM orders)"""
 
 # monthly feature store ---------------------------------------------------------------------------
 
@@ -110,7 +110,7 @@ def scored(spark, sf, sample: bool = False) -> DataFrame:
     prediction; optionally the entity / time sample."""
     quantity, price = F.col("l_quantity"), F.col("l_extendedprice")
     z = (quantity - 25) / 10 + (price - 53000) / 60000
-    base = spread_scan(load(spark, sf, "lineitem")).select(
+    base = load(spark, sf, "lineitem").select(
         *ROW_KEY, month_of("l_shipdate").alias("data_ref1"), "l_quantity", "l_extendedprice",
         (F.col("l_discount") + 0.0).alias("l_discount"), "l_tax", "l_returnflag", "l_linestatus",
         r(1 / (1 + F.exp(-z))).alias("proba"),

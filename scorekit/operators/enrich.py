@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from scorekit.functions.columns import ratio
 from scorekit.functions.feature_names import AMOUNTS, BEHAVIOUR_MONTHS
-from scorekit.functions.skew import hot_keys, spread_join
+from scorekit.functions.skew import SALT, hot_keys, salted, spread_join
 from scorekit.operators.clean import dedup_by_key, postcode_prefixes
-from scorekit.sources.feature_store import collect_months, shift_months
+from scorekit.sources.feature_store import collect_months, feature_months, shift_months
 
 # Fixed value: prefix of the coverage flags.
 COVERAGE_PREFIX = "FLAG_COBERTURA_DADOS_"
@@ -23,15 +22,20 @@ COVERAGE_PREFIX = "FLAG_COBERTURA_DADOS_"
 
 @dataclass(frozen=True)
 class FeatureSource:
-    """A monthly feature table: one row per (entity, month) after the optional roll-up."""
+    """A monthly feature table: one row per (entity, month) after the optional roll-up.
+
+    ``table`` is a frame, or the path of a stored one. The month is a date, a text or number in
+    ``month_format``, or a pair of year and month partition columns, which then become ``month``.
+    """
 
     name: str
-    table: DataFrame
+    table: DataFrame | str
     entity: str
     month: str
     features: Sequence[str]
     lag: int = 1
     rollup: Callable[[DataFrame, str, str], DataFrame] | None = None
+    month_format: str | None = None
 
 
 def shifted_features(source: FeatureSource, id_column: str, month: str) -> DataFrame:
@@ -48,7 +52,7 @@ def shifted_features(source: FeatureSource, id_column: str, month: str) -> DataF
 
 
 def join_features(base: DataFrame, source: FeatureSource, id_column: str, month: str,
-                  hot: Sequence[str] | None = None) -> DataFrame:
+                  hot: Mapping[str, int] | None = None) -> DataFrame:
     """Left join of one source plus its 0/1 coverage flag.
 
     Both sides are hashed on (id, month). Keys that own very many base rows (``hot``, looked up when
@@ -62,22 +66,24 @@ def join_features(base: DataFrame, source: FeatureSource, id_column: str, month:
 
 
 def within_months(source: FeatureSource, months: Sequence[date]) -> FeatureSource:
-    """The source cut to the snapshots that the cohort months ask for, before any roll-up. The filter
-    is on the stored column, so partitions and row groups are skipped."""
-    stored = F.col(source.month)
-    if not isinstance(source.table.schema[source.month].dataType, T.DateType):
-        stored = stored.cast("date")
-    return replace(source, table=source.table.where(stored.isin(shift_months(months, -source.lag))))
+    """The source cut to the snapshots that the cohort months ask for, before any roll-up, with its month
+    as a date. The filter is on the stored columns, so partitions and row groups are skipped."""
+    table = source.table
+    if isinstance(table, str):
+        table = SparkSession.active().read.parquet(table)
+    cut = feature_months(table, shift_months(months, -source.lag), source.month, source.month_format)
+    return replace(source, table=cut, month_format=None)
 
 
 def enrich(base: DataFrame, sources: Sequence[FeatureSource], id_column: str, month: str) -> DataFrame:
     """Fold all sources onto the base. Every source is first cut to the months the base needs; the
-    joins share one partitioning and one list of hot keys."""
+    joins share one partitioning and one dealing of hot keys."""
     keyed = base.withColumn(id_column, F.col(id_column).cast("string"))
     hot = hot_keys(keyed, [id_column, month])
     months = collect_months(keyed, month)
+    dealt = salted(keyed, [id_column, month], hot) if hot else keyed
     return reduce(lambda df, source: join_features(df, within_months(source, months), id_column, month, hot),
-                  sources, keyed)
+                  sources, dealt).drop(SALT)
 
 
 def positive_flags(df: DataFrame, amounts: dict[str, str]) -> DataFrame:

@@ -8,12 +8,13 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from scorekit.operators.clean import parse_date
 
 # Recognised year / month partition columns.
 YEAR_MONTH_PAIRS = [("partition_0", "partition_1"), ("year", "month")]
 
-MAX_MONTHS = 10_000
-
 
 def shift_months(months, by: int) -> list[date]:
     """Calendar-month arithmetic on first-of-month dates."""
@@ -30,11 +31,11 @@ def cohort_months(df: DataFrame, month: str) -> DataFrame:
 
 
 def collect_months(df: DataFrame, month: str) -> list[date]:
-    """The cohort months as driver metadata; refuses a column that is not a calendar month key."""
-    rows = cohort_months(df, month).limit(MAX_MONTHS + 1).collect()
-    if len(rows) > MAX_MONTHS:
-        raise ValueError(f"{month} has more than {MAX_MONTHS} distinct values")
-    return [r[0] for r in rows]
+    """The cohort months as driver metadata, one per calendar month; the column must hold dates."""
+    if not isinstance(df.schema[month].dataType, T.DateType):
+        raise ValueError(f"{month} holds {df.schema[month].dataType.simpleString()}, not dates")
+    first = F.trunc(F.col(month), "month")
+    return [r[0] for r in cohort_months(df.select(first.alias(month)), month).collect()]
 
 
 def month_predicate(columns, months, month: str = "mes", month_format: str | None = None) -> Column:
@@ -61,11 +62,26 @@ def month_predicate(columns, months, month: str = "mes", month_format: str | Non
 def read_feature_months(spark: SparkSession, path: str, months, month: str = "mes",
                         month_format: str | None = None) -> DataFrame:
     """Scan only the wanted months and return the month column as a date."""
-    df = spark.read.parquet(path)
+    return feature_months(spark.read.parquet(path), months, month, month_format)
+
+
+def feature_months(df: DataFrame, months, month: str = "mes", month_format: str | None = None) -> DataFrame:
+    """The rows of the wanted months, with ``month`` as a date.
+
+    A month that is no date needs its format (texts default to ISO days). A store whose months are
+    not spelled that way is refused, as it would otherwise match nothing.
+    """
+    pair = next((p for p in YEAR_MONTH_PAIRS if set(p) <= set(df.columns)), None)
+    if pair is not None:
+        kept = df.where(month_predicate(df.columns, months, month))
+        return kept if month in df.columns else kept.withColumn(
+            month, F.make_date(F.col(pair[0]).cast("int"), F.col(pair[1]).cast("int"), F.lit(1)))
+    kind = df.schema[month].dataType
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return df.where(month_predicate(df.columns, months, month)).withColumn(month, F.col(month).cast("date"))
+    month_format = month_format or "yyyy-MM-dd"
+    first = df.where(F.col(month).isNotNull()).select(parse_date(month, month_format).alias("d"), F.col(month).alias("m")).first()
+    if first is not None and first["d"] is None:
+        raise ValueError(f"{month} holds {first['m']!r}, which is not spelled {month_format}")
     kept = df.where(month_predicate(df.columns, months, month, month_format))
-    if month in df.columns and month_format is not None:
-        text = F.col(month).cast("string")
-        parsed = (F.try_to_date(F.concat(text, F.lit("01")), "yyyyMMdd") if month_format == "yyyyMM"
-                  else F.try_to_date(text, month_format))
-        kept = kept.withColumn(month, parsed)
-    return kept
+    return kept.withColumn(month, parse_date(month, month_format))

@@ -24,6 +24,16 @@ def _parquet(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+def _is_foreign(error: Exception) -> bool:
+    """Whether reading failed because the files are no Parquet files at all."""
+    text = str(error)
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while cause is not None:
+        text += str(cause.toString())
+        cause = cause.getCause()
+    return "is not a Parquet file" in text or "UNABLE_TO_INFER_SCHEMA" in text
+
+
 def _delimited(spark: SparkSession, path: str, delimiter: str | None, infer: bool = False) -> DataFrame:
     reader = spark.read.option("header", True).option("inferSchema", infer)
     return (reader.option("sep", delimiter) if delimiter else reader).csv(path)
@@ -34,7 +44,9 @@ def read_table(spark: SparkSession, path: str, delimiter: str | None = None) ->
     _reject_excel(path)
     try:
         return _parquet(spark, path)
-    except UNREADABLE:
+    except UNREADABLE as error:
+        if not _is_foreign(error):  # a damaged Parquet file must not be parsed as text
+            raise
         return _delimited(spark, path, delimiter)
 
 
@@ -48,8 +60,8 @@ def read_sampled(spark: SparkSession, path: str, fraction: float = 0.5, seed: in
 def read_by_extension(spark: SparkSession, path: str, delimiter: str = "\t", target: str | None = None,
                       keep_fraction: float | None = None, seed: int = 10, key=None) -> DataFrame:
     """``.csv`` / ``.txt`` / ``.parquet`` by suffix, anything else must be Parquet. With
-    ``keep_fraction`` the rows are sampled stratified by ``target``; without a natural key a row is
-    identified by its place in the files."""
+    ``keep_fraction`` the rows are sampled stratified by ``target``; without a natural key a row of a
+    Parquet file is identified by its file and number, and text files need a key."""
     _reject_excel(path)
     suffix = path.lower().rstrip("/").rsplit(".", 1)[-1]
     if suffix in ("csv", "txt"):
@@ -63,8 +75,10 @@ def read_by_extension(spark: SparkSession, path: str, delimiter: str = "\t", tar
         return df
     if key:
         return stratified_sample(df, target, key, keep_fraction, seed)
-    placed = df.withColumn("_place", F.monotonically_increasing_id())
-    return stratified_sample(placed, target, ["_place"], keep_fraction, seed).drop("_place")
+    if suffix in ("csv", "txt"):
+        raise ValueError("sampling text files needs a key")
+    placed = df.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return stratified_sample(placed, target, ["_file", "_row"], keep_fraction, seed).drop("_file", "_row")
 
 
 def read_with_volume(spark: SparkSession, path: str, fraction: float | None = None, seed: int = 42,
@@ -75,12 +89,3 @@ def read_with_volume(spark: SparkSession, path: str, fraction: float | None = No
     if fraction is not None:
         df = sample_rows(df, fraction, seed, key)
     return df, len(df.columns), df.count()
-
-
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan with fewer splits than cores (a few small files) over all cores.
-
-    A large table has far more splits than cores and passes through unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

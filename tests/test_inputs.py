@@ -135,13 +135,13 @@ def test_hot_keys_are_spread_without_changing_the_join(spark):
     base, source = _base_and_store(spark)
     hot = skew.hot_keys(base, ["id", "data_ref1"], 2)
     assert len(hot) == 2  # the frequent id and the missing id
-    plain = enrich.join_features(base, source, "id", "data_ref1", [])
+    plain = enrich.join_features(base, source, "id", "data_ref1", {})
     spread = enrich.join_features(base, source, "id", "data_ref1", hot)
     assert "_salt" not in spread.columns
     assert plain.exceptAll(spread).count() == 0 and spread.exceptAll(plain).count() == 0
     one, two = spark.range(300).selectExpr("'k' AS k", "id"), spark.createDataFrame([("k", 7)], "k string, v int")
-    assert skew.spread_join(one, two, ["k"], "inner", ["k"]).count() == 300
-    assert skew.spread_join(one, two.select("k"), ["k"], "left_semi", ["k"]).count() == 300
+    assert skew.spread_join(one, two, ["k"], "inner", {"k": 8}).count() == 300
+    assert skew.spread_join(one, two.select("k"), ["k"], "left_semi", {"k": 8}).count() == 300
 
 
 def test_lookup_that_is_too_long_is_not_broadcast(spark):
@@ -224,3 +224,37 @@ def test_keyless_stratified_read(spark):
     assert out.columns == ["y", "same"]
     assert sorted((r.y, r["count"]) for r in out.groupBy("y").count().collect()) == [(0, 125), (1, 125)]
     assert 0 < readers.read_sampled(spark, path, 0.5).count() < 1000
+
+
+def test_stored_sources_are_pruned_whatever_their_month_looks_like(spark):
+    rows = [(i, dt.date(2022, m, 1), float(m)) for i in range(3) for m in range(1, 13)]
+    store = spark.createDataFrame(rows, "ent int, mes date, f double")
+    base = spark.createDataFrame([("1", dt.date(2022, 6, 1)), ("2", dt.date(2022, 7, 1)), ("9", dt.date(2022, 7, 1))],
+                                 "id string, data_ref1 date")
+    layouts = {"pair": (store.selectExpr("ent", "f", "year(mes) AS year", "month(mes) AS month"), ["year", "month"], None),
+               "yyyyMM": (store.selectExpr("ent", "f", "date_format(mes, 'yyyyMM') AS mes"), ["mes"], "yyyyMM"),
+               "date": (store, ["mes"], None)}
+    for name, (table, columns, spelled) in layouts.items():
+        path = shared_path(spark, name)
+        table.write.partitionBy(*columns).parquet(path)
+        source = enrich.FeatureSource("s", path, "ent", "mes", ["f"], month_format=spelled)
+        out = enrich.enrich(base, [source], "id", "data_ref1")
+        assert {(r["id"], r["f"]) for r in out.collect()} == {("1", 5.0), ("2", 6.0), ("9", None)}, name
+        cut = enrich.within_months(source, [dt.date(2022, 6, 1), dt.date(2022, 7, 1)]).table
+        assert {r["mes"] for r in cut.collect()} == {dt.date(2022, 5, 1), dt.date(2022, 6, 1)}
+        filters = cut._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+        assert columns[0] in filters
+    wrong = enrich.FeatureSource("s", store.selectExpr("ent", "f", "date_format(mes, 'yyyyMM') AS mes"), "ent", "mes", ["f"])
+    with pytest.raises(ValueError, match="not spelled"):
+        enrich.enrich(base, [wrong], "id", "data_ref1")
+
+
+def test_damaged_parquet_is_not_read_as_text(spark, tmp_path):
+    spark.range(10).write.parquet(f"{tmp_path}/good")
+    data = next(tmp_path.glob("good/part-*.parquet")).read_bytes()
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_bytes(data[:-20] + b"\x00" * 16 + b"PAR1")
+    with pytest.raises(Exception):  # noqa: B017
+        readers.read_table(spark, f"{tmp_path}/bad").count()
+    (tmp_path / "t.csv").write_text("a;b\n1;2\n")
+    assert readers.read_table(spark, f"{tmp_path}/t.csv", ";").columns == ["a", "b"]

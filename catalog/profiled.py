@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.inputs import auc_sql
@@ -54,6 +56,7 @@ shares AS (SELECT *, greatest(events, 0.5::DOUBLE) / sum(events) OVER (PARTITION
 woes AS (SELECT *, ln(s0 / s1) AS woe, ln(s0 / s1) * (s0 - s1) AS iv FROM shares)""")
 
 
+TWO_FEATURES = ["l_quantity", "line_gap"]  # one pair, one side with missing values
 CORR_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net_price", "line_gap"]
 
 
@@ -68,7 +71,7 @@ def pearson(spark, sf):
 
 
 def pearson_blocks(spark, sf):
-    return rounded(profile.pearson_pairs(feature_frame(spark, sf), CORR_FEATURES, by_blocks=True), "r")
+    return rounded(profile.pearson_pairs(feature_frame(spark, sf), TWO_FEATURES), "r")
 
 
 def correlated(spark, sf):
@@ -324,12 +327,14 @@ def search(spark, sf):
 
 
 def full_report(spark, sf):
-    """Leaderboard, refit of the winner and the table of its metrics."""
+    """Leaderboard, refit of the winner and all of its tables, each row as one JSON text."""
     df = _model_frame(spark, sf)
-    _, tables = reporting.train_and_report(
+    board, tables = reporting.train_and_report(
         df, MODEL_FEATURES, "target", "data_ref1", kinds=("lgbm", "logit"), n_trials=1,
         spaces={"lgbm": _small_trees}, baseline_params={"lgbm": FAST_TREES})
-    return tables["metrics_by_sample"]
+    rows = [t.select(F.lit(name).alias("table"), F.to_json(F.struct("*")).alias("row"))
+            for name, t in sorted({**tables, "leaderboard": board}.items())]
+    return reduce(DataFrame.unionAll, rows)
 
 
 COEFFICIENTS = {"l_quantity": 0.08, "l_extendedprice": 0.00002, "l_discount": -3.0, "l_tax": 1.5}
@@ -356,17 +361,17 @@ def drift(spark, sf):
         "drifting", F.month("data_ref1") + F.year("data_ref1") * 12 + F.col("l_linenumber")), "model-frame")
     older, recent = split_by_recency(df.where("sample <> 'test'"), "data_ref1", 6)
     return select.drift_elimination(older, recent, df.where("sample = 'test'"), [*MODEL_FEATURES, "drifting"],
-                                    "target", params=FAST_TREES, max_rounds=3)
+                                    "target", params=FAST_TREES)
 
 
 def curve(spark, sf):
     df = stage(_model_frame(spark, sf), "model-frame")
-    return select.progressive_curve(df, MODEL_FEATURES, "target", params=FAST_TREES, step=2)
+    return select.progressive_curve(df, MODEL_FEATURES, "target", params=FAST_TREES)
 
 
 def forward(spark, sf):
     df = stage(_model_frame(spark, sf), "model-frame")
-    return select.forward_selection(df, MODEL_FEATURES[:3], "target", params=FAST_TREES)
+    return select.forward_selection(df, MODEL_FEATURES, "target", params=FAST_TREES)
 
 
 def recursive(spark, sf):
@@ -378,14 +383,14 @@ def recursive(spark, sf):
 
 def boruta(spark, sf):
     df = stage(_model_frame(spark, sf).where("sample = 'train'"), "model-frame")
-    return select.all_relevant(df, MODEL_FEATURES, "target", ROW_KEY, (100, 80), rounds=3,
+    return select.all_relevant(df, MODEL_FEATURES, "target", ROW_KEY, (100, 80),
                                params={"numTrees": 8, "maxDepth": 4})
 
 
 def coordinator(spark, sf):
     from scorekit.sources.writers import feature_list
     df = stage(_model_frame(spark, sf).where("sample = 'train'"), "model-frame")
-    found = select.select_features(df, MODEL_FEATURES, "target", ROW_KEY, ("catboost", "mrmr"), (3,), (100,), (3,),
+    found = select.select_features(df, MODEL_FEATURES, "target", ROW_KEY, ("catboost", "boruta", "mrmr"), (3,), (100,), (3,),
                                    model_params=FAST_TREES)
     return feature_list(spark, select.prune_correlated(df, found, "target", 0.8))
 
@@ -425,14 +430,14 @@ gone3 AS (SELECT DISTINCT CASE WHEN a.v >= b.v THEN p.feature_2 ELSE p.feature_1
   WHERE abs(r) > 0.8 AND p.feature_1 NOT IN (SELECT f FROM gone2) AND p.feature_2 NOT IN (SELECT f FROM gone2))""") + """
 SELECT f AS "FEATURE_NAME", 'High Percentage of Null Values (threshold: above 90%)' AS "REASON_FOR_REMOVAL" FROM gone1
 UNION ALL SELECT f, 'Low Information Value (threshold: Less than 0.02)' FROM gone2
-UNION ALL SELECT f, 'High Correlation (threshold: above 0.9)' FROM gone3"""
+UNION ALL SELECT f, 'High Correlation (threshold: above 0.8)' FROM gone3"""
 
 
 def all_filters(spark, sf):
     df = stored(feature_frame(spark, sf, True), *STATIC_COLUMNS, "sample", "data_ref1")
     return filters.select_by_filters(df.where("sample = 'train'").drop("sample"),
                                      df.where("sample = 'test'").drop("sample"), "target", "data_ref1",
-                                     params=FAST_TREES, max_rounds=2).report
+                                     params=FAST_TREES).report
 
 
 QUERIES = [
@@ -444,7 +449,7 @@ SELECT variable, CAST(n AS BIGINT) AS n, CAST(events AS BIGINT) AS events, {rs('
     Query("ag7_information_value", information_value, _woe_sql() +
           f"SELECT variable, {rs('sum(iv)')} AS iv FROM woes GROUP BY variable"),
     Query("ag8_pearson_pairs", pearson, with_(FEATURES, _corr_sql()) + f"SELECT feature_1, feature_2, {rs('r')} AS r FROM pairs"),
-    Query("ag8_pearson_blocks", pearson_blocks, with_(FEATURES, _corr_sql()) + f"SELECT feature_1, feature_2, {rs('r')} AS r FROM pairs"),
+    Query("ag8_pearson_blocks", pearson_blocks, with_(FEATURES, _corr_sql(TWO_FEATURES)) + f"SELECT feature_1, feature_2, {rs('r')} AS r FROM pairs"),
     Query("ag8_correlated_pairs", correlated, with_(FEATURES, _corr_sql()) +
           f"SELECT feature_1, feature_2, {rs('r')} AS r FROM pairs WHERE abs(r) > 0.8"),
     Query("ag8_correlation_matrix", matrix, with_(FEATURES, _corr_sql()) + f"""

@@ -17,20 +17,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scorekit.functions.columns import finite
-from scorekit.session import parallel_buckets
+from scorekit.functions.columns import double_array, finite
 
 SKETCH_ACCURACY = 10_000
-DIRECT_ROWS = 2 * SKETCH_ACCURACY
+BUCKETS = 4096  # quantiles sketched for running sums
+BUCKET_ROWS = 10_000  # rows per bucket aimed at, as long as BUCKETS allow it
+SLICES = 1024  # parts of equal width of a bracket
 
 
 def bucket_edges(df: DataFrame, columns, buckets: int | None = None) -> dict[str, list[float]]:
-    """Approximate quantile edges per column, from one sketch aggregation (no data shuffle)."""
-    buckets = buckets or parallel_buckets(df.sparkSession)
-    probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(*[F.percentile_approx(finite(c), probs, 4 * buckets).alias(c)
-                   for c in columns]).first()
-    return {c: sorted(set(row[c] or [])) for c in columns}
+    """Approximate quantile edges per column, from one sketch aggregation (no data shuffle). The number
+    of buckets follows the rows that the same pass counts, unless it is given."""
+    fine = buckets or BUCKETS
+    probs = [i / fine for i in range(1, fine)]
+    row = df.agg(F.count("*").alias("_rows"), *[F.percentile_approx(finite(c), probs, 4 * fine).alias(c)
+                                                for c in columns]).first()
+    wanted = buckets or max(8, min(fine, row["_rows"] // BUCKET_ROWS))
+    return {c: sorted({found[i * fine // wanted - 1] for i in range(1, wanted)}) if (found := row[c]) else []
+            for c in columns}
 
 
 def with_buckets(df: DataFrame, edges: dict[str, list[float]], suffix: str = "_bucket") -> DataFrame:
@@ -122,9 +126,9 @@ def _interpolate(values, rank):
 def exact_quantiles(df: DataFrame, columns, probs) -> dict[str, list[float | None]]:
     """Linear-interpolated exact quantiles of each column over its finite values.
 
-    Returns driver-side metadata of size columns x probs. A first pass counts and sketches all
-    columns at once; short columns are then answered directly, longer ones by counting only the
-    values that fall into a bracket of 4 / SKETCH_ACCURACY of the rows around each rank.
+    Returns driver-side metadata of size columns x probs. A first pass counts and sketches all columns
+    at once; then only the values within a bracket of 4 / SKETCH_ACCURACY of the rows around each rank are
+    counted, in slices, and searched. Where that share is less than a few rows the bracket takes all rows.
     """
     columns, probs = list(columns), [float(p) for p in probs]
     if not columns:
@@ -137,26 +141,18 @@ def exact_quantiles(df: DataFrame, columns, probs) -> dict[str, list[float | Non
         *[F.percentile_approx(c, around, SKETCH_ACCURACY).alias(f"q_{i}")
           for i, c in enumerate(columns)]).first()
     counts = {c: sketch[f"n_{i}"] for i, c in enumerate(columns)}
-    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
-
-    short = [c for c in columns if 0 < counts[c] <= DIRECT_ROWS]
-    if short:
-        row = clean.agg(*[F.percentile(c, probs).alias(c) for c in short]).first()
-        result.update({c: list(row[c]) for c in short})
-
-    long = [c for c in columns if counts[c] > DIRECT_ROWS]
-    if long:
-        result.update(_bracketed(clean, {c: sketch[f"q_{columns.index(c)}"] for c in long},
-                                 counts, probs))
-    return result
+    filled = [c for c in columns if counts[c]]
+    found = _bracketed(clean, {c: sketch[f"q_{columns.index(c)}"] for c in filled}, counts, probs) if filled else {}
+    return {c: found.get(c, [None] * len(probs)) for c in columns}
 
 
 def _bracketed(clean: DataFrame, sketches, counts, probs):
-    spark, half = clean.sparkSession, len(probs)
+    spark, half, margin = clean.sparkSession, len(probs), 2.0 / SKETCH_ACCURACY
     edges, targets = {}, []
     for i, (name, found) in enumerate(sketches.items()):
-        los = [-math.inf if p <= 2.0 / SKETCH_ACCURACY else v for p, v in zip(probs, found[:half])]
-        his = [math.inf if p >= 1 - 2.0 / SKETCH_ACCURACY else v for p, v in zip(probs, found[half:])]
+        few = counts[name] * margin < 4
+        los = [-math.inf if few or p <= margin else v for p, v in zip(probs, found[:half])]
+        his = [math.inf if few or p >= 1 - margin else v for p, v in zip(probs, found[half:])]
         merged, member = _brackets(los, his)
         # cell 2k is the gap below interval k, cell 2k+1 the interval itself
         bounds = []
@@ -175,12 +171,13 @@ def _bracketed(clean: DataFrame, sketches, counts, probs):
         whole = not any(math.isfinite(b) for b in bounds)
         number = F.lit(1) if whole else (cell + F.lit(shift)).cast("int")
         entries.append(F.struct(F.lit(i).alias("variable"), number.alias("cell"),
-                                F.when(number % 2 == 1, value).alias("value"),
+                                F.when(number % 2 == 1, value).alias("value"), _slice(value, number, bounds).alias("slice"),
                                 value.isNotNull().alias("present")))
     celled = with_buckets(clean, edges, "_cell")
     counted = (celled.select(F.inline(F.array(*entries))).where("present")
-               .groupBy("variable", "cell", "value").agg(F.count("*").alias("n")))
-    ranked = running_sums(counted, ["variable"], "cell", "value", ["n"])
+               .withColumn("bucket", F.col("cell") * SLICES + F.col("slice"))
+               .groupBy("variable", "cell", "bucket", "value").agg(F.count("*").alias("n")))
+    ranked = running_sums(counted, ["variable"], "bucket", "value", ["n"])
     wanted = spark.createDataFrame(sorted(set(targets)), "t_variable int, t_cell int, k bigint")
     hits = (ranked.where(F.col("value").isNotNull())
             .join(F.broadcast(wanted), (F.col("variable") == F.col("t_variable"))
@@ -192,3 +189,16 @@ def _bracketed(clean: DataFrame, sketches, counts, probs):
         by_variable.setdefault(hit["variable"], {})[hit["k"]] = hit["value"]
     return {name: [_interpolate(by_variable[i], p * (counts[name] - 1)) for p in probs]
             for i, name in enumerate(edges)}
+
+
+def _slice(value, number, bounds):
+    """Which of SLICES parts of equal width of its bracket a value falls into; 0 for open brackets."""
+    lows, scales = [], []
+    for low, high in zip(bounds[::2], bounds[1::2]):
+        width = high - low
+        closed = math.isfinite(width) and width > 1e-300
+        lows.append(low if closed else 0.0)
+        scales.append(SLICES / width if closed else 0.0)
+    bracket = F.floor((number - 1) / 2).cast("int")
+    part = F.floor((value - F.get(double_array(lows), bracket)) * F.get(double_array(scales), bracket))
+    return F.when(number % 2 == 1, F.least(F.greatest(part, F.lit(0)), F.lit(SLICES - 1))).otherwise(0).cast("bigint")

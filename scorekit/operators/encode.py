@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from scorekit.functions.columns import finite, unpivot_structs
 from scorekit.functions.order_stats import row_rank
-from scorekit.functions.skew import spread_join
+from scorekit.functions.skew import hot_counts, spread_join
 from scorekit.operators.clean import MISSING_NUMBER, replace_missing
-from scorekit.session import small_table, stage
+from scorekit.session import LOOKUP_ROWS, small_table, stage
 
 # Codes of rare or unseen and of missing categories, least count of a ranked one.
 RARE_CODE, MISSING_CODE, MIN_COUNT = 1, -999, 40
@@ -39,22 +39,24 @@ def frequency_ranks(df: DataFrame, columns: Sequence[str], min_count: int = MIN_
 class RankCountModel:
     """Frequency codes: known values get their rank, unseen or rare ones 1, missing ``set_nans``.
 
-    ``local`` tells that the mapping was checked to be small and lives in memory.
+    ``short`` holds the codes of columns whose lists were checked to be small, and lives in memory; each
+    other column is a shuffled join that deals the values of which the mapping counts many rows.
     """
 
     mapping: DataFrame
     columns: Sequence[str]
     set_nans: int = MISSING_CODE
-    local: bool = False
+    short: DataFrame | None = None
+    short_columns: frozenset[str] = frozenset()
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = df
         for c in self.columns:
-            codes = (self.mapping.where(F.col("variable") == c)
-                     .select(F.col("value").alias("_value"), F.col("code").alias("_code")))
-            keyed = out.withColumn("_value", F.col(c).cast("string"))
-            joined = (keyed.join(F.broadcast(codes), "_value", "left") if self.local
-                      else spread_join(keyed, codes, ["_value"]))
+            own = ((self.short if c in self.short_columns else self.mapping).where(F.col("variable") == c)
+                   .select(F.col("value").alias("_value"), F.col("code").alias("_code"), "n"))
+            codes, keyed = own.drop("n"), out.withColumn("_value", F.col(c).cast("string"))
+            joined = (keyed.join(F.broadcast(codes), "_value", "left") if c in self.short_columns
+                      else spread_join(keyed, codes, ["_value"], hot=hot_counts(own, ["_value"], "n")))
             code = (F.when(F.col(c).isNull(), F.lit(self.set_nans))
                     .otherwise(F.coalesce(F.col("_code"), F.lit(RARE_CODE))).cast("int"))
             out = joined.select(*[code.alias(c) if x == c else F.col(x) for x in out.columns])
@@ -68,12 +70,18 @@ class RankCountEncoder:
     min_count: int = MIN_COUNT
 
     def fit(self, df: DataFrame) -> RankCountModel:
-        """Count once: the mapping becomes an in-memory relation, or a stored table when it is long."""
-        ranks = frequency_ranks(df, self.columns, self.min_count)
-        local = small_table(ranks)
-        if local is not None:
-            return RankCountModel(local, self.columns, self.set_nans, True)
-        return RankCountModel(stage(ranks, "rank-count"), self.columns, self.set_nans)
+        """Count once into a stored table; the short lists of it also become an in-memory relation."""
+        ranks = stage(frequency_ranks(df, self.columns, self.min_count), "rank-count")
+        lengths = {r["variable"]: r["count"] for r in ranks.groupBy("variable").count().collect()}
+        short, rows = [], 0
+        for c in sorted(self.columns, key=lambda c: lengths.get(c, 0)):
+            rows += lengths.get(c, 0)
+            if rows <= LOOKUP_ROWS:
+                short.append(c)
+        local = small_table(ranks.where(F.col("variable").isin(short)))
+        if local is None:
+            return RankCountModel(ranks, self.columns, self.set_nans)
+        return RankCountModel(ranks, self.columns, self.set_nans, local, frozenset(short))
 
 
 @dataclass(frozen=True)

@@ -9,13 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorekit.functions.columns import (bin_index, categorical_columns, finite, numeric_columns, ratio,
-                                        unpivot_structs)
+from scorekit.functions.columns import bin_index, finite, numeric_columns, ratio, unpivot_structs
 from scorekit.functions.order_stats import bucket_edges, exact_quantiles, running_sums, with_buckets
-from scorekit.functions.skew import HOT_KEYS, HOT_ROWS, key_text, spread_join
+from scorekit.functions.skew import hot_counts, spread_join
 from scorekit.operators.metrics import feature_auc
 
-JVM_CORRELATION_COLUMNS = 3
 MISSING_LEVEL = "nan"
 
 
@@ -55,12 +53,13 @@ def woe_bins(df: DataFrame, target: str, numeric: Sequence[str] | None = None,
              categorical: Sequence[str] | None = None, bins: int = 10) -> DataFrame:
     """Counts, WoE and IV part of every bin of every variable.
 
-    Numeric: median fill, then right-closed quantile bins. Others: one bin per distinct text value,
-    missing being a value of its own. Counting is one map-side combined aggregation over the
+    Numeric: median fill, then right-closed quantile bins. Others (text, boolean, date, timestamp): one
+    bin per distinct value as text, missing being a value of its own. Counting is one map-side combined aggregation over the
     unpivoted (variable, bin) pairs; the input frame is left untouched.
     """
     numeric = list(numeric_columns(df, [target]) if numeric is None else numeric)
-    categorical = list(categorical_columns(df, [target]) if categorical is None else categorical)
+    if categorical is None:
+        categorical = [c for c in df.columns if c != target and c not in set(numeric_columns(df, [target]))]
     y = F.col(target).cast("int")
     source = df.where(y.isin(0, 1)).select(
         y.alias("_y"), *[finite(c).alias(c) for c in numeric],
@@ -105,27 +104,10 @@ def information_value(df: DataFrame, target: str, numeric: Sequence[str] | None
 
 # correlation -------------------------------------------------------------------------------------
 
-def _pair_entries(row, pairs, columns):
-    return [F.struct(F.lit(columns[i]).alias("feature_1"), F.lit(columns[j]).alias("feature_2"),
-                     F.col(f"r_{i}_{j}").alias("r")) for i, j in pairs]
-
-
-def _corr_by_aggregates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
-    clean = df.select(*[finite(c).alias(c) for c in columns])
-
-    def corr(a, b):
-        # not the built-in corr: it raises on a constant column in ANSI mode
-        return ratio(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b)))
-    row = clean.agg(*[corr(columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in pairs])
-    return unpivot_structs(row, [], _pair_entries(row, pairs, columns))
-
-
 def _corr_by_blocks(df: DataFrame, columns: Sequence[str], weight: str | None = None,
                     centre: Sequence[float] | None = None) -> DataFrame:
-    """Wide inputs: every task reduces its rows to pairwise-complete cross products (centred for
-    stability, by default on the means); one small row per pair and task is then summed. ``weight``
-    counts a row several times."""
+    """Every task reduces its rows to pairwise-complete cross products (centred for stability, by default
+    on the means); one small row per pair and task is then summed. ``weight`` counts a row several times."""
     k = len(columns)
     times = F.lit(1.0) if weight is None else F.col(weight).cast("double")
     clean = df.select(*[finite(c).alias(c) for c in columns], times.alias("_times"))
@@ -172,15 +154,12 @@ def _corr_by_blocks(df: DataFrame, columns: Sequence[str], weight: str | None =
                         F.get(labels, F.col("j")).alias("feature_2"), ratio(cov, spread).alias("r"))
 
 
-def pearson_pairs(df: DataFrame, columns: Sequence[str] | None = None, target: str | None = None,
-                  by_blocks: bool | None = None) -> DataFrame:
+def pearson_pairs(df: DataFrame, columns: Sequence[str] | None = None, target: str | None = None) -> DataFrame:
     """Pairwise-complete Pearson correlation of every column pair (later column first)."""
     columns = list(numeric_columns(df, [target]) if columns is None else columns)
     if len(columns) < 2:
         return df.sparkSession.createDataFrame([], "feature_1 string, feature_2 string, r double")
-    if by_blocks is None:
-        by_blocks = len(columns) > JVM_CORRELATION_COLUMNS
-    return (_corr_by_blocks if by_blocks else _corr_by_aggregates)(df, columns)
+    return _corr_by_blocks(df, columns)
 
 
 def correlated_pairs(df: DataFrame, threshold: float = 0.8, columns: Sequence[str] | None = None,
@@ -260,12 +239,8 @@ def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     counted = long.groupBy("_i", "_bucket", "_value").agg(F.sum("_times").alias("n"))
     ranks = (running_sums(counted, ["_i"], "_bucket", "_value", ["n"])
              .select("_i", "_value", (F.col("cum_n") - (F.col("n") - 1) / 2).alias("_rank")))
-    hot = []
-    if max(sizes) >= HOT_ROWS:
-        hot = (counted.where(F.col("n") >= HOT_ROWS).orderBy(F.desc("n")).limit(HOT_KEYS)
-               .select(key_text(["_i", "_value"]).alias("key")).collect())
-    wide = (spread_join(long.select("_row", "_times", "_i", "_value"), ranks, ["_i", "_value"], "inner",
-                        [h["key"] for h in hot])
+    keys = ["_i", "_value"]
+    wide = (spread_join(long.select("_row", "_times", *keys), ranks, keys, "inner", hot_counts(counted, keys, "n"))
             .groupBy("_row").agg(F.max("_times").alias("_times"),
                                  *[F.max(F.when(F.col("_i") == i, F.col("_rank"))).alias(c)
                                    for i, c in enumerate(columns)]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorekit.functions.columns import bin_index, finite, unpivot_structs
@@ -70,11 +70,13 @@ def volumetry(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"))
 
 
-def normalised_importance(importance: DataFrame, top: int = 80) -> DataFrame:
-    """Importance as a percentage of the total (input: one row per feature), largest first."""
+def normalised_importance(importance: DataFrame, top: int | None = None) -> DataFrame:
+    """Importance as a percentage of the total (input: one row per feature), largest first; the ``top`` of
+    them if a number is given."""
     total = importance.agg(F.sum("importance")).scalar()
-    return (importance.select("feature", (F.col("importance") / total * 100).alias("importance"))
-            .orderBy(F.desc("importance"), "feature").limit(top))
+    ranked = (importance.select("feature", (F.col("importance") / total * 100).alias("importance"))
+              .orderBy(F.desc("importance"), "feature"))
+    return ranked if top is None else ranked.limit(top)
 
 
 def top_features(importance: DataFrame, n: int) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql.window import Window
 from scorekit.functions.columns import hash32
 from scorekit.functions.order_stats import row_rank
 from scorekit.functions.skew import spread_join
-from scorekit.session import lookup_join, parallel_buckets
+from scorekit.session import lookup_join
 
 HASH_RANGE = 1 << 32
+SLICES = 4096  # slices of the hash range in which positions are counted
 
 
 def hash_order(keys, seed) -> Column:
@@ -29,9 +30,8 @@ def sample_rows(df: DataFrame, fraction: float, seed: int, key=None) -> DataFram
 
 def random_rank(df: DataFrame, stratum, key, seed: int, name: str = "row_num") -> DataFrame:
     """Random position of each row within its stratum (1..n)."""
-    buckets = parallel_buckets(df.sparkSession)
     marked = (df.withColumn("_hash", hash_order(key, seed))
-              .withColumn("_slice", F.floor(F.col("_hash") * buckets / HASH_RANGE)))
+              .withColumn("_slice", F.floor(F.col("_hash") * SLICES / HASH_RANGE)))
     ranked = row_rank(marked, stratum, ["_slice"], ["_hash", *key], name)
     return ranked.drop("_hash", "_slice")
 
@@ -48,7 +48,7 @@ def stratified_rows(df: DataFrame, stratum: Column, keep_fraction: float, seed:
     Rows are counted per (stratum, hash slice). Whole slices below the cut pass in the scan stage;
     only the one slice that holds the cut is sorted, so no task ever sees a whole stratum.
     """
-    slices = 16 * parallel_buckets(df.sparkSession)
+    slices = 16 * SLICES
     marked = (df.withColumn("_stratum", F.coalesce(stratum.cast("string"), F.lit("")))
               .withColumn("_hash", hash_order(key, seed))
               .withColumn("_slice", F.floor(F.col("_hash") * slices / HASH_RANGE)))

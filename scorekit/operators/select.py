@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from scorekit.functions.columns import finite, hash32
 from scorekit.operators import profile
 from scorekit.operators.metrics import auc_and_ks
 from scorekit.operators.sample import label_and_union
 from scorekit.operators.train import fit_classifier, sample_metrics
-from scorekit.session import stage
+
+GROUP_ROWS = 4000  # rows among which values are exchanged
+SWAP_STEPS = 8  # numbers of places between the rows that swap
 
 # Drift AUC limit and tolerated relative loss of KS per round.
 DRIFT_AUC = 0.55
@@ -56,9 +56,10 @@ def drift_elimination(older: DataFrame, recent: DataFrame, test: DataFrame, feat
 
 def progressive_curve(df: DataFrame, ranked: Sequence[str], target: str, kind: str = "lgbm",
                       params: dict | None = None, step: int = 1) -> DataFrame:
-    """AUC and KS on test and val against the number of features, most important first."""
+    """AUC and KS on test and val against the number of features, most important first. All features
+    are always the last point."""
     train, judged = df.where(F.col("sample") == "train"), df.where(F.col("sample").isin("test", "val"))
-    sizes = [*range(step, len(ranked) + 1, step)]
+    sizes = sorted({*range(step, len(ranked) + 1, step), len(ranked)} - {0})
     rows = []
     for n in sizes:
         m = sample_metrics(fit_classifier(train, ranked[:n], target, kind, params).score(judged), target)
@@ -102,25 +103,20 @@ def recursive_elimination(train: DataFrame, features: Sequence[str], target: str
 def shuffled_copies(df: DataFrame, features: Sequence[str], key: Sequence[str], seed: int) -> DataFrame:
     """Add ``shadow_<feature>`` columns: each feature's values exchanged between rows.
 
-    Rows are dealt to tasks by a hash of their key, ordered by it, and every Arrow batch permutes
-    each column independently. The result is staged, so a retried task cannot deal differently.
+    Rows are dealt into groups of about GROUP_ROWS by a hash of their key and ordered by another. Every
+    feature swaps the values of rows that stand a few places apart, each feature another few. This depends
+    on the rows alone, not on batches or partitions, so a retried task gives the same copies.
     """
-    shadows = [f"shadow_{f}" for f in features]
-    dealt = (df.withColumn("_deal", hash32(*key, seed=seed))
-             .repartition("_deal").sortWithinPartitions("_deal", *key))
-    schema = T.StructType([*df.schema.fields, *[T.StructField(s, T.DoubleType()) for s in shadows]])
-    source = dealt.select(*df.columns, *[finite(f).alias(s) for f, s in zip(features, shadows)])
-    first = len(df.columns)
-
-    def permute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch in enumerate(batches):
-            rng = np.random.default_rng([seed, number, batch.num_rows])
-            columns = [batch.column(i) for i in range(batch.num_columns)]
-            for i in range(first, batch.num_columns):
-                columns[i] = columns[i].take(pa.array(rng.permutation(batch.num_rows)))
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-    return stage(source.mapInArrow(permute, schema), "shadow")
+    groups = max(1, df.count() // GROUP_ROWS)
+    order = Window.partitionBy("_group").orderBy("_place", *key)
+    dealt = df.withColumns({"_group": hash32(*key, seed=seed) % groups, "_place": hash32(*key, seed=-seed - 1)})
+
+    def shadow(step, f):
+        own = F.struct(finite(f).alias("v"))
+        forward = F.floor((F.row_number().over(order) - 1) / step) % 2 == 0
+        swapped = F.when(forward, F.coalesce(F.lead(own, step).over(order), own)).otherwise(F.lag(own, step).over(order))
+        return swapped["v"].alias(f"shadow_{f}")
+    return dealt.select(*df.columns, *[shadow(1 + i % SWAP_STEPS, f) for i, f in enumerate(features)])
 
 
 def _binomial_tail(hits: int, trials: int) -> float:

@@ -6,6 +6,7 @@ import math
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from scorekit.functions.columns import finite, unpivot_structs
 from scorekit.operators.clean import MISSING_NUMBER
 from scorekit.operators.metrics import auc_and_ks
+from scorekit.session import stage
 
 VECTOR = "_features"
 SAMPLES = ("train", "test", "val", "oot")
@@ -135,15 +137,16 @@ def _log_uniform(rng, low, high):
 
 def search_space(kind: str) -> Callable[[random.Random], dict]:
     """Random parameter sets per kind, over the ranges that Spark ML has a counterpart for."""
+    # Ranges as (low, high) or (low, high, step).
     def boosting(depth_low, depth_high):
         return lambda rng: {
-            "stepSize": _log_uniform(rng, 0.01, 0.2), "maxIter": 100 * rng.randint(1, 10),
-            "maxDepth": rng.randint(depth_low, depth_high), "minInstancesPerNode": 5 * rng.randint(10, 100),
+            "stepSize": _log_uniform(rng, 0.01, 0.2), "maxIter": rng.randrange(100, 1001, 100),
+            "maxDepth": rng.randint(depth_low, depth_high), "minInstancesPerNode": rng.randrange(50, 501, 5),
             "subsamplingRate": rng.uniform(0.5, 1.0), "minInfoGain": rng.uniform(0.0, 0.01),
             "featureSubsetStrategy": f"{rng.uniform(0.4, 0.999):.3f}"}
     spaces = {
         "lgbm": boosting(5, 10), "xgboost": boosting(3, 10), "catboost": boosting(2, 10),
-        "forest": lambda rng: {"numTrees": 10 * rng.randint(2, 20), "maxDepth": rng.randint(4, 12),
+        "forest": lambda rng: {"numTrees": rng.randrange(20, 201, 10), "maxDepth": rng.randint(4, 12),
                                "subsamplingRate": rng.uniform(0.5, 1.0)},
         "logit": lambda rng: {"regParam": 1.0 / _log_uniform(rng, 1e-2, 1e3),
                               "elasticNetParam": rng.uniform(0.0, 1.0),
@@ -198,15 +201,15 @@ def permutation_importance(df: DataFrame, classifier: Classifier, key: Sequence[
     """Loss of AUC when one feature is exchanged between rows.
 
     The exchange reuses the shadow columns of ``shuffled_copies``: one extra shuffle for all features,
-    then one AUC job over (feature, score).
+    then one AUC job over (feature, score), with the untouched rows as one more feature.
     """
     from scorekit.operators.select import shuffled_copies
-    base = classifier.score(df)
-    whole = auc_and_ks(base, "PROBA", classifier.target).first()["auc"]
-    mixed = shuffled_copies(df, classifier.features, key, seed)
-    losses = []
-    for f in classifier.features:
+    mixed = stage(shuffled_copies(df, classifier.features, key, seed), "swapped")
+
+    def judged(f):
         swapped = mixed.select(*[F.col(f"shadow_{f}").alias(f) if c == f else F.col(c) for c in df.columns])
-        auc = auc_and_ks(classifier.score(swapped), "PROBA", classifier.target).first()["auc"]
-        losses.append((f, float(whole - auc)))
+        return classifier.score(swapped).select(F.lit(f).alias("feature"), "PROBA", classifier.target)
+    scores = reduce(DataFrame.unionAll, [judged(f) for f in ["", *classifier.features]])
+    found = {r["feature"]: r["auc"] for r in auc_and_ks(scores, "PROBA", classifier.target, ["feature"]).collect()}
+    losses = [(f, float(found[""] - found[f])) for f in classifier.features]
     return df.sparkSession.createDataFrame(losses, "feature string, importance double")

@@ -14,10 +14,10 @@ from scorekit.operators.encode import RankCountEncoder
 from scorekit.session import stage
 from scorekit.sources import writers
 
-# Reasons written to the removal report.
-REASON_NULL = "High Percentage of Null Values (threshold: above 90%)"
-REASON_IV = "Low Information Value (threshold: Less than 0.02)"
-REASON_CORRELATION = "High Correlation (threshold: above 0.9)"
+# Reasons written to the removal report; limits are filled in.
+REASON_NULL = "High Percentage of Null Values (threshold: above {:.0%})"
+REASON_IV = "Low Information Value (threshold: Less than {:g})"
+REASON_CORRELATION = "High Correlation (threshold: above {:g})"
 REASON_DRIFT = "Drift Treatment"
 REASON_FORWARD = "Progressive Feature Elimination process"
 REASON_PREFIX = ("Features with prefix NEW__ have been intentionally removed to align with project "
@@ -56,45 +56,60 @@ def filter_static(train: DataFrame, target: str, ignore: Sequence[str] = (),
         removed.append(([f for f in features if f in gone], reason))
         return [f for f in features if f not in gone]
 
-    features = remove(profile.high_missing(train.select(*features), target, limits.null_ratio), REASON_NULL)
+    features = remove(profile.high_missing(train.select(*features), target, limits.null_ratio),
+                      REASON_NULL.format(limits.null_ratio))
     slim = train.select(*features, target)
     iv = profile.information_value(slim, target, bins=limits.bins)
     weak = iv.where(F.col("iv") < limits.information_value).collect()
-    features = remove([r["variable"] for r in weak], REASON_IV)
+    features = remove([r["variable"] for r in weak], REASON_IV.format(limits.information_value))
     numeric = numeric_columns(train.select(*features))
     if len(numeric) > 1:
         pairs = profile.correlated_pairs(train, limits.correlation, numeric)
         judged = (profile.drop_by_auc(train, pairs, numeric, target) if limits.keep_by == "auc"
                   else profile.drop_by_variance(train, pairs, numeric))
         drops = judged.select("drop_feature").distinct().collect()
-        features = remove([r["drop_feature"] for r in drops], REASON_CORRELATION)
+        features = remove([r["drop_feature"] for r in drops], REASON_CORRELATION.format(limits.correlation))
     return FilterResult(features, reports.removal_report(train.sparkSession, removed), removed)
 
 
 def select_by_filters(train: DataFrame, test: DataFrame, target: str, month: str,
                       ignore: Sequence[str] = (), limits: FilterLimits = FilterLimits(),
-                      n_recent: int = 3, params: dict | None = None,
-                      max_rounds: int | None = None) -> FilterResult:
-    """All four steps: the static filters, then encoding and adversarial drift."""
+                      n_recent: int = 3, params: dict | None = None, max_rounds: int | None = None,
+                      drop_derived: bool = False, done: DataFrame | None = None) -> FilterResult:
+    """All four steps: the static filters, then encoding and adversarial drift. The distinct train rows and
+    the encoded tables are staged, as every step reads them again. With the stored report of an earlier
+    run (``done``) its features are out from the start and stay in the report."""
     train, _ = targets.coerce_target(clean.distinct_rows(train), target)
+    train = stage(train, "select-train")
     test, _ = targets.coerce_target(test, target)
-    static = filter_static(train, target, [*ignore, month], limits)
+    before = [] if done is None else _reasons(done)
+    static = filter_static(train, target, [*ignore, month, *[f for names, _ in before for f in names]], limits,
+                           drop_derived)
     kept = [*static.features, target, month]
     slim_train, slim_test = train.select(*kept), clean.align_columns(test, train.select(*kept))
     texts = categorical_columns(slim_train, [target, month])
     if texts:
         encoder = RankCountEncoder(texts).fit(slim_train)
         slim_train, slim_test = encoder.transform(slim_train), encoder.transform(slim_test)
+    slim_train, slim_test = stage(slim_train, "select-encoded"), stage(slim_test, "select-encoded")
     features = [f for f in static.features if f in numeric_columns(slim_train)]
     older, recent = sample.split_by_recency(slim_train, month, n_recent)
     drift = select.drift_elimination(older, recent, slim_test, features, target, params=params,
                                      max_rounds=max_rounds)
     drops = [r["feature"] for r in drift.collect()]
-    removed = [*static.removed, (drops, REASON_DRIFT)]
+    removed = [*before, *static.removed, (drops, REASON_DRIFT)]
     return FilterResult([f for f in static.features if f not in set(drops)],
                         reports.removal_report(train.sparkSession, removed), removed)
 
 
+def _reasons(report: DataFrame) -> list[tuple[list[str], str]]:
+    """A stored removal report as (features, reason) in the form that filters return."""
+    found: dict[str, list[str]] = {}
+    for r in report.select("FEATURE_NAME", "REASON_FOR_REMOVAL").orderBy("FEATURE_NAME").collect():
+        found.setdefault(r["REASON_FOR_REMOVAL"], []).append(r["FEATURE_NAME"])
+    return [(names, reason) for reason, names in found.items()]
+
+
 @dataclass(frozen=True)
 class Refinement:
     """Outcome of the model-driven steps."""
@@ -115,12 +130,13 @@ def remaining_features(columns: Sequence[str], report: DataFrame, ignore: Sequen
 
 
 def refine_features(df: DataFrame, features: Sequence[str], target: str, key: Sequence[str],
-                    removed: Sequence[tuple[list[str], str]] = (), n_curve: int | None = 200,
-                    n_forward: int | None = 150, step: int = 1, methods: Sequence[str] = (),
+                    removed: Sequence[tuple[list[str], str]] = (), n_curve: int | None = None,
+                    n_forward: int | None = None, step: int = 1, methods: Sequence[str] = (),
                     max_correlation: float = 0.8, kind: str = "lgbm", params: dict | None = None,
                     **method_options) -> Refinement:
     """Importance of a baseline, AUC and KS against the number of features, forward selection, and
-    optionally several selection methods with Spearman pruning. ``df`` has a ``sample`` column; the
+    optionally several selection methods with Spearman pruning. ``n_curve`` and ``n_forward`` limit the
+    features that are tried, most important first; a feature that was not tried is never dropped. ``df`` has a ``sample`` column; the
     encoder is fitted on train and the encoded table is staged for the fitting loops."""
     spark = df.sparkSession
     train = df.where(F.col("sample") == "train")
@@ -132,8 +148,8 @@ def refine_features(df: DataFrame, features: Sequence[str], target: str, key: Se
     ranked = [f for f, _ in fitted.importance()]
     curve = select.progressive_curve(table, ranked[:n_curve], target, kind, params, step)
     history = select.forward_selection(table, ranked[:n_forward], target, kind, params)
-    kept = {r["feature"] for r in history.where("kept").collect()}
-    dropped = [f for f in features if f not in kept]
+    gone = {r["feature"] for r in history.where("NOT kept").collect()}
+    dropped = [f for f in features if f in gone]
     reasons = [*removed, (dropped, REASON_FORWARD)]
     report = reports.removal_report(spark, reasons)
     everything = [f for names, _ in removed for f in names] + list(features)
@@ -143,7 +159,7 @@ def refine_features(df: DataFrame, features: Sequence[str], target: str, key: Se
             train, select.select_features(train, features, target, key, methods, **method_options),
             target, max_correlation)
     return Refinement(training.importance_table(spark, fitted), curve, history,
-                      [f for f in features if f in kept], report,
+                      [f for f in features if f not in gone], report,
                       reports.feature_status(spark, everything, report), selections)
 
 

@@ -38,8 +38,9 @@ def prepare(df: DataFrame, features: Sequence[str], categorical: Sequence[str],
 
 
 def evaluate(scored: DataFrame, target: str, month: str, features: Sequence[str],
-             quantiles: int = 10) -> dict[str, DataFrame]:
-    """Every evaluation table of a frame with ``sample``, PROBA and PRED."""
+             quantiles: int = 10, n_correlated: int | None = None) -> dict[str, DataFrame]:
+    """Every evaluation table of a frame with ``sample``, PROBA and PRED. Correlations are those of all
+    features, or of the first ``n_correlated``."""
     points = scored.withColumn("score", reports.score_points("PROBA"))
     train = scored.where(F.col("sample") == "train")
     tables = {
@@ -58,7 +59,7 @@ def evaluate(scored: DataFrame, target: str, month: str, features: Sequence[str]
         tables[f"ratings_{name}"] = reports.rating_table(part, "PROBA", target, quantiles)
         tables[f"summary_{name}"] = reports.score_summary(part, "score", target)
         tables[f"cohorts_{name}"] = reports.cohort_monitor(part, month, target, "score")
-        tables[f"correlation_{name}"] = profile.correlation_matrix(part, list(features)[:20])
+        tables[f"correlation_{name}"] = profile.correlation_matrix(part, list(features)[:n_correlated])
         for kind, curve in calibrators.items():
             tables[f"{kind}_{name}"] = metrics.auc_and_ks(curve.transform(part, "PROBA"),
                                                           "calibrated_prob", target)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from scorekit.functions.skew import spread_join
 
-LOOKUP_ROWS = 50_000
+LOOKUP_ROWS = 50_000  # most rows that the driver is asked for
+LOOKUP_BYTES = 32 << 20  # most bytes that are broadcast
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,13 +37,14 @@ def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_table(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame | None:
-    """``df`` as an in-memory relation when it has at most ``max_rows`` rows, else None.
+def small_table(df: DataFrame, max_rows: int = LOOKUP_ROWS, max_bytes: int = LOOKUP_BYTES) -> DataFrame | None:
+    """``df`` as an in-memory relation when it has at most ``max_rows`` rows and ``max_bytes`` bytes, else
+    None.
 
     The driver never receives more than ``max_rows + 1`` rows.
     """
     rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
+    if rows.num_rows > max_rows or rows.nbytes > max_bytes:
         return None
     return df.sparkSession.createDataFrame(rows, schema=df.schema)
 
@@ -56,13 +58,6 @@ def lookup_join(big: DataFrame, lookup: DataFrame, on, how: str = "left",
     return spread_join(big, lookup, [on] if isinstance(on, str) else on, how)
 
 
-def parallel_buckets(spark: SparkSession) -> int:
-    """Number of order-preserving buckets for distributed running sums: follows the cluster's
-    configured shuffle width, within bounds that keep the edge list small."""
-    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(64, min(4096, width))
-
-
 def tuned(spark: SparkSession) -> SparkSession:
     """Session settings that suit these jobs: run-time re-planning and skew handling, and no
     whole-stage method so large that the JVM refuses to compile it (wide derived features)."""

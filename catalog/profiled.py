@@ -266,6 +266,28 @@ def sigmoid(spark, sf):
     return curve.transform(df, "proba").select(*ROW_KEY, r("calibrated_prob", 4).alias("calibrated_prob"))
 
 
+def sigmoid_coefficients(spark, sf):
+    fit_on, _ = _train_rest(spark, sf)
+    curve = calibrate.fit_sigmoid(fit_on, "proba", "target")
+    return rounded(spark.createDataFrame([(curve.slope, curve.intercept)], "slope double, intercept double"),
+                   "slope", "intercept", digits=3)
+
+
+def _newton_sql(steps=15):
+    """Newton steps of the logistic fit on soft targets, one table expression each."""
+    parts = [SAMPLED, """counted AS (SELECT proba AS f, target AS y, CAST(count(*) AS DOUBLE) AS n FROM sampled
+  WHERE sample = 'train' GROUP BY 1, 2)""", """sizes AS (SELECT sum(n) FILTER (y = 1) AS n1, sum(n) FILTER (y = 0) AS n0 FROM counted)""",
+             "soft AS (SELECT f, n, CASE WHEN y = 1 THEN (n1 + 1) / (n1 + 2) ELSE 1 / (n0 + 2) END AS t FROM counted, sizes)",
+             "step0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"]
+    for i in range(steps):
+        parts.append(f"""sums{i} AS (SELECT any_value(a) AS a, any_value(b) AS b, sum(n * (t - p) * f) AS ga, sum(n * (t - p)) AS gb,
+  sum(n * p * (1 - p) * f * f) AS haa, sum(n * p * (1 - p) * f) AS hab, sum(n * p * (1 - p)) AS hbb
+  FROM (SELECT *, 1 / (1 + exp(-(a * f + b))) AS p FROM soft, step{i}))""")
+        parts.append(f"""step{i + 1} AS (SELECT a + (hbb * ga - hab * gb) / (haa * hbb - hab * hab) AS a,
+  b + (haa * gb - hab * ga) / (haa * hbb - hab * hab) AS b FROM sums{i})""")
+    return with_(*parts) + f"SELECT {rs('a', 3)} AS slope, {rs('b', 3)} AS intercept FROM step{steps}"
+
+
 def quantile_transform(spark, sf):
     fit_on, df = _train_rest(spark, sf)
     curve = calibrate.fit_quantile_transform(fit_on, "proba", 200)
@@ -490,6 +512,7 @@ FROM cust LEFT JOIN seg ON seg.v = c_mktsegment LEFT JOIN nat ON nat.v = c_natio
     Query("ca1_isotonic_calibration", isotonic),
     Query("ca1_isotonic_calibration_tied", isotonic_tied, ISOTONIC_SQL),
     Query("ca2_sigmoid_calibration", sigmoid),
+    Query("ca2_sigmoid_coefficients", sigmoid_coefficients, _newton_sql()),
     Query("ca3_quantile_transform", quantile_transform, _quantile_sql("proba", 200)),
     Query("ca3_quantile_transform_tied", quantile_transform_tied, _quantile_sql("proba_tied", 100)),
     Query("ml1_score_boosted_trees", _fit("lgbm", FAST_TREES)),

@@ -137,6 +137,22 @@ def mrmr(spark, sf):
     return spark.createDataFrame([(i, n) for i, n in enumerate(names, 1)], "rank int, feature string")
 
 
+def _mrmr_sql(k=4):
+    """The greedy order, one pick per table expression."""
+    rel = "\nUNION ALL ".join(f"""SELECT '{c}' AS feature, {i} AS place, sum(n * (m - g) * (m - g)) / (sum(n * v) / (sum(n) - 2)) AS f FROM
+  (SELECT target, count(*) AS n, avg(x) AS m, var_pop(x) AS v, (SELECT avg(coalesce({c}, -99999)) FROM feats) AS g
+   FROM (SELECT target, coalesce({c}, -99999) AS x FROM feats) GROUP BY target)""" for i, c in enumerate(NUMERIC_FEATURES))
+    red = "\nUNION ALL ".join(f"SELECT '{a}' AS feature, '{b}' AS other, abs(corr(coalesce({a}, -99999), coalesce({b}, -99999))) AS r FROM feats"
+                              for a in NUMERIC_FEATURES for b in NUMERIC_FEATURES if a != b)
+    parts = [FEATURES, f"rel AS ({rel})", f"red AS ({red})", "pick1 AS (SELECT 1 AS rank, feature FROM rel ORDER BY f DESC, place LIMIT 1)"]
+    for i in range(2, k + 1):
+        done = " UNION ALL ".join(f"SELECT feature FROM pick{j}" for j in range(1, i))
+        parts.append(f"""pick{i} AS (SELECT {i} AS rank, rel.feature FROM rel JOIN red ON red.feature = rel.feature
+  WHERE rel.feature NOT IN ({done}) AND other IN ({done})
+  GROUP BY rel.feature, f, place ORDER BY f / greatest(avg(r), 0.001) DESC, place LIMIT 1)""")
+    return with_(*parts) + " UNION ALL ".join(f"SELECT rank, feature FROM pick{i}" for i in range(1, k + 1))
+
+
 def frequencies(spark, sf):
     return profile.frequency_table(load(spark, sf, "part"), "p_brand", 40)
 
@@ -532,7 +548,7 @@ FROM cust LEFT JOIN seg ON seg.v = c_mktsegment LEFT JOIN nat ON nat.v = c_natio
     Query("ml10_recursive_elimination", recursive),
     Query("ml11_all_relevant", boruta),
     Query("ml12_f_statistic", f_statistic, _f_sql()),
-    Query("ml12_mrmr_ranking", mrmr),
+    Query("ml12_mrmr_ranking", mrmr, _mrmr_sql()),
     Query("ml13_spearman_pairs", spearman, with_(FEATURES, _SPEARMAN_RANKS, _corr_sql(SPEARMAN_FEATURES, "rk")) +
           f"SELECT feature_1, feature_2, {rs('r')} AS r FROM pairs"),
     Query("ml13_smart_correlated", smart_correlated, with_(FEATURES, auc_sql(["l_extendedprice", "net_price"])) + f"""

@@ -261,13 +261,18 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", distance:
     return rows.join(named.join(names, "root").select("fp", "component", "root"), "fp")
 
 
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
+def one_of_each(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
     """One row of each class, with all columns: that with the smallest key, nulls last; of rows that share
     it, the one whose text digest, and then whose whole row, comes first."""
     order = F.struct(F.col("key").isNull().alias("none"), "key", "digest")
-    kept = classes(docs, key, text, distance).groupBy("root").agg(F.min(order).alias("kept")).select("kept.*")
+    kept = members.groupBy("root").agg(F.min(order).alias("kept")).select("kept.*")
     digest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
     d = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), digest.alias("digest")).alias("d")
     met = d.join(kept.alias("k"), F.col("d.key").eqNullSafe(F.col("k.key")) & (F.col("d.digest") == F.col("k.digest")))
     first = F.row_number().over(Window.partitionBy("d.key", "d.digest").orderBy(F.xxhash64("row")))
     return met.withColumn("place", first).where("place = 1").select("row.*")
+
+
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
+    """One row of each class, as ``one_of_each`` chooses it."""
+    return one_of_each(docs, classes(docs, key, text, distance), key, text)

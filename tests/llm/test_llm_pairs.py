@@ -3,12 +3,13 @@
 import hashlib
 import random
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from brute import LONG, edge_docs, empty_docs, fingerprint, letter_words, roots
 from pyspark.sql import functions as F
 
-from scorekit.llm import decontam, simhash, topk
+from scorekit.llm import decontam, nearcopies, simhash, topk
 
 # near-duplicates --------------------------------------------------------------------------------
 
@@ -92,6 +93,62 @@ def test_near_copy_edges(spark):
     assert simhash.deduplicate(hot).collect()[0]["doc_id"] == 0
 
 
+def word_shingles(text, size=5):
+    words = (text or "").lower().split()
+    return frozenset(tuple(words[k:k + size]) for k in range(max(1, len(words) - size + 1))) if words else frozenset()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def similar_roots(texts, similarity=0.8):
+    sets, root = [word_shingles(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and jaccard(sets[i], sets[j]) >= similarity:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+def edited_texts():
+    """Texts of 12 to 400 words, each with copies that differ in more and more words, and a hot passage."""
+    random.seed(5)
+    word = lambda: "w" + str(random.randint(0, 3000))
+    out = []
+    for size in (12, 30, 60, 100, 200, 400):
+        for _ in range(8):
+            base = [word() for _ in range(size)]
+            out.append(" ".join(base))
+            for edits in (1, 2, size // 40 + 1, size // 20):
+                copy = list(base)
+                for at in random.sample(range(size), edits):
+                    copy[at] = word()
+                out.append(" ".join(copy))
+    common = [word() for _ in range(60)]
+    return out + [" ".join([*common, *[word() for _ in range(n)]]) for n in [5, 8, 12, 20, 60] * 12] + ["", None, "One two", "one  TWO"]
+
+
+@pytest.mark.parametrize("block", [4, 512])
+def test_near_copies_of_any_length(spark, block):
+    texts = edited_texts()
+    expected = similar_roots(texts)
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in enumerate(texts)], "doc_id long, text string, fp long, root int")
+    got = {r["key"]: r["component"] for r in nearcopies.classes(docs.repartition(4), block=block).collect()}
+    assert got == dict(enumerate(expected))
+    kept = nearcopies.deduplicate(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(expected))
+    assert len(set(expected)) < len(set(roots([fingerprint(t) for t in texts])))  # three bits lose many
+
+
+def test_pipeline_drops_near_copies_of_any_length(spark):
+    texts = edited_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(similar_roots(texts)))
+
+
 # contamination ----------------------------------------------------------------------------------
 
 def contamination_of(text, items, window=13):

@@ -3,13 +3,16 @@
 Groups (rows with equal texts) stand in the order of their text's digest. The smallest capacity with
 which all groups fit into the shards, taken greedily in that order, is found by binary search, and the
 shards are cut within that capacity. The greedy check needs running sums at group boundaries; it starts from
-a coarse grid of boundaries and refines the grid only where a cut can still fall, so the driver holds a
-bounded number of sums at any input size. Only DataFrame functions are used.
+a coarse grid of byte cells, of which Spark returns the first and the last boundary, and refines the cells
+only where a cut can still fall. Each round narrows the capacity from both sides to a cell's width, so
+the driver holds a number of sums that depends on grid and shards, not on the input or its skew. Only
+DataFrame functions are used.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -17,8 +20,8 @@ from pyspark.sql import functions as F
 
 from scorekit.llm.common import bucket_of, stage
 
-GRID = 8192  # boundaries in the first grid
-FINER = 16  # each refinement takes boundaries so many times as dense
+GRID = 8192  # byte cells in the first grid
+FINER = 16  # each refinement takes cells so many times as narrow
 HEX = 3  # hex digits of the digest that make up a bucket of the running sum
 CELLS = 4096  # cells per shard in which slots are numbered
 
@@ -45,6 +48,28 @@ def _floor_cuts(bounds: list[int], capacity: int, shards: int) -> list[int]:
     return cuts
 
 
+def _ceiling_cuts(bounds: list[int], unknown: set[int], capacity: int, shards: int) -> list[int]:
+    """Ends that no shards within ``capacity`` can exceed, when any sum between a boundary of ``unknown``
+    and the next known one may be a boundary."""
+    cuts, at = [], 0
+    for _ in range(shards):
+        at = min(at + capacity, bounds[-1])
+        known = bounds[bisect_right(bounds, at) - 1]
+        at = at if known in unknown else known
+        cuts.append(at)
+    return cuts
+
+
+def _smallest(low: int, high: int, feasible: Callable[[int], bool]) -> int:
+    while low < high:
+        middle = (low + high) // 2
+        if feasible(middle):
+            high = middle
+        else:
+            low = middle + 1
+    return low
+
+
 def _even_cuts(bounds: list[int], capacity: int, shards: int) -> list[int]:
     """Ends of shards within ``capacity``, each as near as possible to an even share of what is left."""
     total = bounds[-1]
@@ -67,41 +92,41 @@ def minimax_cuts(sums: DataFrame, shards: int, grid: int = GRID) -> list[int]:
     """Running sums at which the shards end. ``sums`` has one row per group: upto (running sum, group
     included), number (from 1), size. It should be staged.
 
-    Each round searches the smallest capacity that is feasible with the known boundaries only; the
-    exact one lies between the larger of mean and largest group, and that. Boundaries between the
-    cuts of these two limits are then fetched from a finer grid, until all of them are known there.
-    Within the capacity found, the cuts then leave shards as even as the boundaries allow.
+    Each round raises the lower limit to the smallest capacity that is feasible if every unknown boundary
+    stood where it is wanted, and lowers the upper one to the smallest that is feasible with the known
+    boundaries only; they differ by less than a cell. Between the cuts of these two limits finer cells
+    are then fetched, until the limits meet. Within the capacity found, the cuts then leave shards as
+    even as the known boundaries allow.
     """
-    total, count, largest = sums.agg(F.max("upto"), F.max("number"), F.max("size")).first()
-    if not count:
+    total, largest = sums.agg(F.max("upto"), F.max("size")).first()
+    if not total:
         return [0] * shards
-    low = max(-(-total // shards), largest)
-    step = max(1, count // grid)
-    known = {0, total}
+    low, high = max(-(-total // shards), largest), total
+    width = max(1, total // grid)
+    known, unknown = {0, total}, set()  # boundaries, and those of them with others before the next known one
     ranges = [(0, total)]
     while True:
         inside = F.lit(False)
         for a, b in ranges:
             inside = inside | F.col("upto").between(a, b)
-        known |= {r["upto"] for r in sums.where(inside & (F.col("number") % step == 0)).select("upto").collect()}
+        cells = (sums.where(inside).groupBy(F.floor(F.col("upto") / width))
+                 .agg(F.min("upto").alias("first"), F.max("upto").alias("last"), F.count("*").alias("n")).collect())
+        unknown = {u for u in unknown if not any(a <= u < b for a, b in ranges)}
+        unknown |= {r["first"] for r in cells if r["n"] > 2 and r["first"] < r["last"]}
+        known |= {r["first"] for r in cells} | {r["last"] for r in cells}
         bounds = sorted(known)
-        a, b = low, total
-        while a < b:
-            middle = (a + b) // 2
-            if _floor_cuts(bounds, middle, shards)[-1] == total:
-                b = middle
-            else:
-                a = middle + 1
-        if step == 1 or a == low:
-            return _even_cuts(bounds, a, shards)
-        ranges, first = [], _floor_cuts(bounds, low, shards)
-        for j, start in enumerate(first):
-            end = min(total, (j + 1) * a)
+        low = _smallest(low, high, lambda c: _ceiling_cuts(bounds, unknown, c, shards)[-1] == total)  # noqa: B023
+        high = _smallest(low, high, lambda c: _floor_cuts(bounds, c, shards)[-1] == total)  # noqa: B023
+        if low == high:
+            return _even_cuts(bounds, high, shards)
+        ranges = []
+        for start, end in zip(_floor_cuts(bounds, low, shards), _ceiling_cuts(bounds, unknown, high, shards), strict=True):
+            end = bounds[bisect_left(bounds, end)]
             if ranges and start <= ranges[-1][1]:
                 ranges[-1] = (ranges[-1][0], max(ranges[-1][1], end))
             else:
                 ranges.append((start, end))
-        step = max(1, step // FINER)
+        width = max(1, width // FINER)
 
 
 def text_digest(text: Column) -> Column:

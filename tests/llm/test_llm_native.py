@@ -133,6 +133,22 @@ def test_shards_are_minimax(spark, grid, shards):
     assert [min(where[t]) for t in order] == sorted(min(where[t]) for t in order)
 
 
+def test_skewed_groups_bring_few_sums_to_the_driver(spark, monkeypatch):
+    random.seed(9)
+    sizes = [random.randint(50, 150) for _ in range(100_000)]
+    mean = sum(sizes) / 0.9625 / 24
+    sizes.insert(int(10.3 * mean / 100), int(0.9 * mean))  # one group of copies
+    upto = [0]
+    for size in sizes:
+        upto.append(upto[-1] + size)
+    sums = spark.createDataFrame([(u, n, s) for n, (u, s) in enumerate(zip(upto[1:], sizes, strict=True), 1)], "upto long, number long, size long")
+    held, even = [], sharding._even_cuts
+    monkeypatch.setattr(sharding, "_even_cuts", lambda bounds, *rest: held.append(len(bounds)) or even(bounds, *rest))
+    cuts = sharding.minimax_cuts(sums.repartition(4), 24, grid=512)
+    assert max(b - a for a, b in zip([0, *cuts], cuts, strict=False)) == capacity(sizes, 24) > 1.01 * sum(sizes) / 24
+    assert set(cuts) <= set(upto) and held[0] < 10_000
+
+
 def test_sharding_edges(spark):
     docs = edge_docs(spark)
     got = sharding.assign_shards(docs, 24)

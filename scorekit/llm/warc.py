@@ -157,8 +157,8 @@ def _tasks(contents: DataFrame) -> int:
 
 def candidates(contents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Every offset at which a record may start, with the offset to which its successors lead at or
-    after the end of the range (file, at, to, range_end). A chain that breaks inside its range is left
-    out: nothing that follows from it can be a record."""
+    after the end of the range (file, at, to, range_end). A chain that breaks inside its range has no
+    successor (null): it enters no other range, but its records before the break are read."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,8 +181,7 @@ def candidates(contents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
                     to = found[at]
                     if to < end:
                         to = exits.get(to)
-                    if to is not None and to <= task["bytes"]:
-                        exits[at] = to
+                    exits[at] = to if to is not None and to <= task["bytes"] else None
                 yield pa.RecordBatch.from_pydict(
                     {"file": [task["file"]] * len(exits), "at": list(exits), "to": list(exits.values()),
                      "range_end": [end] * len(exits)},
@@ -200,13 +199,13 @@ def reachable(found: DataFrame) -> DataFrame:
     the reachable offsets point to; a file of n ranges takes log2(n) rounds.
     """
     found = stage(found, "warc-candidates")
-    entered = found.select("file", F.col("to").alias("at")).distinct()
+    entered = found.where(F.col("to").isNotNull()).select("file", F.col("to").alias("at")).distinct()
     starts = found.where("at = 0").select("file", "at")
     pointers = stage(found.select("file", "at", "to").join(entered.union(starts).distinct(), ["file", "at"]),
                      "warc-pointers")
     reached = starts
     while True:
-        onward = reached.alias("r").join(pointers.alias("p"), ["file", "at"]).select("file", F.col("to").alias("at"))
+        onward = reached.alias("r").join(pointers.alias("p"), ["file", "at"]).select("file", F.col("to").alias("at")).dropna()
         reached = stage(reached.union(onward).distinct(), "warc-reached")
         pointers = stage(pointers.alias("p").join(pointers.alias("q"), (F.col("p.file") == F.col("q.file"))
                                                   & (F.col("p.to") == F.col("q.at")))

@@ -72,6 +72,23 @@ def test_long_header_and_damage(spark, tmp_path):
     assert {r["page_id"]: r["payload"].decode() for r in records} == {i: h for i, _, h in rows}
 
 
+def test_damage_costs_no_record_before_it(spark, tmp_path):
+    rows = [(i, "u", f"payload {i} " * 50 + fake(5, "x")) for i in range(8)]
+    contents = warc.write_archives(pages_of(spark, rows).coalesce(1), f"{tmp_path}/archive")
+    data = open(contents.first()["file"], "rb").read()
+    starts = sorted(r["at"] for r in warc.read_archives(contents).collect())
+    broken = data[:starts[5]] + b"?" * 40 + data[starts[5] + 40:]
+    for name, content in (("payload", data[:-100]), ("header", data[:starts[7] + 20]), ("middle", broken)):
+        with open(f"{tmp_path}/{name}.warc", "wb") as f:
+            f.write(content)
+    files = spark.createDataFrame([(f"{tmp_path}/payload.warc", len(data) - 100, 8), (f"{tmp_path}/header.warc", starts[7] + 20, 8),
+                                   (f"{tmp_path}/middle.warc", len(data), 8)], warc.CONTENTS)
+    for range_bytes in (2000, warc.RANGE_BYTES):
+        got = sorted((r["file"].split("/")[-1], r["at"]) for r in warc.read_archives(files, range_bytes).collect())
+        assert got == sorted([("payload.warc", a) for a in starts[:7]] + [("header.warc", a) for a in starts[:7]]
+                             + [("middle.warc", a) for a in starts[:5]])
+
+
 def expected_documents(docs):
     tokenizer = Tokenizer.from_file(tokenizer_path())
     return {key: tokenizer.encode(text or "", add_special_tokens=False).ids + [END_ID] for key, text in docs}

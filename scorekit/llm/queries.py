@@ -10,11 +10,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorekit.llm import (decontam, langid, mixing, quality, sharding, simhash, tokens, topk, urls, warc)
+from scorekit.llm import (decontam, langid, mixing, quality, sharding, simhash, tokencounts, tokens, topk, urls, warc)
 from scorekit.llm.common import held_out, load, python_workers, shared_path
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+PIECES = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
 SHARDS = 24
 KEEP = 0.3  # score from which a document is predicted to be good
 
@@ -170,7 +172,16 @@ def op10_langid(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "p.lang_pred", "p.score")
 
 
+def op13_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    python_workers(spark)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    counted = load(spark, sf, "documents").select(
+        "doc_id", F.octet_length(text).cast("long").alias("n_bytes"),
+        tokencounts.token_count(text, public_tokenizers.path(PIECES)).alias("n_tokens"))
+    return counted.select("*", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 QUERIES = [Query("op1_warc", op1_warc), Query("op2_topk", op2_topk, OP2), Query("op3_tokens", op3_tokens),
            Query("op4_quality", op4_quality), Query("op5_mixing", op5_mixing, OP5), Query("op6_decontam", op6_decontam),
            Query("op7_simhash", op7_simhash), Query("op8_urls", op8_urls, OP8), Query("op9_sharding", op9_sharding),
-           Query("op10_langid", op10_langid)]
+           Query("op10_langid", op10_langid), Query("op13_token_counts", op13_token_counts)]

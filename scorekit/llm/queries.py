@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorekit.llm import (decontam, langid, mixing, quality, sharding, simhash, tokencounts, tokens, topk, urls, warc)
+from scorekit.llm import (decontam, langid, mixing, quality, sharding, simhash, spelling, tokencounts, tokens, topk, urls, warc)
 from scorekit.llm.common import held_out, load, python_workers, shared_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -172,6 +172,50 @@ def op10_langid(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "p.lang_pred", "p.score")
 
 
+def op12_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    python_workers(spark)
+    return spelling.spelling_variants(spelling.count_words(load(spark, sf, "documents")))
+
+
+OP12 = r"""
+WITH RECURSIVE bits(b, crc, step) AS (
+  SELECT b, CAST(b AS BIGINT), 0 FROM range(256) t(b)
+  UNION ALL SELECT b, CASE WHEN crc % 2 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END, step + 1 FROM bits WHERE step < 8),
+crc_table AS (SELECT list(crc ORDER BY b) AS entries FROM bits WHERE step = 8),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)),
+in_documents AS (SELECT doc_id, run, count(*) AS n, length(run) AS letters FROM runs GROUP BY doc_id, run HAVING length(run) >= 5),
+hashed AS (
+  SELECT run, n, letters,
+         xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+               lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, CAST(unicode(c) - 64 AS BIGINT)] END))),
+             lambda crc, byte: xor(crc >> 8, entries[CAST(xor(crc & 255, byte) + 1 AS INTEGER)])), 4294967295) AS h
+  FROM in_documents, crc_table),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % letters AS INTEGER)) || substr(run, CAST(h % letters AS INTEGER) + 2)
+                    ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+gaps AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+shorter AS (SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail FROM gaps),
+links AS (
+  SELECT a.word, b.word AS near, b.n FROM shorter a JOIN shorter b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON b.word = a.head || a.tail
+  UNION SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON b.word = a.head || a.tail),
+ranked AS (
+  SELECT word, near, n AS near_n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS place FROM links),
+forms AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN near_n >= 2 * w.n THEN near END AS form,
+         CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND r.place = 1),
+chains(word, last) AS (
+  SELECT word, word FROM forms UNION ALL SELECT c.word, f.form FROM chains c JOIN forms f ON f.word = c.last WHERE f.form IS NOT NULL),
+roots AS (SELECT c.word, c.last AS root FROM chains c JOIN forms f ON f.word = c.last WHERE f.form IS NULL)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM forms JOIN roots USING (word)"""
+
+
 def op13_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     python_workers(spark)
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -184,4 +228,4 @@ def op13_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = [Query("op1_warc", op1_warc), Query("op2_topk", op2_topk, OP2), Query("op3_tokens", op3_tokens),
            Query("op4_quality", op4_quality), Query("op5_mixing", op5_mixing, OP5), Query("op6_decontam", op6_decontam),
            Query("op7_simhash", op7_simhash), Query("op8_urls", op8_urls, OP8), Query("op9_sharding", op9_sharding),
-           Query("op10_langid", op10_langid), Query("op13_token_counts", op13_token_counts)]
+           Query("op10_langid", op10_langid), Query("op12_spelling", op12_spelling, OP12), Query("op13_token_counts", op13_token_counts)]

@@ -24,14 +24,14 @@ def table(spark, name):
 
 @pytest.mark.parametrize("name", [q.name for q in queries.QUERIES if q.sql])
 def test_queries_match_sql(spark, name):
-    got = BY_NAME[name].run(spark, SF).toPandas()
+    got = BY_NAME[name].run(spark, SF).toArrow()
     connection = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    expected = connection.execute(BY_NAME[name].sql).df()
-    assert sorted(got.columns) == sorted(expected.columns)
-    columns = sorted(got.columns)
-    sort = lambda df: sorted(map(str, df[columns].astype(object).where(df[columns].notna(), None).values.tolist()))
+    expected = connection.execute(BY_NAME[name].sql).to_arrow_table()
+    columns = sorted(expected.column_names)
+    assert sorted(got.column_names) == columns
+    sort = lambda table: sorted(str([row[c] for c in columns]) for row in table.to_pylist())
     assert sort(got) == sort(expected)
 
 

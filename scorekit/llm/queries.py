@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorekit.llm import (decontam, langid, mixing, quality, sharding, simhash, spelling, tokencounts, tokens, topk, urls, warc)
+from scorekit.llm import (decontam, langid, mixing, quality, repair, sharding, simhash, spelling, tokencounts, tokens, topk, urls, warc)
 from scorekit.llm.common import held_out, load, python_workers, shared_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -172,16 +172,94 @@ def op10_langid(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "p.lang_pred", "p.score")
 
 
+# The table of crc32, from its polynomial
+CRC_TABLE = """
+WITH RECURSIVE bits(b, crc, step) AS (
+  SELECT b, CAST(b AS BIGINT), 0 FROM range(256) t(b)
+  UNION ALL SELECT b, CASE WHEN crc % 2 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END, step + 1 FROM bits WHERE step < 8),
+crc_table AS (SELECT list(crc ORDER BY b) AS entries FROM bits WHERE step = 8),"""
+
+
+def op11_repair(spark: SparkSession, sf: str) -> DataFrame:
+    python_workers(spark)
+    found = repair.summary(repair.repair(repair.damage(load(spark, sf, "conversations"))))
+    return found.withColumnsRenamed({"conv": "conv_id", "sha256": "repaired_sha256"})
+
+
+# States of the role grammar: nothing yet (e), after s (s), after a turn u (u), after a pair (p); each is the cheapest cost in nine
+# digits followed by its least audit.
+OP11 = CRC_TABLE + r"""
+originals AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':'
+                                                                              || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                                                                 lambda c: CAST(unicode(c) AS BIGINT))),
+             lambda crc, byte: xor(crc >> 8, entries[CAST(xor(crc & 255, byte) + 1 AS INTEGER)])), 4294967295) % 20 AS part
+  FROM conversations, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN part = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN part = 1 THEN '' WHEN part = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN part = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM originals WHERE part <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+         right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ending FROM damaged),
+faulty AS (
+  SELECT *, left(role, 1) AS i, left(lag(role) OVER (PARTITION BY conv_id ORDER BY n), 1) || left(role, 1) AS pair,
+         CASE WHEN ending = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+              WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+  FROM numbered),
+edits AS (SELECT *, coalesce(fault IN ('blank', 'duplicate'), false) AS must, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra FROM faulty),
+parse(conv_id, n, e, s, u, p) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '000000000', '400000000', '400000000', '400000000' FROM conversations
+  UNION ALL
+  SELECT conv_id, n,
+         list_min(list_transform([{x: e, k: 2, l: 'D'}], lambda w: printf('%09d', CAST(substr(w.x, 1, 9) AS BIGINT) + w.k) || substr(w.x, 10) || w.l)),
+         list_min(list_transform([{x: s, k: 2, l: 'D'}, {x: e, k: CASE WHEN i = 's' AND NOT must THEN extra ELSE 400000000 END, l: 'K'}],
+                                 lambda w: printf('%09d', CAST(substr(w.x, 1, 9) AS BIGINT) + w.k) || substr(w.x, 10) || w.l)),
+         list_min(list_transform([{x: u, k: 2, l: 'D'}, {x: e, k: ku, l: 'K'}, {x: s, k: ku, l: 'K'}, {x: p, k: ku, l: 'K'}, {x: u, k: ku + 5, l: 'IK'},
+             {x: e, k: kr, l: 'R'}, {x: s, k: kr, l: 'R'}, {x: p, k: kr, l: 'R'}, {x: u, k: kr + 5, l: 'IR'}],
+                                 lambda w: printf('%09d', CAST(substr(w.x, 1, 9) AS BIGINT) + w.k) || substr(w.x, 10) || w.l)),
+         list_min(list_transform([{x: p, k: 2, l: 'D'}, {x: u, k: ka, l: 'K'}, {x: u, k: kr, l: 'R'},
+             {x: e, k: ka + 5, l: 'IK'}, {x: s, k: ka + 5, l: 'IK'}, {x: p, k: ka + 5, l: 'IK'},
+             {x: e, k: kr + 5, l: 'IR'}, {x: s, k: kr + 5, l: 'IR'}, {x: p, k: kr + 5, l: 'IR'}],
+                                 lambda w: printf('%09d', CAST(substr(w.x, 1, 9) AS BIGINT) + w.k) || substr(w.x, 10) || w.l))
+  FROM (SELECT parse.conv_id, edits.n, i, must, extra, least(e, '400000000') AS e, least(s, '400000000') AS s, least(u, '400000000') AS u,
+               least(p, '400000000') AS p, CASE WHEN i = 'u' AND NOT must THEN extra ELSE 400000000 END AS ku,
+               CASE WHEN i = 'a' AND NOT must THEN extra ELSE 400000000 END AS ka, CASE WHEN NOT must THEN 1 + extra ELSE 400000000 END AS kr
+        FROM parse JOIN edits ON parse.conv_id IS NOT DISTINCT FROM edits.conv_id AND edits.n = parse.n + 1)),
+ends AS (
+  SELECT conv_id, list_min([e, p, printf('%09d', CAST(substr(u, 1, 9) AS BIGINT) + 5) || substr(u, 10) || 'I',
+                            printf('%09d', CAST(substr(s, 1, 9) AS BIGINT) + 10) || substr(s, 10) || 'II']) AS best
+  FROM parse QUALIFY n = max(n) OVER (PARTITION BY conv_id)),
+moves AS (  -- one row per edit that leaves a turn; the audit's k-th letter that is no insertion edits the k-th row
+  SELECT conv_id, pos, substr(audit, pos, 1) AS move, pos - length(regexp_replace(substr(audit, 1, pos), '[^I]', '', 'g')) AS n
+  FROM (SELECT conv_id, substr(best, 10) AS audit, unnest(range(1, length(best) - 8)) AS pos FROM ends)),
+turns AS (
+  SELECT m.conv_id, pos, move, role, text, row_number() OVER (PARTITION BY m.conv_id ORDER BY pos) AS place
+  FROM moves m LEFT JOIN edits d ON m.conv_id IS NOT DISTINCT FROM d.conv_id AND m.n = d.n WHERE move <> 'D'),
+begun AS (SELECT *, CAST(first_value(move = 'K' AND role LIKE 's%') OVER (PARTITION BY conv_id ORDER BY pos) AS INTEGER) AS shift FROM turns),
+repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN move = 'K' THEN role WHEN (place - shift) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+                             || CASE WHEN move = 'I' THEN '' ELSE text END, chr(10) ORDER BY pos) AS lines
+  FROM begun GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id)
+SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(substr(best, 1, 9) AS BIGINT) AS cost,
+       substr(best, 10) AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON e.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repaired r ON e.conv_id IS NOT DISTINCT FROM r.conv_id"""
+
+
 def op12_spelling(spark: SparkSession, sf: str) -> DataFrame:
     python_workers(spark)
     return spelling.spelling_variants(spelling.count_words(load(spark, sf, "documents")))
 
 
-OP12 = r"""
-WITH RECURSIVE bits(b, crc, step) AS (
-  SELECT b, CAST(b AS BIGINT), 0 FROM range(256) t(b)
-  UNION ALL SELECT b, CASE WHEN crc % 2 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END, step + 1 FROM bits WHERE step < 8),
-crc_table AS (SELECT list(crc ORDER BY b) AS entries FROM bits WHERE step = 8),
+OP12 = CRC_TABLE + r"""
 runs AS (
   SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
   FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)),
@@ -228,4 +306,4 @@ def op13_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = [Query("op1_warc", op1_warc), Query("op2_topk", op2_topk, OP2), Query("op3_tokens", op3_tokens),
            Query("op4_quality", op4_quality), Query("op5_mixing", op5_mixing, OP5), Query("op6_decontam", op6_decontam),
            Query("op7_simhash", op7_simhash), Query("op8_urls", op8_urls, OP8), Query("op9_sharding", op9_sharding),
-           Query("op10_langid", op10_langid), Query("op12_spelling", op12_spelling, OP12), Query("op13_token_counts", op13_token_counts)]
+           Query("op10_langid", op10_langid), Query("op11_repair", op11_repair, OP11), Query("op12_spelling", op12_spelling, OP12), Query("op13_token_counts", op13_token_counts)]

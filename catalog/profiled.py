@@ -276,6 +276,28 @@ SELECT {', '.join(ROW_KEY)}, {rs('greatest(p_low, least(p_high, v))')} AS calibr
 FROM sampled JOIN iso ON p = proba_tied, span"""
 
 
+# the vertices of the greatest convex minorant of the cumulative sums: each next one is where the mean from here
+# is least, the last of them on ties
+ISOTONIC_HULL_SQL = with_(SAMPLED, """
+pts AS (SELECT proba AS p, CAST(sum(target) AS BIGINT) AS s, count(*) AS n FROM sampled WHERE sample = 'train' GROUP BY 1),
+idx AS (SELECT p, row_number() OVER (ORDER BY p) AS i, sum(s) OVER (ORDER BY p) AS cs, sum(n) OVER (ORDER BY p) AS cn FROM pts),
+hull AS (SELECT CAST(0 AS BIGINT) AS i, CAST(0 AS HUGEINT) AS cs, CAST(0 AS HUGEINT) AS cn, CAST(NULL AS DOUBLE) AS v
+  UNION ALL
+  SELECT nxt.i, nxt.cs, nxt.cn, nxt.v FROM (
+    SELECT arg_min({i: x.i, cs: x.cs, cn: x.cn, v: CAST(x.cs - h.cs AS DOUBLE) / CAST(x.cn - h.cn AS DOUBLE)},
+                   {v: CAST(x.cs - h.cs AS DOUBLE) / CAST(x.cn - h.cn AS DOUBLE), i: -x.i}) AS nxt
+    FROM hull h JOIN idx x ON x.i > h.i GROUP BY h.i) step),
+iso AS (SELECT idx.p, hull.v FROM idx ASOF JOIN hull ON idx.i <= hull.i),
+probes AS (SELECT DISTINCT proba AS p FROM sampled),
+below AS (SELECT q.p, iso.p AS p0, iso.v AS v0 FROM probes q ASOF LEFT JOIN iso ON q.p >= iso.p),
+around AS (SELECT b.p, p0, v0, iso.p AS p1, iso.v AS v1 FROM below b ASOF LEFT JOIN iso ON b.p <= iso.p),
+span AS (SELECT min(p) AS p_low, max(p) AS p_high FROM pts),
+calibrated AS (SELECT p, greatest(p_low, least(p_high, CASE WHEN p0 IS NULL THEN v1 WHEN p1 IS NULL OR p0 = p1 THEN v0
+  ELSE v0 + (v1 - v0) * (p - p0) / (p1 - p0) END)) AS c FROM around, span)""") + f"""
+SELECT {', '.join(ROW_KEY)}, {rs('c', 5)} AS calibrated_prob FROM sampled JOIN calibrated ON p = proba"""
+ISOTONIC_HULL_SQL = ISOTONIC_HULL_SQL.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def sigmoid(spark, sf):
     fit_on, df = _train_rest(spark, sf)
     curve = calibrate.fit_sigmoid(fit_on, "proba", "target")
@@ -525,7 +547,7 @@ FROM cust LEFT JOIN seg ON seg.v = c_mktsegment LEFT JOIN nat ON nat.v = c_natio
         rs(f"coalesce({c}, -99999) / (SELECT max(abs(coalesce({c}, -99999))) FROM sfeats WHERE sample = 'train')")
         + f" AS {c}" for c in SCALED) + " FROM sfeats"),
     *[Query(f"en4_prepare_{k}", _recipe(k), _recipe_sql(k)) for k in ("lgbm", "xgboost", "catboost", "logit")],
-    Query("ca1_isotonic_calibration", isotonic),
+    Query("ca1_isotonic_calibration", isotonic, ISOTONIC_HULL_SQL),
     Query("ca1_isotonic_calibration_tied", isotonic_tied, ISOTONIC_SQL),
     Query("ca2_sigmoid_calibration", sigmoid),
     Query("ca2_sigmoid_coefficients", sigmoid_coefficients, _newton_sql()),

@@ -2,8 +2,8 @@
 
 Two tools:
 
-* ``running_sums`` - cumulative sums over an order, computed inside order-preserving buckets plus
-  the total of the earlier buckets.
+* ``ordered_buckets`` and ``running_sums`` - cumulative sums over an order, computed inside
+  order-preserving buckets of bounded size plus the total of the earlier buckets.
 * ``exact_quantiles`` - a mergeable sketch brackets every wanted rank, then only the values inside
   the brackets are shuffled and counted to find the exact element.
 """
@@ -18,23 +18,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from scorekit.functions.columns import double_array, finite
+from scorekit.session import stage
 
 SKETCH_ACCURACY = 10_000
-BUCKETS = 4096  # quantiles sketched for running sums
-BUCKET_ROWS = 10_000  # rows per bucket aimed at, as long as BUCKETS allow it
+BUCKET = "_bucket"
+BUCKET_VALUES = 1_000_000  # distinct values that a task orders
+MOST_BUCKETS = 50_000
 SLICES = 1024  # parts of equal width of a bracket
 
 
-def bucket_edges(df: DataFrame, columns, buckets: int | None = None) -> dict[str, list[float]]:
-    """Approximate quantile edges per column, from one sketch aggregation (no data shuffle). The number
-    of buckets follows the rows that the same pass counts, unless it is given."""
-    fine = buckets or BUCKETS
-    probs = [i / fine for i in range(1, fine)]
-    row = df.agg(F.count("*").alias("_rows"), *[F.percentile_approx(finite(c), probs, 4 * fine).alias(c)
-                                                for c in columns]).first()
-    wanted = buckets or max(8, min(fine, row["_rows"] // BUCKET_ROWS))
-    return {c: sorted({found[i * fine // wanted - 1] for i in range(1, wanted)}) if (found := row[c]) else []
-            for c in columns}
+def ordered_buckets(counted: DataFrame, keys, value: str, most: int = BUCKET_VALUES) -> DataFrame:
+    """A table with one row per (keys, value), stored with the column BUCKET: numbers that ascend with
+    (keys, value) and that no more than ``most`` rows share.
+
+    The edges of the buckets come from a sample of the combined rows that Spark's range partitioning takes, so
+    ties weigh nothing and what made the rows is not evaluated again. Where a bucket comes out too full, the
+    stored rows are cut into more ranges. Beyond ``most`` * MOST_BUCKETS rows the buckets grow.
+    """
+    order = [F.col(k).asc_nulls_first() for k in [*keys, value]]
+    buckets = max(2, int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    while True:
+        stored = stage(counted.repartitionByRange(buckets, *order)
+                       .withColumn(BUCKET, F.spark_partition_id().cast("long")), "ordered")
+        sizes = stored.groupBy(BUCKET).agg(F.count("*").alias("n")).agg(F.max("n").alias("top"), F.sum("n").alias("all")).first()
+        if (sizes["top"] or 0) <= most or buckets == MOST_BUCKETS:
+            return stored
+        counted, buckets = stored.drop(BUCKET), min(MOST_BUCKETS, max(2 * buckets, math.ceil(2 * sizes["all"] / most)))
 
 
 def with_buckets(df: DataFrame, edges: dict[str, list[float]], suffix: str = "_bucket") -> DataFrame:
@@ -79,6 +88,31 @@ def running_sums(df: DataFrame, keys, bucket: str, order, measures) -> DataFrame
         *[F.col(f"tot_{m}") for m in measures])
 
 
+def surrounding(probes: DataFrame, points: DataFrame, most: int = BUCKET_VALUES) -> DataFrame:
+    """For each distinct x of ``probes`` (x) the nearest of ``points`` (x, y; distinct x) not above and not below it:
+    x, x0, y0, x1, y1, null where there is none.
+
+    Both tables are merged in order-preserving buckets, inside which the last and the next point are carried along;
+    a bucket gets what it lacks at its ends from the table of the buckets' first and last points.
+    """
+    merged = (probes.select("x", F.lit(None).cast("double").alias("y")).unionByName(points.select("x", "y"))
+              .groupBy("x").agg(F.max("y").alias("y")))
+    stored = ordered_buckets(merged, [], "x", most)
+    point = F.when(F.col("y").isNotNull(), F.struct("x", "y"))
+    ends = stored.groupBy(BUCKET).agg(F.max(point).alias("_top"), F.min(point).alias("_bottom"))
+    order = Window.partitionBy(F.lit(0)).orderBy(BUCKET)  # a row per bucket
+    ends = ends.select(F.col(BUCKET).alias("_at"),
+                       F.last("_top", True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+                       F.first("_bottom", True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("_behind"))
+    inside = Window.partitionBy(BUCKET).orderBy("x")
+    carried = stored.select(
+        "x", BUCKET, F.last(point, True).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("_left"),
+        F.first(point, True).over(inside.rowsBetween(0, Window.unboundedFollowing)).alias("_right"))
+    left, right = F.coalesce("_left", "_before"), F.coalesce("_right", "_behind")
+    return carried.join(ends, F.col(BUCKET) == F.col("_at")).select(
+        "x", left["x"].alias("x0"), left["y"].alias("y0"), right["x"].alias("x1"), right["y"].alias("y1"))
+
+
 def row_rank(df: DataFrame, keys, levels, order, name: str) -> DataFrame:
     """``row_number`` within ``keys`` ordered by ``levels`` then ``order``, with no task holding a
     whole key: positions are counted level by level and only the last level is sorted."""
@@ -138,7 +172,7 @@ def exact_quantiles(df: DataFrame, columns, probs) -> dict[str, list[float | Non
     clean = df.select(*[finite(c).alias(c) for c in columns])
     sketch = clean.agg(
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[F.percentile_approx(c, around, SKETCH_ACCURACY).alias(f"q_{i}")
+        *[F.percentile_approx(c, double_array(around), SKETCH_ACCURACY).alias(f"q_{i}")
           for i, c in enumerate(columns)]).first()
     counts = {c: sketch[f"n_{i}"] for i, c in enumerate(columns)}
     filled = [c for c in columns if counts[c]]

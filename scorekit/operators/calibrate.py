@@ -4,29 +4,50 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Bucketizer, VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorekit.functions.columns import as_column, double_array, finite
-from scorekit.functions.order_stats import exact_quantiles
+from scorekit.functions.order_stats import BUCKET, BUCKET_VALUES, exact_quantiles, ordered_buckets, surrounding
+from scorekit.functions.skew import spread_join
+from scorekit.session import stage
+
+SEARCHED_POINTS = 2000  # points of a curve that a row searches itself
 
 
 @dataclass(frozen=True)
 class StepCurve:
-    """Piecewise-linear map through (boundaries, values), constant outside."""
+    """Piecewise-linear map through the stored points (x, y), constant outside and clipped to [low, high].
 
-    boundaries: list[float]
-    values: list[float]
-    low: float
-    high: float
+    Curves of few points are searched by every row on its own. Longer ones meet the distinct probabilities in
+    order-preserving buckets, and the rows look their probability up.
+    """
 
-    def transform(self, df: DataFrame, probability: str, name: str = "calibrated_prob") -> DataFrame:
-        positioned = _position(df, probability, self.boundaries)
-        return positioned.withColumn(name, F.greatest(F.lit(self.low), F.least(
-            F.lit(self.high), _interpolated(F.col(probability), self.boundaries, self.values)))).drop("_pos")
+    points: DataFrame
+    low: float | None
+    high: float | None
+
+    def transform(self, df: DataFrame, probability: str, name: str = "calibrated_prob", searched: int = SEARCHED_POINTS) -> DataFrame:
+        few = self.points.orderBy("x").limit(searched + 1).collect()
+        if not few:
+            return df.withColumn(name, F.lit(None).cast("double"))
+        if len(few) <= searched:
+            xs, ys = [r["x"] for r in few], [r["y"] for r in few]
+            value = _interpolated(F.col(probability), xs, ys)
+            return _position(df, probability, xs).withColumn(name, self._clipped(value)).drop("_pos")
+        keyed = df.withColumn("_x", finite(probability))
+        around = surrounding(keyed.select(F.col("_x").alias("x")).where("x IS NOT NULL").distinct(), self.points)
+        rise = (F.col("y1") - F.col("y0")) * (F.col("x") - F.col("x0")) / (F.col("x1") - F.col("x0"))
+        value = F.when(F.col("x0").isNull(), F.col("y1")).when(F.col("x1").isNull() | (F.col("x0") == F.col("x1")), F.col("y0")) \
+            .otherwise(F.col("y0") + rise)
+        found = around.select(F.col("x").alias("_x"), self._clipped(value).alias(name))
+        return spread_join(keyed.drop(name), found, ["_x"]).drop("_x")
+
+    def _clipped(self, value):
+        return F.when(value.isNotNull(), F.greatest(F.lit(self.low), F.least(F.lit(self.high), value)))
 
 
 def _position(df: DataFrame, column: str, points: list[float]) -> DataFrame:
@@ -48,23 +69,46 @@ def _interpolated(x, points, values):
             .otherwise(y0 + (y1 - y0) * (x - x0) / (x1 - x0)))
 
 
-def fit_isotonic(df: DataFrame, probability: str, target: str) -> StepCurve:
-    """Isotonic fit of the target on the probability, clipped to the probability's own range.
+BLOCK = "_bucket long, low double, high double, total double, weight double"
+
+
+def _pooled(table: pa.Table) -> pa.Table:
+    """Blocks of one bucket in ascending order, adjacent ones pooled while their means do not ascend."""
+    table = table.sort_by("low")
+    bucket = table.column(0)[0].as_py()
+    blocks: list[list[float]] = []
+    for low, high, total, weight in zip(*(table.column(k).to_pylist() for k in range(1, 5)), strict=True):
+        while blocks and blocks[-1][2] * weight >= total * blocks[-1][3]:
+            low, _, before, more = blocks.pop()
+            total, weight = total + before, weight + more
+        blocks.append([low, high, total, weight])
+    columns = [[bucket] * len(blocks), *map(list, zip(*blocks, strict=True))]
+    return pa.table(columns, names=["_bucket", "low", "high", "total", "weight"])
+
+
+def fit_isotonic(df: DataFrame, probability: str, target: str, most: int = BUCKET_VALUES, merged: int = 16) -> StepCurve:
+    """Isotonic fit of the target on the probability, clipped to the probability's own range. Rows that lack
+    either are left out; without any the curve is empty.
 
-    Equal probabilities are merged into weighted means first, so the fit works on distinct scores.
+    Equal probabilities are merged into weighted means first. Adjacent violators are then pooled inside
+    order-preserving buckets, and level by level in ``merged`` neighbouring buckets together: pooling parts first
+    does not change the fit. A task holds the blocks that are left of its part, and the points stay a stored table.
+    A fit of n rows with 0/1 targets leaves at most in the order of n^(2/3) blocks, usually a few hundred.
     """
-    points = (df.select(finite(probability).alias("p"), F.col(target).cast("double").alias("y"))
-              .where(F.col("p").isNotNull() & F.col("y").isNotNull())
-              .groupBy("p").agg(F.avg("y").alias("y"), F.count("*").cast("double").alias("w")))
-    model = IsotonicRegression(featuresCol="p", labelCol="y", weightCol="w",
-                               predictionCol="_iso").fit(points)
-    span = df.agg(F.min(finite(probability)).alias("lo"), F.max(finite(probability)).alias("hi")).first()
-    boundaries = [float(v) for v in model.boundaries]
-    values = [float(v) for v in model.predictions]
-    kept: dict[float, float] = {}
-    for b, v in zip(boundaries, values):
-        kept[b] = v
-    return StepCurve(list(kept), list(kept.values()), span["lo"], span["hi"])
+    counted = (df.select(finite(probability).alias("low"), F.col(target).cast("double").alias("y"))
+               .groupBy("low").agg(F.sum("y").alias("total"), F.count("y").cast("double").alias("weight")))
+    stored = ordered_buckets(counted.where(F.col("low").isNotNull()), [], "low", most)
+    span = stored.agg(F.min("low").alias("low"), F.max("low").alias("high")).first()
+    blocks = stored.where("weight > 0").select(BUCKET, "low", F.col("low").alias("high"), "total", "weight")
+    buckets = stored.agg(F.max(BUCKET)).first()[0] or 0
+    while True:
+        blocks = blocks.groupBy(BUCKET).applyInArrow(_pooled, BLOCK)
+        if buckets == 0:
+            break
+        blocks, buckets = stage(blocks, "isotonic").withColumn(BUCKET, F.floor(F.col(BUCKET) / merged)), buckets // merged
+    mean = F.col("total") / F.col("weight")
+    ends = F.array_distinct(F.array("low", "high"))
+    return StepCurve(stage(blocks.select(F.explode(ends).alias("x"), mean.alias("y")), "isotonic"), span["low"], span["high"])
 
 
 @dataclass(frozen=True)

@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorekit.functions.columns import finite, ratio, unpivot_structs
-from scorekit.functions.order_stats import bucket_edges, running_sums, with_buckets
-
-BUCKET = "_bucket"
+from scorekit.functions.order_stats import BUCKET, ordered_buckets, running_sums
 
 
 def class_counts(df: DataFrame, score: str, target: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -32,9 +30,9 @@ def running_class_counts(df: DataFrame, score: str, target: str, keys: Sequence[
 
     Columns: keys, score, pos, neg, cum_pos, cum_neg, tot_pos, tot_neg.
     """
-    edges = {"score": bucket_edges(df, [score])[score]}
-    counted = with_buckets(class_counts(df, score, target, keys), edges)
-    return running_sums(counted, keys, "score" + BUCKET, "score", ["pos", "neg"]).drop("score" + BUCKET)
+    bucket = "score" + BUCKET
+    counted = ordered_buckets(class_counts(df, score, target, keys), keys, "score").withColumnRenamed(BUCKET, bucket)
+    return running_sums(counted, keys, bucket, "score", ["pos", "neg"]).drop(bucket)
 
 
 def auc_expression() -> Column:
@@ -117,16 +115,12 @@ def feature_auc(df: DataFrame, features: Sequence[str], target: str, fill_mean:
     """
     from scorekit.operators.clean import fill_mean as fill
     filled = fill(df, features) if fill_mean else df
-    edges = bucket_edges(filled, features)
-    bucketed = with_buckets(filled.select(F.col(target).cast("int").alias("_y"),
-                                          *[finite(f).alias(f) for f in features]), edges, BUCKET)
-    entries = [F.struct(F.lit(f).alias("feature"), F.col(f + BUCKET).alias(BUCKET),
-                        F.col(f).alias("score")) for f in features]
-    long = (unpivot_structs(bucketed, ["_y"], entries)
+    entries = [F.struct(F.lit(f).alias("feature"), finite(f).alias("score")) for f in features]
+    long = (unpivot_structs(filled, [F.col(target).cast("int").alias("_y")], entries)
             .where(F.col("score").isNotNull() & F.col("_y").isin(0, 1)))
-    counted = (long.groupBy("feature", BUCKET, "score")
+    counted = (long.groupBy("feature", "score")
                .agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg")))
-    auc = (running_sums(counted, ["feature"], BUCKET, "score", ["pos", "neg"])
+    auc = (running_sums(ordered_buckets(counted, ["feature"], "score"), ["feature"], BUCKET, "score", ["pos", "neg"])
            .groupBy("feature").agg(auc_expression().alias("auc")))
     return auc.select("feature", F.greatest("auc", 1 - F.col("auc")).alias("auc"))
 

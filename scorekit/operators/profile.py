@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorekit.functions.columns import bin_index, finite, numeric_columns, ratio, unpivot_structs
-from scorekit.functions.order_stats import bucket_edges, exact_quantiles, running_sums, with_buckets
+from scorekit.functions.order_stats import BUCKET, exact_quantiles, ordered_buckets, running_sums
 from scorekit.functions.skew import hot_counts, spread_join
 from scorekit.operators.metrics import feature_auc
+from scorekit.session import stage
 
 MISSING_LEVEL = "nan"
 
@@ -206,13 +207,10 @@ def drop_by_auc(df: DataFrame, pairs: DataFrame, columns: Sequence[str], target:
 
 def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, value, avg_rank): the tie-averaged rank of every distinct value of every column."""
-    edges = bucket_edges(df, columns)
-    clean = with_buckets(df.select(*[finite(c).alias(c) for c in columns]), edges)
-    entries = [F.struct(F.lit(c).alias("feature"), F.col(f"{c}_bucket").alias("_bucket"),
-                        F.col(c).alias("value")) for c in columns]
-    counted = (unpivot_structs(clean, [], entries).where(F.col("value").isNotNull())
-               .groupBy("feature", "_bucket", "value").agg(F.count("*").alias("n")))
-    placed = running_sums(counted, ["feature"], "_bucket", "value", ["n"])
+    entries = [F.struct(F.lit(c).alias("feature"), finite(c).alias("value")) for c in columns]
+    counted = (unpivot_structs(df, [], entries).where(F.col("value").isNotNull())
+               .groupBy("feature", "value").agg(F.count("*").alias("n")))
+    placed = running_sums(ordered_buckets(counted, ["feature"], "value"), ["feature"], BUCKET, "value", ["n"])
     return placed.select("feature", "value",
                          (F.col("cum_n") - (F.col("n") - 1) / 2).alias("avg_rank"))
 
@@ -225,19 +223,17 @@ def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     once in long form - (row, feature, value) meets (feature, value) - and return to wide form by
     row, whatever the number of columns.
     """
-    edges = bucket_edges(df, columns)
     sizes = df.agg(*[F.count(finite(c)).alias(c) for c in columns]).first()
     merged = (df.select(*[finite(c).alias(c) for c in columns]).groupBy(*columns)
               .agg(F.count("*").alias("_times")))
     present = [F.col(c).isNotNull() for c in columns]
     values = [F.coalesce(F.col(c), F.lit(0.0)) for c in columns]
     row = F.struct(F.xxhash64(*values, *present), F.xxhash64(F.lit(1), *values, *present))
-    clean = with_buckets(merged.withColumn("_row", row), edges)
-    entries = [F.struct(F.lit(i).alias("_i"), F.col(f"{c}_bucket").alias("_bucket"),
-                        F.col(c).alias("_value")) for i, c in enumerate(columns)]
-    long = unpivot_structs(clean, ["_row", "_times"], entries).where(F.col("_value").isNotNull())
-    counted = long.groupBy("_i", "_bucket", "_value").agg(F.sum("_times").alias("n"))
-    ranks = (running_sums(counted, ["_i"], "_bucket", "_value", ["n"])
+    entries = [F.struct(F.lit(i).alias("_i"), F.col(c).alias("_value")) for i, c in enumerate(columns)]
+    long = (unpivot_structs(stage(merged.withColumn("_row", row), "merged-rows"), ["_row", "_times"], entries)
+            .where(F.col("_value").isNotNull()))
+    counted = ordered_buckets(long.groupBy("_i", "_value").agg(F.sum("_times").alias("n")), ["_i"], "_value")
+    ranks = (running_sums(counted, ["_i"], BUCKET, "_value", ["n"])
              .select("_i", "_value", (F.col("cum_n") - (F.col("n") - 1) / 2).alias("_rank")))
     keys = ["_i", "_value"]
     wide = (spread_join(long.select("_row", "_times", *keys), ranks, keys, "inner", hot_counts(counted, keys, "n"))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scorekit.functions.order_stats import exact_quantiles, row_rank, running_sums
+from scorekit.functions.order_stats import BUCKET, exact_quantiles, ordered_buckets, row_rank, running_sums, surrounding
 from scorekit.operators import metrics, reports
 
 
@@ -119,6 +119,46 @@ def test_running_sums_and_ranks_over_buckets(spark):
         assert {r["id"]: r["rn"] for r in ranked if r["k"] == k} == {i: n for n, (_, i) in enumerate(order, 1)}
 
 
+@pytest.mark.parametrize("ties", [0.0, 0.99])
+def test_buckets_are_bounded_and_ordered(spark, ties):
+    rng = np.random.default_rng(12)
+    values = np.where(rng.random(150_000) < ties, 0.5, rng.random(150_000) ** 3)
+    y = (rng.random(len(values)) < values).astype(int)
+    df = frame(spark, y, values)
+    counted = metrics.class_counts(df, "p", "y")
+    stored = ordered_buckets(counted, [], "score", most=1000)
+    ranges = sorted((r["a"], r["b"], r["n"], r[BUCKET]) for r in stored.groupBy(BUCKET).agg(
+        F.min("score").alias("a"), F.max("score").alias("b"), F.count("*").alias("n")).collect())
+    assert sum(r[2] for r in ranges) == len(np.unique(values)) and max(r[2] for r in ranges) <= 1000
+    assert all(one[1] < two[0] and one[3] < two[3] for one, two in zip(ranges, ranges[1:]))
+    placed = running_sums(stored, [], BUCKET, "score", ["pos", "neg"])
+    assert placed.agg(metrics.auc_expression()).first()[0] == pytest.approx(brute_auc(y, values))
+
+
+def test_buckets_keep_keys_apart(spark):
+    df = spark.range(30_000).selectExpr("id % 7 AS k", "if(id % 11 = 0, null, id % 5000) AS v", "1L AS n")
+    stored = ordered_buckets(df.groupBy("k", "v").agg(F.sum("n").alias("n")), ["k"], "v", most=500)
+    assert stored.groupBy(BUCKET).count().agg(F.max("count")).first()[0] <= 500
+    wrong = (stored.alias("a").join(stored.alias("b"), "k").where(
+        f"(a.v < b.v OR a.v IS NULL AND b.v IS NOT NULL) AND a.{BUCKET} > b.{BUCKET}"))
+    assert wrong.isEmpty()
+    assert ordered_buckets(df.where("id < 0"), ["k"], "v").count() == 0
+
+
+def test_surrounding_points(spark):
+    rng = np.random.default_rng(13)
+    xs = np.unique(np.round(rng.random(300), 3))
+    probes = np.unique(np.concatenate([np.round(rng.random(4000) * 1.4 - 0.2, 4), xs[:20]]))
+    points = spark.createDataFrame([(float(x), float(i)) for i, x in enumerate(xs)], "x double, y double")
+    rows = surrounding(spark.createDataFrame([(float(x),) for x in probes], "x double"), points, most=100).collect()
+    got = {r["x"]: (r["x0"], r["y0"], r["x1"], r["y1"]) for r in rows}
+    for x in probes:
+        a, b = np.searchsorted(xs, x, "right") - 1, np.searchsorted(xs, x, "left")
+        left = (xs[a], float(a)) if a >= 0 else (None, None)
+        right = (xs[b], float(b)) if b < len(xs) else (None, None)
+        assert got[x] == (*left, *right)
+
+
 def test_classification_report(spark):
     df = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (1, 1), (1, 0)], "y int, p int")
     rows = {r["label"]: r for r in metrics.classification_report(df, "y", "p").collect()}

@@ -186,6 +186,24 @@ def test_isotonic_matches_pool_adjacent_violators(spark):
     assert [r.calibrated_prob for r in outside] == [ordered[0], ordered[-1]]
 
 
+@pytest.mark.parametrize("kind", ["noise", "rising", "falling"])
+def test_isotonic_in_many_buckets_and_by_lookup(spark, kind):
+    rng = np.random.default_rng(18)
+    p = np.round(rng.random(5000), 4)
+    y = {"noise": (rng.random(5000) < p), "rising": p > 0.5, "falling": p < 0.5}[kind].astype(int)
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(p, y)] + [(None, 1), (0.5, None)], "p double, y int")
+    fitted = calibrate.fit_isotonic(df, "p", "y", most=200, merged=2)
+    want = brute_isotonic(p, y)
+    probes = spark.createDataFrame([(float(x), i) for i, x in enumerate([*p, *rng.random(300), -1.0, 2.0])] + [(None, -1)], "p double, i int")
+    searched = {r.i: r.calibrated_prob for r in fitted.transform(probes, "p").collect()}
+    looked_up = {r.i: r.calibrated_prob for r in fitted.transform(probes, "p", searched=0).collect()}
+    assert searched.keys() == looked_up.keys() and searched[-1] is None and looked_up[-1] is None
+    assert all(searched[i] == pytest.approx(looked_up[i], abs=1e-12) for i in searched if i >= 0)
+    assert all(searched[i] == pytest.approx(min(max(want[x], p.min()), p.max())) for i, x in enumerate(p))
+    nothing = calibrate.fit_isotonic(df.where("p > 5"), "p", "y")
+    assert {r.calibrated_prob for r in nothing.transform(probes, "p").collect()} == {None}
+
+
 def test_sigmoid_matches_newton(spark):
     rng = np.random.default_rng(9)
     f = rng.normal(size=1500)

@@ -17,6 +17,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -36,7 +37,7 @@ CHECKSUMS = 0x80
 
 FRAME_IDS = 1 << 20
 TEXT_BYTES = 32 << 20  # text per file
-KNOWN_WORDS = 300_000  # words whose ids a worker remembers
+KNOWN_WORDS = 300_000  # words of a generation; a worker remembers two
 CONTENTS = "part int, file string, documents long, ids long, bytes long"
 DOCUMENTS = "doc_id long, first long, n_tokens long, ids_crc32 long, ids array<int>"
 
@@ -61,20 +62,28 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.whole = [t.content.lower().encode() for t in added] + [b"\xcc", b"\xcd"]  # U+0300 to U+037F
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of new words. ASCII letters are one piece, which normalization leaves as it is."""
-        learned = {w: np.array([t.id for t in self.model.tokenize(w.decode())], self.dtype).tobytes()
-                   for w in words if w.isalpha()}
-        others = [w for w in words if not w.isalpha()]
-        learned.update(zip(others, self._ids([w.decode() for w in others]), strict=True))
-        if len(self.words) + len(learned) > KNOWN_WORDS:
-            self.words.clear()
-        self.words.update(learned)
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that the newer generation lacks. Those of letters are one piece, which the model takes as it is but for
+        the spelling of bytes beyond ASCII."""
+        learned, others = {}, []
+        tokenize, older, code = self.model.tokenize, self.older, self.dtype.char
+        for word in words:
+            if word in older:
+                learned[word] = older[word]
+            elif word.isalpha():
+                learned[word] = array(code, [t.id for t in tokenize(word.decode())]).tobytes()
+            elif _LETTERS.fullmatch(word):
+                learned[word] = array(code, [t.id for t in tokenize(word.decode().lower().encode().decode("latin-1").translate(BYTE_LETTERS))]).tobytes()
+            else:
+                others.append(word)
+        if others:
+            learned.update(zip(others, self._ids([w.decode() for w in others]), strict=True))
         return learned
 
     def encode(self, text: bytes) -> bytes:
@@ -82,15 +91,22 @@ class Encoder:
         lower = text.lower()  # bytes: ASCII only
         if not self.by_word or any(part in lower for part in self.whole):
             return self._ids([text.decode()])[0]
-        pieces = _POINT.sub(rb" \1", lower).split()
-        found = list(map(self.words.get, pieces))
-        if None in found:
-            learned = self._learn(list({w for w, ids in zip(pieces, found, strict=True) if ids is None}))
-            found = [ids if ids is not None else learned[w] for w, ids in zip(pieces, found, strict=True)]
-        return b"".join(found)
+        pieces, words = _POINT.sub(rb" \g<0>", lower).split(), self.words
+        missing = set(pieces).difference(words)
+        if missing:
+            words.update(self._learn(missing))
+        ids = b"".join(map(words.__getitem__, pieces))
+        if len(words) > KNOWN_WORDS:
+            self.words, self.older = {}, words
+        return ids
 
 
-_POINT = re.compile(rb"(?<=[a-z])([.,;:!?])(?=[ \n]|$)")  # alone between a letter and a blank
+_LETTER = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"  # of ASCII and Latin-1, where lower case is one letter for one
+_LETTERS = re.compile(_LETTER + rb"+")
+_POINT = re.compile(rb"[.,;:!?](?=[ \n]|$)(?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")  # alone between a letter and a blank
+# How byte-level models spell bytes: the printable ones of Latin-1 as they are, the others from U+0100 on
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: 0x100 + n for n, b in enumerate(b for b in range(0x100) if b not in _PRINTED)}
 
 
 def exact_by_word(path: str) -> bool:
@@ -166,6 +182,7 @@ class FileReader:
 
     def __init__(self, source):
         self.source, size = source, source.size()
+        self.unpack = zstandard.ZstdDecompressor().decompress
         tail = self._at(size - 9, 9)
         frames, flags, magic = struct.unpack("<IBI", tail)
         if magic != SEEKABLE_MAGIC or flags != CHECKSUMS:
@@ -177,7 +194,7 @@ class FileReader:
         magic, length = struct.unpack("<II", self._at(place, 8))
         if magic != INDEX_MAGIC or place + 8 + length != table:
             raise ValueError("damaged token file")
-        index = zstandard.ZstdDecompressor().decompress(self._at(place + 8, length))
+        index = self.unpack(self._at(place + 8, length))
         width, self.frame_ids, n = struct.unpack_from("<BIQ", index)
         self.dtype, at = np.dtype(f"<u{width}"), 13
         missing = np.frombuffer(index, np.uint8, n, at)
@@ -197,7 +214,7 @@ class FileReader:
         packed = self._at(int(self.starts[a]), int(self.starts[b] - self.starts[a]))
         parts, at = [], 0
         for size, length, checksum in self.entries[a:b].tolist():
-            part = zstandard.ZstdDecompressor().decompress(packed[at:at + size], max_output_size=length)
+            part = self.unpack(packed[at:at + size], max_output_size=length)
             if len(part) != length or xxhash.xxh64_intdigest(part) & 0xFFFFFFFF != checksum:
                 raise ValueError(f"frame of document {self.documents[number]} is damaged")
             parts.append(part)

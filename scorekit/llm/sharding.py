@@ -1,18 +1,16 @@
 """Shards of nearly equal bytes: minimax contiguous partition of ordered atomic groups.
 
 Groups (rows with equal texts) stand in the order of their text's digest. The smallest capacity with
-which all groups fit into the shards, taken greedily in that order, is found by binary search, and the
-shards are cut within that capacity. The greedy check needs running sums at group boundaries; it starts from
-a coarse grid of byte cells, of which Spark returns the first and the last boundary, and refines the cells
-only where a cut can still fall. Each round narrows the capacity from both sides to a cell's width, so
-the driver holds a number of sums that depends on grid and shards, not on the input or its skew. Only
-DataFrame functions are used.
+which all groups fit into the shards, taken greedily in that order, is found by binary search over many
+capacities at once, and the shards are cut within that capacity. The greedy check follows the shards of every
+capacity by small aggregations over the stored running sums. The driver holds one sum per shard and
+capacity tried, and two per cell of a byte grid, whatever the input and its skew; there are
+shards * log(largest group) / log(capacities at once) aggregations. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -20,8 +18,8 @@ from pyspark.sql import functions as F
 
 from scorekit.llm.common import bucket_of, stage
 
-GRID = 8192  # byte cells in the first grid
-FINER = 16  # each refinement takes cells so many times as narrow
+GRID = 8192  # byte cells whose first and last sums are candidates for cuts
+CANDIDATES = 64  # capacities that are checked at once
 HEX = 3  # hex digits of the digest that make up a bucket of the running sum
 CELLS = 4096  # cells per shard in which slots are numbered
 
@@ -39,37 +37,6 @@ def _running(df: DataFrame, bucket: str, order: str, values: dict[str, str]) ->
         *df.columns, *[(F.col(f"{name}_in") + F.col(f"{name}_before")).alias(name) for name in values])
 
 
-def _floor_cuts(bounds: list[int], capacity: int, shards: int) -> list[int]:
-    """Ends of the shards when each takes all known boundaries within ``capacity``."""
-    cuts, at = [], 0
-    for _ in range(shards):
-        at = bounds[bisect_right(bounds, at + capacity) - 1]
-        cuts.append(at)
-    return cuts
-
-
-def _ceiling_cuts(bounds: list[int], unknown: set[int], capacity: int, shards: int) -> list[int]:
-    """Ends that no shards within ``capacity`` can exceed, when any sum between a boundary of ``unknown``
-    and the next known one may be a boundary."""
-    cuts, at = [], 0
-    for _ in range(shards):
-        at = min(at + capacity, bounds[-1])
-        known = bounds[bisect_right(bounds, at) - 1]
-        at = at if known in unknown else known
-        cuts.append(at)
-    return cuts
-
-
-def _smallest(low: int, high: int, feasible: Callable[[int], bool]) -> int:
-    while low < high:
-        middle = (low + high) // 2
-        if feasible(middle):
-            high = middle
-        else:
-            low = middle + 1
-    return low
-
-
 def _even_cuts(bounds: list[int], capacity: int, shards: int) -> list[int]:
     """Ends of shards within ``capacity``, each as near as possible to an even share of what is left."""
     total = bounds[-1]
@@ -88,45 +55,52 @@ def _even_cuts(bounds: list[int], capacity: int, shards: int) -> list[int]:
     return cuts
 
 
+def _starts(sums: DataFrame, total: int, largest: int, capacities: list[int], shards: int) -> dict[int, list[int]]:
+    """For each capacity, where the shards begin if they are filled from the end, each with all groups that fit. The list
+    ends at 0 if ``shards`` shards suffice.
+
+    One small aggregation finds the next beginning of all capacities: the first sum not below the last beginning
+    less the capacity, which is at most a group away.
+    """
+    found = {c: [total] for c in capacities}
+    for _ in range(shards):
+        wanted = sorted({at[-1] - c for c, at in found.items() if at[-1] > c})
+        if wanted:
+            near = sums.where(F.col("upto").between(wanted[0], wanted[-1] + largest))
+            row = near.agg(*[F.min(F.when(F.col("upto") >= w, F.col("upto"))) for w in wanted]).first()
+            first = dict(zip(wanted, row, strict=True))
+        for c, at in found.items():
+            if at[-1]:
+                at.append(first[at[-1] - c] if at[-1] > c else 0)
+    return found
+
+
 def minimax_cuts(sums: DataFrame, shards: int, grid: int = GRID) -> list[int]:
     """Running sums at which the shards end. ``sums`` has one row per group: upto (running sum, group
     included), number (from 1), size. It should be staged.
 
-    Each round raises the lower limit to the smallest capacity that is feasible if every unknown boundary
-    stood where it is wanted, and lowers the upper one to the smallest that is feasible with the known
-    boundaries only; they differ by less than a cell. Between the cuts of these two limits finer cells
-    are then fetched, until the limits meet. Within the capacity found, the cuts then leave shards as
-    even as the known boundaries allow.
+    The smallest capacity lies between the mean shard (or the largest group) and a group more than that. Each round
+    checks CANDIDATES capacities of this span at once, shard by shard, and narrows it to the gap
+    between two of them. Within the capacity found, the cuts then leave shards as even as it and the first and
+    last sums of ``grid`` byte cells allow.
     """
     total, largest = sums.agg(F.max("upto"), F.max("size")).first()
     if not total:
         return [0] * shards
-    low, high = max(-(-total // shards), largest), total
-    width = max(1, total // grid)
-    known, unknown = {0, total}, set()  # boundaries, and those of them with others before the next known one
-    ranges = [(0, total)]
+    low, high = max(-(-total // shards), largest), -(-total // shards) + largest
     while True:
-        inside = F.lit(False)
-        for a, b in ranges:
-            inside = inside | F.col("upto").between(a, b)
-        cells = (sums.where(inside).groupBy(F.floor(F.col("upto") / width))
-                 .agg(F.min("upto").alias("first"), F.max("upto").alias("last"), F.count("*").alias("n")).collect())
-        unknown = {u for u in unknown if not any(a <= u < b for a, b in ranges)}
-        unknown |= {r["first"] for r in cells if r["n"] > 2 and r["first"] < r["last"]}
-        known |= {r["first"] for r in cells} | {r["last"] for r in cells}
-        bounds = sorted(known)
-        low = _smallest(low, high, lambda c: _ceiling_cuts(bounds, unknown, c, shards)[-1] == total)  # noqa: B023
-        high = _smallest(low, high, lambda c: _floor_cuts(bounds, c, shards)[-1] == total)  # noqa: B023
+        tried = sorted({low + (high - low) * k // (CANDIDATES - 1) for k in range(CANDIDATES)})
+        starts = _starts(sums, total, largest, tried, shards)
+        fits = [c for c in tried if starts[c][-1] == 0]
+        high = fits[0]
+        if high == low:
+            break
+        low = max(c for c in tried if c < high) + 1
         if low == high:
-            return _even_cuts(bounds, high, shards)
-        ranges = []
-        for start, end in zip(_floor_cuts(bounds, low, shards), _ceiling_cuts(bounds, unknown, high, shards), strict=True):
-            end = bounds[bisect_left(bounds, end)]
-            if ranges and start <= ranges[-1][1]:
-                ranges[-1] = (ranges[-1][0], max(ranges[-1][1], end))
-            else:
-                ranges.append((start, end))
-        width = max(1, width // FINER)
+            break
+    width = max(1, total // grid)
+    cells = sums.groupBy(F.floor(F.col("upto") / width)).agg(F.min("upto").alias("first"), F.max("upto").alias("last")).collect()
+    return _even_cuts(sorted({0, total, *starts[high], *(r["first"] for r in cells), *(r["last"] for r in cells)}), high, shards)
 
 
 def text_digest(text: Column) -> Column:

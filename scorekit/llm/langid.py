@@ -31,7 +31,7 @@ LEAST = 2  # occurrences that a context of ORDER bytes needs to enter the tree
 START = 256  # stands for what is before a text; it is part of contexts but never coded
 UNDETERMINED = "und"
 CHUNK = 1 << 19
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # also matches numbers like ½ and Ⅷ
 
 
 def _grams(texts: list[bytes]) -> np.ndarray:
@@ -170,6 +170,10 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     return Tables({str(name): (grams[names == name], times[names == name]) for name in sorted(set(names))}, least)
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in _LETTER.finditer(text))
+
+
 def predicted(tables: Tables | None, docs: DataFrame, text: Column) -> Column:
     """Struct (lang_pred, score) of each text; ``und`` and 0 for a null text, one without a letter, or when
     nothing was learned. Of equally good languages the first by name."""
@@ -179,7 +183,7 @@ def predicted(tables: Tables | None, docs: DataFrame, text: Column) -> Column:
     def predict(texts: pa.Array) -> pa.Array:
         model, values = shared.value, texts.to_pylist()
         langs, scores = [UNDETERMINED] * len(values), [0.0] * len(values)
-        known = [i for i, v in enumerate(values) if v and model and _LETTER.search(v)]
+        known = [i for i, v in enumerate(values) if v and model and has_letter(v)]
         if known:
             bits = model.lengths([values[i].encode("utf-8", "surrogatepass") for i in known])
             best = bits.argmin(axis=1)

@@ -149,3 +149,10 @@ def test_language_edges(spark):
     assert empty.select(langid.predicted(tables, empty, F.col("text"))).count() == 0
     again = langid.fit(docs.repartition(4))
     assert again.languages == tables.languages and np.array_equal(again.bits, tables.bits)
+
+
+def test_numbers_and_marks_are_no_letters():
+    for text in ("½ ²", "①", "Ⅷ", "\u0301", "😀 🇩🇪", "12 _", "٣", "-"):
+        assert not langid.has_letter(text), text
+    for text in ("a", "½ ② x", "ª", "漢", "ʰ", "ß", "_é"):
+        assert langid.has_letter(text), text

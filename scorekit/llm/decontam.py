@@ -8,9 +8,9 @@ with the documents' shingles. The position of the shingle in its window gives th
 the window can stand; places that do not fit into the document are dropped (length and position), and the
 words of the others are compared (verification).
 
-Benchmarks are far smaller than the corpus, so they come to the documents: in blocks of at most
-BLOCK_WORDS words, which bounds what is broadcast, each block adding its hits to the rows of the block
-before. Documents are never shuffled.
+Benchmarks are far smaller than the corpus, so they come to the documents: cut into runs of at most PIECE_WORDS
+words, which go by hash into blocks of about BLOCK_WORDS / 2 words. That bounds what is broadcast, each block adding its hits to
+the rows of the block before. Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorekit.llm.common import stage
@@ -27,6 +27,7 @@ from scorekit.llm.common import stage
 WINDOW = 13
 SHINGLE = 4
 BLOCK_WORDS = 1_000_000
+PIECE_WORDS = 10_000  # windows of an item that are looked up together
 # lower-case A-Z, and blank all ASCII bytes that are no digits or letters
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
                    for b in range(256))
@@ -53,7 +54,7 @@ def _shingles(ids: np.ndarray, size: int) -> np.ndarray:
 class Block:
     """Items of one block: word numbers, and the windows with their shingles."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int, shingle: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int, shingle: int):
         self.numbers: dict[bytes, int] = {}
         self.items = [item for item, _ in items]
         runs = [(i, words) for i, (_, text) in enumerate(items) if (words := words_of(text))]
@@ -138,17 +139,35 @@ class Block:
                         mask[start] += 1
                         mask[start + len(run)] -= 1
                         items.add(self.items[item])
-        return np.cumsum(mask[:-1]) > 0, sorted(items)
+        return np.cumsum(mask[:-1]) > 0, sorted(items - {None})
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, block_words: int) -> Iterator[DataFrame]:
-    """The items in blocks of at most ``block_words`` words (or one item)."""
-    words = F.greatest(F.lit(1), F.size(F.split(F.col("text"), r"\s+")))
-    rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).dropna().distinct()
-    upto = F.sum(words).over(Window.partitionBy(F.lit(0)).orderBy("item", "text"))
-    rows = stage(rows.withColumn("block", F.floor(upto / block_words).cast("int")), "decontam-items")
-    for (block,) in rows.select("block").distinct().orderBy("block").collect():
-        yield rows.where(F.col("block") == block).select("item", F.col("text").cast("binary").alias("text"))
+def _pieces(items: DataFrame, window: int) -> DataFrame:
+    """Items (item, text) as runs of at most PIECE_WORDS words that have all their windows: item, text (words joined by blanks),
+    n. Neighbouring runs share ``window`` - 1 words."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column("item"), batch.column("text"), strict=True):
+                words = words_of(text.as_py())
+                for at in range(0, max(1, len(words) - window + 1), PIECE_WORDS):
+                    run = words[at:at + PIECE_WORDS + window - 1]
+                    if run:
+                        yield pa.RecordBatch.from_pydict({"item": pa.array([item.as_py()], pa.string()),
+                                                          "text": pa.array([b" ".join(run)], pa.binary()), "n": pa.array([len(run)], pa.int64())})
+
+    return items.mapInArrow(cut, "item string, text binary, n long").distinct()
+
+
+def _blocks(benchmark: DataFrame, item: str, text: str, window: int, block_words: int) -> Iterator[DataFrame]:
+    """The items' runs in blocks of about ``block_words`` / 2 words, dealt by hash, so that a block has hardly ever more
+    than ``block_words`` and PIECE_WORDS."""
+    rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).cast("binary").alias("text"))
+    rows = stage(_pieces(rows.where(F.col("text").isNotNull()), window), "decontam-items")
+    words = rows.agg(F.sum("n")).first()[0] or 0
+    blocks = max(1, -(-2 * words // block_words)) if words > block_words else 1
+    block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
+    for n in range(blocks if words else 0):
+        yield rows.where(block == n).select("item", "text")
 
 
 def _count_shingles(docs: DataFrame, block: Block) -> dict[int, np.ndarray]:
@@ -201,13 +220,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
                   block_words: int = BLOCK_WORDS, out: str = "contamination") -> DataFrame:
     """``docs`` with a struct column ``out``: n_words, n_hit, items (ids as sorted strings).
 
-    Null and empty texts have no words and no hits. Items whose id or text is null, or whose text has no
-    word, have no window. Repeated items count once. Rows and all other columns pass through.
+    Null and empty texts have no words and no hits. Items whose text is null or has no word have no window. Windows of an
+    item without an id hit words like others, but it is in no list of items. Repeated items count once. Rows
+    and all other columns pass through.
     """
     spark, content = docs.sparkSession, F.col(text).cast("binary")
     none = F.struct(F.lit(None).cast("binary").alias("mask"), F.array().cast("array<string>").alias("items"))
     state = none
-    for items in _blocks(benchmark, item, item_text, block_words):
+    for items in _blocks(benchmark, item, item_text, window, block_words):
         block = Block([(r["item"], bytes(r["text"])) for r in items.collect()], window, shingle)
         if block.windows:
             block.order(_count_shingles(docs.select(content.alias("text")), block))

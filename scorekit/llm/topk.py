@@ -27,15 +27,17 @@ PARTS = 2
 QUERY_BLOCK = 512
 VECTOR_BLOCK = 4096
 SCALE = 256
-WIDEST = 2 ** 26  # components beyond it do not fit exact products
+LARGEST = 2.0 ** 60  # squared length from which products may not fit a long
+EXACT = 2.0 ** 53  # integers below it are exact in float64
 ENTRIES = "query string, class string, part int, partial long"
 
 
 def quantized(vector: Column, scale: int = SCALE) -> Column:
     """floor(scale * x) of every component as a long array. Null for vectors that are null, hold a null or
-    non-finite component, or one that is 2^26 or more after scaling."""
-    usable = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double") * scale) < WIDEST, F.lit(False)))
-    return F.when(vector.isNotNull() & usable, F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long")))
+    non-finite component, or are so long (2^30 after scaling) that inner products may not fit a long."""
+    square = F.aggregate(F.transform(vector, lambda x: F.pow(x.cast("double") * scale, F.lit(2.0))), F.lit(0.0), lambda s, x: s + x)
+    usable = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
+    return F.when(vector.isNotNull() & usable & (square < LARGEST), F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long")))
 
 
 def _dot(a: str, b: str) -> Column:
@@ -43,12 +45,19 @@ def _dot(a: str, b: str) -> Column:
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    """Lists of equal length as float64 rows; products of them are exact integers."""
+    """Lists of equal length as rows."""
     column = column.combine_chunks()
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks)
     n = len(column)
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+
+
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of integer rows, exact: in float64 where no sum can leave its integers, else in int64."""
+    x, y = a.astype(np.float64), b.astype(np.float64)
+    longest = np.sqrt((x * x).sum(axis=1).max(initial=0) * (y * y).sum(axis=1).max(initial=0))
+    return (x @ y.T).astype(np.int64) if longest < EXACT / 2 else a @ b.T
 
 
 def _blocks(classes: DataFrame, queries: DataFrame, parts: int):
@@ -77,13 +86,12 @@ def _scan(classes: DataFrame, queries: DataFrame, parts: int, pick) -> DataFrame
                  "part": pa.array([], pa.int32()), "partial": pa.array([], pa.int64())}
         if not left.num_rows or not right.num_rows:
             return pa.table(empty)
-        products = _matrix(left.column("run")) @ _matrix(right.column("run")).T
+        products = _products(_matrix(left.column("run")), _matrix(right.column("run")))
         ours, theirs = np.array(left.column("class").to_pylist()), np.array(right.column("class").to_pylist())
         other = ours[:, None] != theirs[None, :]
-        cutoff = left.column("cutoff").to_numpy(zero_copy_only=False).astype(np.float64)
-        i, j = np.nonzero(pick(products, other, cutoff) & other)
+        i, j = np.nonzero(pick(products, other, left.column("cutoff").to_pylist()) & other)
         return pa.table({"query": ours[i], "class": theirs[j], "part": pa.array([left.column("part")[0].as_py()] * len(i), pa.int32()),
-                         "partial": products[i, j].astype(np.int64)})
+                         "partial": products[i, j]})
 
     return _blocks(classes, queries, parts).applyInArrow(work, ENTRIES)
 
@@ -107,43 +115,48 @@ def search(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", ve
     id; fewer rows if there are fewer candidates. ``is_query`` is a condition on the column ``id``.
 
     Candidates are all rows but those with the query's own id, whose vectors have the query's length. Rows
-    whose id is null or whose vector cannot be quantized take no part; rows that share an id
-    count once, with the smallest vector. Other columns are not read. An empty table gives no rows.
+    whose id is null or whose vector cannot be quantized take no part. Rows that share an id are candidates like others; of a
+    query id with several rows, the list has the best of all its rows' candidates, once for each pair of rows.
+    Other columns are not read. An empty table gives no rows.
     """
     rows = vectors.select(F.col(key).alias("id"), quantized(F.col(vector), scale).alias("vector")).dropna()
-    rows = rows.groupBy("id").agg(F.min("vector").alias("vector"))
+    rows = rows.groupBy("id", "vector").agg(F.least(F.count("*"), F.lit(k)).alias("times"))  # more than k of a kind are not needed
     rows = stage(rows.withColumn("class", F.md5(F.concat_ws(",", F.col("vector").cast("array<string>")).cast("binary"))),
                  "topk-rows")
+    # a query's own id may stand in so many classes besides its own, of which none counts
+    own_classes = (rows.groupBy("id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1) - 1
+    wanted = k + own_classes
     place = F.row_number().over(Window.partitionBy("class").orderBy("id"))
     classes = stage(rows.withColumn("place", place).where(F.col("place") <= k + 1).groupBy("class")
-                    .agg(F.first("vector").alias("vector"), F.sort_array(F.collect_list("id")).alias("ids")), "topk-classes")
-    asked = rows.where(is_query).select("id", "class")
+                    .agg(F.first("vector").alias("vector"), F.sort_array(F.collect_list(F.struct("id", "times"))).alias("ids")), "topk-classes")
+    asked = rows.where(is_query).select("id", "class", "times")
     queries = stage(classes.join(asked.select("class").distinct(), "class", "left_semi").select("class", "vector"),
                     "topk-queries")
 
-    def best(products: np.ndarray, other: np.ndarray, cutoff: np.ndarray) -> np.ndarray:
-        masked = np.where(other, products, -np.inf)
-        if products.shape[1] <= k:
+    def best(products: np.ndarray, other: np.ndarray, cutoff: list) -> np.ndarray:
+        masked = np.where(other, products, -np.inf)  # rounded, but which ones are named does not matter
+        if products.shape[1] <= wanted:
             return np.isfinite(masked)
-        edge = np.partition(masked, -k, axis=1)[:, -k]
+        edge = np.partition(masked, -wanted, axis=1)[:, -wanted]
         chosen = masked > edge[:, None]
-        for i in np.flatnonzero(chosen.sum(axis=1) < k).tolist():  # any of the ties will do for a bound
-            chosen[i, np.flatnonzero(masked[i] == edge[i])[:k - chosen[i].sum()]] = True
+        for i in np.flatnonzero(chosen.sum(axis=1) < wanted).tolist():  # any of the ties will do for a bound
+            chosen[i, np.flatnonzero(masked[i] == edge[i])[:wanted - chosen[i].sum()]] = True
         return chosen
 
     lists = _scan(classes, queries.withColumn("cutoff", F.lit(None).cast("long")), parts, best)
     place = F.row_number().over(Window.partitionBy("query", "part").orderBy(F.desc("partial"), "class"))
-    named = lists.withColumn("place", place).where(F.col("place") <= k).select("query", "class").distinct()
-    first = stage(_kth(_resolve(named, queries, classes), k), "topk-bound")
+    named = lists.withColumn("place", place).where(F.col("place") <= wanted).select("query", "class").distinct()
+    first = stage(_kth(_resolve(named, queries, classes), wanted), "topk-bound")
 
-    def above(products: np.ndarray, other: np.ndarray, cutoff: np.ndarray) -> np.ndarray:
-        return ~(products * parts < cutoff[:, None])  # no cutoff: all
+    def above(products: np.ndarray, other: np.ndarray, cutoff: list) -> np.ndarray:
+        least = np.array([np.iinfo(np.int64).min if c is None else -(-c // parts) for c in cutoff])  # no cutoff: all
+        return products >= least[:, None]
 
     bounded = queries.join(first.withColumnRenamed("query", "class"), "class", "left").withColumnRenamed("bound", "cutoff")
     seen = stage(_scan(classes, bounded, parts, above).groupBy("query", "class")
                  .agg(F.sum("partial").alias("known"), F.count("*").alias("lists")), "topk-entries")
     whole = seen.where(F.col("lists") == parts).select("query", "class", F.col("known").alias("score"))
-    second = _kth(whole, k).withColumnRenamed("bound", "better")
+    second = _kth(whole, wanted).withColumnRenamed("bound", "better")
     # a list without the vector gives it less than the cutoff
     most = F.col("known") + (parts - F.col("lists")) * F.ceil(F.col("bound") / parts)
     open_ = (seen.where(F.col("lists") < parts).join(first, "query", "left").join(second, "query", "left")
@@ -151,12 +164,12 @@ def search(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", ve
     resolved = whole.unionByName(_resolve(open_, queries, classes))
     own = queries.select(F.col("class").alias("query"), "class", _dot("vector", "vector").alias("score"))
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
-    # k rows that are not the query's own, whichever of its class's rows it is
+    # k rows that are not the query's own, whichever rows those are
     answers = (resolved.unionByName(own).join(classes.select("class", "ids"), "class")
-               .select("query", "score", F.explode("ids").alias("id"))
-               .withColumn("place", place).where(F.col("place") <= k + 1).drop("place"))
-    met = (asked.select(F.col("id").alias("query_id"), F.col("class").alias("query")).join(answers, "query")
-           .where(F.col("id") != F.col("query_id")))
-    rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "id"))
+               .select("query", "score", F.inline("ids")).withColumn("place", place).where(F.col("place") <= wanted + 1).drop("place"))
+    met = (asked.select(F.col("id").alias("query_id"), F.col("class").alias("query"), F.col("times").alias("rows")).join(answers, "query")
+           .where(F.col("id") != F.col("query_id"))
+           .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(k), F.col("rows") * F.col("times"))))))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
     return (met.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", "rank", F.col("id").alias("vec_id"), "score"))

@@ -161,20 +161,23 @@ def contamination_of(text, items, window=13):
             for at in range(len(words) - size + 1):
                 if words[at:at + size] == own[k:k + size]:
                     hit[at:at + size] = [True] * size
-                    found.add(str(item))
+                    found |= {str(item)} - {"None"}
     return len(words), sum(hit), sorted(found)
 
 
-@pytest.mark.parametrize(("block_words", "shingle"), [(1_000_000, 4), (30, 4), (60, 1), (1_000_000, 13)])
-def test_contamination(spark, block_words, shingle):
+@pytest.mark.parametrize(("block_words", "shingle", "pieces"), [(1_000_000, 4, 10_000), (100, 4, 10_000), (200, 1, 10_000),
+                                                                (1_000_000, 13, 7), (1_000_000, 4, 1)])
+def test_contamination(spark, monkeypatch, block_words, shingle, pieces):
     random.seed(block_words + shingle)
     word = lambda: random.choice(["the", "of", "Über", "ÜBER", "x1", "9", "漢字", "it"])
     run = lambda n: " ".join(word() for _ in range(n))
-    items = [(i, run(random.choice([1, 2, 3, 5, 12, 13, 14, 30]))) for i in range(8, 24)] + [(30, "the, of-the!"), (31, "the of THE"), (32, " .,"), (33, None)]
+    items = [(i, run(random.choice([1, 2, 3, 5, 12, 13, 14, 30]))) for i in range(8, 24)] + [(30, "the, of-the!"), (31, "the of THE"), (32, " .,"), (33, None),
+             (None, "9 漢字 9 of"), (34, ",".join(run(200).split()))]
     texts = [run(40) + ". " + (random.choice(items)[1] or "").upper() + ", " + run(20) for _ in range(60)]
     texts += [None, "", "?!", "the", items[0][1], items[1][1], run(5) + " " + items[2][1] * 2]
     docs = spark.createDataFrame([(i, t, "q", 3) for i, t in enumerate(texts)], "doc_id long, text string, items string, n_words long")
-    bench = spark.createDataFrame([*items, items[0], (None, "the")], "item_id long, text string")
+    bench = spark.createDataFrame([*items, items[0], (None, None)], "item_id long, text string")
+    monkeypatch.setattr(decontam, "PIECE_WORDS", pieces)
     got = decontam.contamination(docs.repartition(3), bench, shingle=shingle, block_words=block_words).collect()
     clean = []
     for r in got:
@@ -202,13 +205,14 @@ def test_contamination_edges(spark):
 # top-k ------------------------------------------------------------------------------------------
 
 def best_of(rows, k, every):
-    quantized = {i: [int(np.floor(256 * float(x))) for x in v] for i, v in rows.items()}
-    out = []
-    for q in sorted(i for i in rows if i % every == 0):
-        scores = sorted((-sum(a * b for a, b in zip(quantized[q], quantized[c], strict=True)), c)
-                        for c in rows if c != q and len(rows[c]) == len(rows[q]))
-        out += [(q, rank, c, -s) for rank, (s, c) in enumerate(scores[:k], 1)]
-    return out
+    """Contract rows for (id, vector) rows, repeated ids included."""
+    quantized = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows]
+    lists = {}
+    for q, x in quantized:
+        if q % every == 0:
+            lists.setdefault(q, []).extend((-sum(a * b for a, b in zip(x, y, strict=True)), c)
+                                           for c, y in quantized if c != q and len(y) == len(x))
+    return sorted((q, rank, c, -s) for q, found in lists.items() for rank, (s, c) in enumerate(sorted(found)[:k], 1))
 
 
 @pytest.mark.parametrize(("parts", "dim"), [(1, 6), (2, 6), (3, 5), (4, 3)])
@@ -218,9 +222,11 @@ def test_search_is_exact(spark, monkeypatch, parts, dim):
     random.seed(parts)
     rows = {i: [random.gauss(0, 1) for _ in range(dim)] for i in range(150)}
     rows |= {i: rows[20] for i in range(150, 190)} | {i: [random.choice([-1.0, 0.0, 1.0]) for _ in range(dim)] for i in range(190, 260)}
-    table = spark.createDataFrame([(i, v, 0) for i, v in rows.items()], "vec_id long, embedding array<float>, rank int").repartition(4)
+    repeated = [(i, rows[j]) for i in (0, 10, 33) for j in (i, i, 40, 41, 42, 150, 3)]  # ids with several rows, queries among them
+    table = spark.createDataFrame([(i, v, 0, "x", "y", [1.0], 2) for i, v in [*rows.items(), *repeated]],
+                                  "vec_id long, embedding array<float>, rank int, id string, class string, vector array<double>, part int").repartition(4)
     got = topk.search(table, F.col("id") % 10 == 0, 5, parts=parts)
-    exact = {r["vec_id"]: r["embedding"] for r in table.collect()}
+    exact = [(r["vec_id"], r["embedding"]) for r in table.collect()]
     assert sorted(tuple(r) for r in got.collect()) == best_of(exact, 5, 10)
 
 
@@ -229,7 +235,16 @@ def test_search_edges(spark):
     rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, None), (2, [nan, 1.0]), (3, [inf, 1.0]), (4, [1.0, None]), (5, []), (6, [3.0]),
             (10, [1.0, 2.0]), (11, [-1.0, -2.0]), (None, [9.0, 9.0]), (20, [0.0, 0.0]), (30, [])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    exact = {i: v for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    exact = [(i, v) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     got = topk.search(table, F.col("id") % 10 == 0, 5)
     assert sorted(tuple(r) for r in got.collect()) == best_of(exact, 5, 10)
     assert topk.search(table.where("vec_id < 0"), F.col("id") % 10 == 0, 5).count() == 0
+
+
+def test_search_over_long_vectors_is_exact(spark):
+    random.seed(5)
+    rows = [(i, [random.choice([3e5, -3e5, 2.0 ** 19, 1.0]) + random.randint(0, 3) / 256 for _ in range(16)]) for i in range(60)]
+    rows += [(100, [2.0 ** 40] * 16), (110, [1e300] * 16)]  # inner products beyond a long
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.search(table, F.col("id") % 10 == 0, 5)
+    assert sorted(tuple(r) for r in got.collect()) == best_of(rows[:60], 5, 10)

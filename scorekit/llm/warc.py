@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -26,6 +27,8 @@ from scorekit.llm.common import filesystem, make_folder, shared_path, stage
 from scorekit.session import lookup_join
 
 MAGIC = b"WARC/1.1\r\n"
+MAGICS = (MAGIC, b"WARC/1.0\r\n")
+ANY_MAGIC = re.compile(b"WARC/1[.][01]\r\n")
 END = b"\r\n\r\n"
 HEADER_BYTES = 64 << 10  # read for a header at first; longer ones are read whole
 FILE_BYTES = 64 << 20
@@ -65,23 +68,27 @@ def _record(page_id: int | None, url: str | None, digest: str, refers_to: int |
     return MAGIC + head.encode() + b"\r\n" + block + END
 
 
-def parse_header(data: bytes, at: int = 0) -> tuple[dict[str, str], int] | None:
-    """Fields and length of the header at ``at``, or None where no record can start."""
-    if not data.startswith(MAGIC, at):
-        return None
-    end = data.find(END, at)
-    if end < 0:
-        return None
-    fields = {}
-    for line in data[at + len(MAGIC):end].split(b"\r\n"):
-        name, colon, value = line.partition(b": ")
+def parse_header(data: bytes, at: int = 0) -> tuple[dict[str, str], int] | tuple[()] | None:
+    """Fields and length of the header at ``at``, an empty tuple if ``data`` ends in it, or None where no record can
+    start. Nothing behind the first line that is no field is looked at."""
+    if not data.startswith(MAGICS, at):
+        return () if len(data) - at < len(MAGIC) else None
+    fields, line = {}, at + len(MAGIC)
+    while True:
+        end = data.find(b"\r\n", line)
+        if end < 0:
+            return ()
+        if end == line:
+            break
+        name, colon, value = data[line:end].partition(b":")
         if not colon:
             return None
-        fields[name.decode("utf-8", "replace").lower()] = value.decode("utf-8", "replace")
+        fields[name.decode("utf-8", "replace").lower()] = value.decode("utf-8", "replace").strip()
+        line = end + 2
     length = fields.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         return None
-    return fields, end + len(END) - at
+    return fields, end + 2 - at
 
 
 def header_at(source, at: int, size: int) -> tuple[dict[str, str], int] | None:
@@ -89,14 +96,31 @@ def header_at(source, at: int, size: int) -> tuple[dict[str, str], int] | None:
     length = HEADER_BYTES
     while True:
         source.seek(at)
-        data = source.read(min(length, size - at))
-        if not data.startswith(MAGIC):
-            return None
-        if END in data or at + length >= size:
-            return parse_header(data)
+        head = parse_header(source.read(min(length, size - at)))
+        if head != () or at + length >= size:
+            return head or None
         length *= 4
 
 
+def _number(field: str | None) -> int | None:
+    return int(field) if field and re.fullmatch("-?[0-9]{1,18}", field) else None
+
+
+def _payload(kind: str | None, block: bytes) -> bytes | None:
+    """Payload of a record's block: of responses what follows the HTTP header, or all if it has none; revisits hold
+    none; of other records the block."""
+    if kind == "revisit":
+        return None
+    _, blank, body = block.partition(END) if kind == "response" else (block, b"", b"")
+    return body if blank else block
+
+
+def list_archives(spark: SparkSession, path: str) -> DataFrame:
+    """Table of contents of uncompressed archives in a folder or under a pattern, without the numbers of records."""
+    return (spark.read.format("binaryFile").load(path).where("length > 0")
+            .select(F.col("path").alias("file"), F.col("length").alias("bytes"), F.lit(None).cast("long").alias("records")))
+
+
 def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html",
                    revisit_from: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write one record per row and return the table of contents (file, bytes, records).
@@ -169,13 +193,16 @@ def candidates(contents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
                     source.seek(start)
                     # a header that starts in the range may end behind it
                     data = source.read(min(task["bytes"], end + HEADER_BYTES) - start)
-                    found, at = {}, data.find(MAGIC)
-                    while 0 <= at < end - start:
-                        whole = data.find(END, at) >= 0
-                        head = parse_header(data, at) if whole else header_at(source, start + at, task["bytes"])
+                    found = {}
+                    for magic in ANY_MAGIC.finditer(data):
+                        at = magic.start()
+                        if at >= end - start:
+                            break
+                        head = parse_header(data, at)
+                        if head == ():
+                            head = header_at(source, start + at, task["bytes"])
                         if head:
                             found[start + at] = start + at + head[1] + int(head[0]["content-length"]) + len(END)
-                        at = data.find(MAGIC, at + 1)
                 exits = {}
                 for at in sorted(found, reverse=True):
                     to = found[at]
@@ -220,6 +247,9 @@ def read_archives(contents: DataFrame, range_bytes: int = RANGE_BYTES, payloads:
     (base32 SHA-1 of the payload read, for revisits that of the header), refers_to, payload_bytes (null
     for revisits), payload (null unless asked for).
 
+    The archives may come from elsewhere: records of any type and of WARC 1.0 are read, and fields that a header lacks, or
+    page ids that are no numbers, are null. The payload of a record that is no response is its block, as is that of a response without a blank line.
+
     A damaged archive yields the records before the damage. One record is held at a time.
     """
     entries = reachable(candidates(contents, range_bytes)).select("file", "at", "range_end")
@@ -238,7 +268,7 @@ def read_archives(contents: DataFrame, range_bytes: int = RANGE_BYTES, payloads:
                     data, base = b"", 0
                     while at < entry["range_end"]:
                         head = parse_header(data, at - base) if at - base < len(data) else None
-                        if head is None:  # the buffer ended before or in this header
+                        if not head:  # the buffer ended before or in this header
                             source.seek(at)
                             data, base = source.read(min(RANGE_BYTES, size - at)), at
                             head = parse_header(data) or header_at(source, at, size)
@@ -254,15 +284,13 @@ def read_archives(contents: DataFrame, range_bytes: int = RANGE_BYTES, payloads:
                         at = start + n + len(END)
                         if len(block) < n or at > size:
                             break
-                        content = None
-                        if fields["warc-type"] == "response":
-                            content = block[block.index(END) + len(END):]
-                        page, first = fields.get("x-page-id"), fields.get("x-refers-to-page-id")
+                        kind = fields.get("warc-type")
+                        content, known = _payload(kind, block), fields.get("warc-payload-digest")
                         rows.append({
-                            "file": entry["file"], "at": start - length, "page_id": int(page) if page else None,
-                            "url": fields.get("warc-target-uri"), "record_type": fields["warc-type"],
-                            "digest": fields["warc-payload-digest"].removeprefix("sha1:") if content is None
-                            else digest_of(content), "refers_to": int(first) if first else None,
+                            "file": entry["file"], "at": start - length, "page_id": _number(fields.get("x-page-id")),
+                            "url": fields.get("warc-target-uri"), "record_type": kind,
+                            "digest": digest_of(content) if content is not None else known and known.removeprefix("sha1:"),
+                            "refers_to": _number(fields.get("x-refers-to-page-id")),
                             "payload_bytes": None if content is None else len(content),
                             "payload": content if payloads else None})
                         held += n if payloads else 0

@@ -45,6 +45,31 @@ def test_round_trip_with_false_records(spark, tmp_path, range_bytes):
     assert {r["url"] for r in got if r["page_id"] == 3} == {"u%0D%0AWARC-Type: revisit"}
 
 
+@pytest.mark.parametrize("range_bytes", [60, 500, 4 << 20])
+def test_archives_from_elsewhere(spark, tmp_path, range_bytes):
+    def record(block, *fields, version="1.0"):
+        return f"WARC/{version}\r\n{''.join(f + chr(13) + chr(10) for f in fields)}Content-Length:{len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+    inner = b"WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" + b"WARC/1.1\r\n" * 2000
+    parts = [record(b"software: s\r\n", "WARC-Type: warcinfo"), record(b"GET / HTTP/1.1\r\n\r\n", "WARC-Type:request", "X-Page-ID: seven"),
+             record(http + inner, "WARC-Type: response", "WARC-Target-URI: http://a/", version="1.1"), record(b"no blank line", "WARC-Type: response"),
+             record(b"", "WARC-Type: revisit", "WARC-Payload-Digest: sha1:ABC"), record(b"", "WARC-Type: revisit"), record(b"k: v", "X-Page-ID: 12")]
+    (tmp_path / "a.warc").write_bytes(b"".join(parts))
+    (tmp_path / "b.warc").write_bytes(parts[0] + parts[2][:300])
+    (tmp_path / "empty.warc").write_bytes(b"")
+    got = warc.read_archives(warc.list_archives(spark, f"{tmp_path}/*.warc"), range_bytes, payloads=True).collect()
+    rows = sorted((r["file"][-6], r["at"], r["record_type"], r["page_id"], r["url"], r["digest"], r["payload"]) for r in got)
+    starts = [sum(map(len, parts[:k])) for k in range(len(parts))]
+    content = [b"software: s\r\n", b"GET / HTTP/1.1\r\n\r\n", inner, b"no blank line", None, None, b"k: v"]
+    kinds = ["warcinfo", "request", "response", "response", "revisit", "revisit", None]
+    digests = [warc.digest_of(c) if c is not None else None for c in content]
+    digests[4] = "ABC"
+    expected = [("a", at, kind, 12 if kind is None else None, "http://a/" if k == 2 else None, digests[k], content[k])
+                for k, (at, kind) in enumerate(zip(starts, kinds, strict=True))]
+    assert rows == [*expected, ("b", 0, "warcinfo", None, None, digests[0], content[0])]
+
+
 def test_short_payloads_do_not_revisit(spark, tmp_path):
     rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")]
     got = warc.archive_pages(pages_of(spark, rows), f"{tmp_path}/archive", revisit_from=3).collect()

@@ -1,11 +1,12 @@
 """Exact order statistics without a global sort on one task.
 
-Two tools:
+Three tools:
 
 * ``ordered_buckets`` and ``running_sums`` - cumulative sums over an order, computed inside
   order-preserving buckets of bounded size plus the total of the earlier buckets.
 * ``exact_quantiles`` - a mergeable sketch brackets every wanted rank, then only the values inside
-  the brackets are shuffled and counted to find the exact element.
+  the brackets are shuffled and counted to find the exact element. ``grouped_quantiles`` does so for
+  all groups of a table at once.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from scorekit.functions.columns import double_array, finite
-from scorekit.session import stage
+from scorekit.functions.skew import key_text
+from scorekit.session import lookup_join, stage
 
 SKETCH_ACCURACY = 10_000
 BUCKET = "_bucket"
@@ -236,3 +238,51 @@ def _slice(value, number, bounds):
     bracket = F.floor((number - 1) / 2).cast("int")
     part = F.floor((value - F.get(double_array(lows), bracket)) * F.get(double_array(scales), bracket))
     return F.when(number % 2 == 1, F.least(F.greatest(part, F.lit(0)), F.lit(SLICES - 1))).otherwise(0).cast("bigint")
+
+
+def grouped_quantiles(df: DataFrame, keys, columns, probs) -> DataFrame:
+    """Linear-interpolated exact quantiles of each column over its finite values, per combination of ``keys`` (NULL
+    being a value of its own): keys, variable, prob, value. Groups without a value of a column have no rows for it.
+
+    One pass sketches every column per group. Then all ranks of all groups are found together: values within a bracket around a
+    rank are counted one by one, those between brackets only by the gap they lie in. The brackets hold 4 / SKETCH_ACCURACY
+    of a group's rows for each rank, or all of a small group. Made for some tens of probabilities; the groups may
+    be many and of any size.
+    """
+    keys, columns, probs = list(keys), list(columns), [float(p) for p in probs]
+    margin = 2.0 / SKETCH_ACCURACY
+    lows = double_array(max(0.0, p - margin) for p in probs)
+    highs = double_array(min(1.0, p + margin) for p in probs)
+    infinity = F.lit(math.inf)
+    clean = df.select(key_text(keys).alias("_group"), *keys, *[finite(c).alias(c) for c in columns])
+    sketch = clean.groupBy("_group").agg(*[F.struct(
+        F.count(c).alias("n"), F.percentile_approx(c, lows, SKETCH_ACCURACY).alias("low"),
+        F.percentile_approx(c, highs, SKETCH_ACCURACY).alias("high")).alias(c) for c in columns])
+
+    def opened(name: str, unbounded, bound):  # brackets of few rows, or at an end, take all that is there
+        return F.zip_with(f"found.{name}", F.array(*[F.lit(p) for p in probs]),
+                          lambda v, p: F.when((F.col("found.n") * margin < 4) | unbounded(p), bound).otherwise(v))
+
+    entries = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("found")) for c in columns])
+    brackets = (sketch.select("_group", F.inline(entries)).where("found.n > 0")
+                .select("_group", "variable", opened("low", lambda p: p <= margin, -infinity).alias("_low"),
+                        opened("high", lambda p: p >= 1 - margin, infinity).alias("_high")))
+    values = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("value")) for c in columns])
+    long = lookup_join(clean.select("_group", *keys, F.inline(values)).where("value IS NOT NULL"), brackets, ["_group", "variable"], "inner")
+    value = F.col("value")
+    inside = F.exists(F.arrays_zip("_low", "_high"), lambda b: (b["_low"] <= value) & (value <= b["_high"]))
+    cell = F.size(F.filter("_low", lambda b: b <= value)) + F.size(F.filter("_high", lambda b: b < value))
+    counted = (long.select(*keys, "variable", cell.cast("long").alias("cell"), F.when(inside, value).alias("value"))
+               .groupBy(*keys, "variable", "cell", "value").agg(F.count("*").alias("n")))
+    ranked = running_sums(counted, [*keys, "variable"], "cell", "value", ["n"])
+    spot = F.array(*[F.lit(p) for p in probs])
+    ranks = F.transform(spot, lambda p: F.struct(p.alias("prob"), (p * (F.col("tot_n") - 1)).alias("rank")))
+    sides = F.flatten(F.transform(ranks, lambda r: F.array(
+        F.struct(r["prob"].alias("prob"), r["rank"].alias("rank"), F.floor(r["rank"]).alias("k"), F.lit(False).alias("upper")),
+        F.struct(r["prob"].alias("prob"), r["rank"].alias("rank"), F.ceil(r["rank"]).alias("k"), F.lit(True).alias("upper")))))
+    hits = (ranked.where("value IS NOT NULL")
+            .select(*keys, "variable", "value", F.inline(F.filter(sides, lambda s: (s["k"] < F.col("cum_n")) & (s["k"] >= F.col("cum_n") - F.col("n"))))))
+    found = hits.groupBy(*keys, "variable", "prob", "rank").agg(F.max(F.when(~F.col("upper"), F.col("value"))).alias("_a"),
+                                                                F.max(F.when(F.col("upper"), F.col("value"))).alias("_b"))
+    return found.select(*keys, "variable", "prob",
+                        (F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("rank") - F.floor("rank"))).alias("value"))

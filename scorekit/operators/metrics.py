@@ -136,13 +136,13 @@ def confusion_matrix(df: DataFrame, target: str, predicted: str, keys: Sequence[
             .agg(F.count("*").alias("n")))
 
 
-def classification_report(df: DataFrame, target: str, predicted: str) -> DataFrame:
-    """Rows 0, 1, accuracy, macro avg, weighted avg; columns precision, recall, f1_score, support.
+def classification_report(df: DataFrame, target: str, predicted: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows 0, 1, accuracy, macro avg, weighted avg (of every group of ``keys``); columns precision, recall, f1_score, support.
 
     Undefined ratios are 0 and the accuracy row repeats the accuracy in every column.
     """
     y, p = F.col(target).cast("int"), F.col(predicted).cast("int")
-    cells = df.agg(*[F.count_if((y == a) & (p == b)).alias(f"c{a}{b}") for a in (0, 1) for b in (0, 1)])
+    cells = df.groupBy(*keys).agg(*[F.count_if((y == a) & (p == b)).alias(f"c{a}{b}") for a in (0, 1) for b in (0, 1)])
     c = {(a, b): F.col(f"c{a}{b}").cast("double") for a in (0, 1) for b in (0, 1)}
 
     def share(top, bottom):
@@ -164,7 +164,7 @@ def classification_report(df: DataFrame, target: str, predicted: str) -> DataFra
     fields = ("precision", "recall", "f1_score", "support")
     entries = [F.struct(F.lit(name).alias("label"), *[v.alias(f) for v, f in zip(values, fields)])
                for name, values in rows.items()]
-    return unpivot_structs(cells, [], entries)
+    return unpivot_structs(cells, keys, entries)
 
 
 def penalised_auc(train: Column, test: Column, weight: float = 2.0) -> Column:

@@ -106,41 +106,47 @@ def information_value(df: DataFrame, target: str, numeric: Sequence[str] | None
 # correlation -------------------------------------------------------------------------------------
 
 def _corr_by_blocks(df: DataFrame, columns: Sequence[str], weight: str | None = None,
-                    centre: Sequence[float] | None = None) -> DataFrame:
+                    centre: Sequence[float] | None = None, group: str | None = None) -> DataFrame:
     """Every task reduces its rows to pairwise-complete cross products (centred for stability, by default
-    on the means); one small row per pair and task is then summed. ``weight`` counts a row several times."""
+    on the means); one small row per pair and task is then summed. ``weight`` counts a row several times. With
+    ``group``, a text of few values, there are pairs of each group."""
     k = len(columns)
     times = F.lit(1.0) if weight is None else F.col(weight).cast("double")
-    clean = df.select(*[finite(c).alias(c) for c in columns], times.alias("_times"))
+    groups = F.lit("") if group is None else F.coalesce(F.col(group).cast("string"), F.lit(""))
+    clean = df.select(*[finite(c).alias(c) for c in columns], times.alias("_times"), groups.alias("_group"))
     if centre is None:
         first = clean.agg(*[F.avg(c).alias(c) for c in columns]).first()
         centre = [0.0 if first[c] is None else first[c] for c in columns]
     centre = np.array(centre)
     upper_i, upper_j = np.tril_indices(k, -1)
-    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    schema = "g string, i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((4, k, k))
+        by_group: dict[str, np.ndarray] = {}
         for batch in batches:
             data = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float)
                                     for c in range(k)])
             seen = (~np.isnan(data)).astype(float)
             x = np.where(seen > 0, data - centre, 0.0)
             often = seen * batch.column(k).to_numpy(zero_copy_only=False)[:, None]
-            sums[0] += seen.T @ often
-            sums[1] += x.T @ often
-            sums[2] += (x * x).T @ often
-            sums[3] += x.T @ (x * often)
-        n, s, ss, sp = sums
+            names = np.array(batch.column(k + 1).to_pylist(), object)
+            for name in set(names):
+                rows = names == name
+                sums = by_group.setdefault(name, np.zeros((4, k, k)))
+                sums[0] += seen[rows].T @ often[rows]
+                sums[1] += x[rows].T @ often[rows]
+                sums[2] += (x[rows] * x[rows]).T @ often[rows]
+                sums[3] += x[rows].T @ (x[rows] * often[rows])
         i, j = upper_i, upper_j
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(n[i, j]),
-             pa.array(s[i, j]), pa.array(s[j, i]), pa.array(ss[i, j]), pa.array(ss[j, i]),
-             pa.array(sp[i, j])],
-            names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+        for name, (n, s, ss, sp) in by_group.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(i), pa.string()), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(n[i, j]),
+                 pa.array(s[i, j]), pa.array(s[j, i]), pa.array(ss[i, j]), pa.array(ss[j, i]),
+                 pa.array(sp[i, j])],
+                names=["g", "i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
 
     measures = ("n", "sx", "sy", "sxx", "syy", "sxy")
-    total = (clean.mapInArrow(partial, schema).groupBy("i", "j")
+    total = (clean.mapInArrow(partial, schema).groupBy("g", "i", "j")
              .agg(*[F.sum(m).alias(m) for m in measures]))
     vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
     vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
@@ -151,7 +157,7 @@ def _corr_by_blocks(df: DataFrame, columns: Sequence[str], weight: str | None =
     moving = (vx > squares * F.get(noise, F.col("i"))) & (vy > squares * F.get(noise, F.col("j")))
     spread = F.when(moving, F.sqrt(vx) * F.sqrt(vy))
     labels = F.array(*[F.lit(c) for c in columns])
-    return total.select(F.get(labels, F.col("i")).alias("feature_1"),
+    return total.select(*([] if group is None else [F.col("g").alias(group)]), F.get(labels, F.col("i")).alias("feature_1"),
                         F.get(labels, F.col("j")).alias("feature_2"), ratio(cov, spread).alias("r"))
 
 
@@ -177,6 +183,17 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return pairs.unionByName(mirrored).unionByName(diagonal)
 
 
+def correlation_matrices(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
+    """The symmetric matrix of every value of ``group`` (a text of few values, null being the empty one), from one pass."""
+    fields = f"{group} string, feature_1 string, feature_2 string, r double"
+    pairs = (_corr_by_blocks(df, columns, group=group) if len(columns) > 1 else df.sparkSession.createDataFrame([], fields))
+    mirrored = pairs.select(group, F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "r")
+    names = F.explode(F.array(*[F.lit(c) for c in columns]))
+    diagonal = (df.select(F.coalesce(F.col(group).cast("string"), F.lit("")).alias(group)).distinct().select(group, names.alias("feature_1"))
+                .select(group, "feature_1", F.col("feature_1").alias("feature_2"), F.lit(1.0).alias("r")))
+    return pairs.unionByName(mirrored).unionByName(diagonal)
+
+
 def variances(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, value) with the sample variance of every column, one aggregation."""
     row = df.agg(*[F.var_samp(finite(c)).alias(c) for c in columns])

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorekit.functions.columns import bin_index, finite, unpivot_structs
-from scorekit.functions.order_stats import exact_quantiles
+from scorekit.functions.order_stats import exact_quantiles, grouped_quantiles
+from scorekit.functions.skew import key_text
 from scorekit.operators.metrics import auc_expression, ks_expression, running_class_counts
+from scorekit.session import lookup_join
 
 SCORE_SCALE = 1000
 DECILES = [i / 10 for i in range(1, 10)]
@@ -33,6 +35,32 @@ def rating_table(df: DataFrame, probability: str, target: str, quantiles: int =
                         "bad_rate", "volume")
 
 
+def rating_tables(df: DataFrame, keys: Sequence[str], probability: str, target: str, quantiles: int = 10) -> DataFrame:
+    """``rating_table`` of every group of ``keys``, from one set of quantiles: keys, rating, bad_rate, volume."""
+    scored = (df.select(*keys, score_points(probability).alias("_score"), F.col(target).cast("int").alias("_y"))
+              .where(F.col("_score").isNotNull()))
+    found = grouped_quantiles(scored, keys, ["_score"], [i / quantiles for i in range(quantiles + 1)])
+    edges = (found.groupBy(key_text(keys).alias("_group")).agg(F.sort_array(F.collect_set("value")).alias("_edges"))
+             .withColumn("_edges", F.slice("_edges", 2, F.greatest(F.size("_edges") - 2, F.lit(0)))))
+    placed = lookup_join(scored.withColumn("_group", key_text(keys)), edges, "_group", "inner")
+    band = F.size(F.filter("_edges", lambda e: e < F.col("_score")))
+    bands = placed.groupBy(*keys, band.alias("band")).agg(F.avg("_y").alias("bad_rate"), F.count("*").alias("volume"))
+    return bands.select(*keys, F.concat(F.lit("R"), (F.col("band") + 1).cast("string")).alias("rating"), "bad_rate", "volume")
+
+
+def score_summaries(df: DataFrame, keys: Sequence[str], score: str, target: str) -> DataFrame:
+    """``score_summary`` of every group of ``keys``, from one set of quantiles."""
+    clean = (df.select(*keys, F.col(target).cast("int").alias("class"), finite(score).alias("_score"))
+             .where(F.col("class").isin(0, 1) & F.col("_score").isNotNull()))
+    by = [*keys, "class"]
+    basic = clean.groupBy(*by).agg(F.count("_score").alias("count"), F.avg("_score").alias("mean"), F.stddev("_score").alias("std"),
+                                   F.min("_score").alias("min"), F.max("_score").alias("max"))
+    deciles = grouped_quantiles(clean, by, ["_score"], DECILES).groupBy(key_text(by).alias("_group")).agg(
+        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"p{10 * (i + 1)}") for i, p in enumerate(DECILES)])
+    joined = lookup_join(basic.withColumn("_group", key_text(by)), deciles, "_group", "inner")
+    return joined.select(*by, "count", "mean", "std", "min", *[f"p{10 * (i + 1)}" for i in range(9)], "max")
+
+
 def score_summary(df: DataFrame, score: str, target: str) -> DataFrame:
     """count, mean, std, min, p10..p90 and max of the score per class."""
     y = F.col(target).cast("int")
@@ -56,14 +84,16 @@ def score_histogram(df: DataFrame, score: str, target: str, bins: int = 10) -> D
             .agg(F.count("*").alias("n")))
 
 
-def cohort_monitor(df: DataFrame, month: str, target: str, score: str, label: str = "score") -> DataFrame:
-    """Volume, bad rate, AUC and KS per cohort month, for a score where high means safe."""
-    volume = df.groupBy(F.col(month)).agg(
+def cohort_monitor(df: DataFrame, month: str, target: str, score: str, label: str = "score",
+                   keys: Sequence[str] = ()) -> DataFrame:
+    """Volume, bad rate, AUC and KS per cohort month (of every group of ``keys``), for a score where high means safe."""
+    by = [*keys, month]
+    volume = df.groupBy(*by).agg(
         F.count("*").alias("qtd"), F.round(F.avg(F.col(target).cast("double")) * 100, 2).alias("inad"))
-    quality = (running_class_counts(df, score, target, [month]).groupBy(month)
+    quality = (running_class_counts(df, score, target, by).groupBy(*by)
                .agg((100 - auc_expression() * 100).alias("auc"), (ks_expression() * 100).alias("ks")))
-    return volume.join(quality, month, "left").select(F.lit(label).alias("modelo"), month,
-                                                      "qtd", "inad", "auc", "ks")
+    return volume.join(quality, by, "left").select(*keys, F.lit(label).alias("modelo"), month,
+                                                   "qtd", "inad", "auc", "ks")
 
 
 def volumetry(df: DataFrame) -> DataFrame:

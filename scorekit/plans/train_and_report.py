@@ -38,9 +38,14 @@ def prepare(df: DataFrame, features: Sequence[str], categorical: Sequence[str],
 
 
 def evaluate(scored: DataFrame, target: str, month: str, features: Sequence[str],
-             quantiles: int = 10, n_correlated: int | None = None) -> dict[str, DataFrame]:
+             quantiles: int = 10, n_correlated: int | None = None,
+             samples: Sequence[str] = ("test", "val", "oot")) -> dict[str, DataFrame]:
     """Every evaluation table of a frame with ``sample``, PROBA and PRED. Correlations are those of all
-    features, or of the first ``n_correlated``."""
+    features, or of the first ``n_correlated``.
+
+    Each report is built once for all samples and stored (key ``report``, ``ratings``, ...); ``report_test`` and the
+    like are its rows of one sample. The number of jobs does not depend on the samples.
+    """
     points = scored.withColumn("score", reports.score_points("PROBA"))
     train = scored.where(F.col("sample") == "train")
     tables = {
@@ -50,19 +55,23 @@ def evaluate(scored: DataFrame, target: str, month: str, features: Sequence[str]
         "brier": metrics.brier_score(scored, "PROBA", target, ["sample"]),
         "histogram": reports.score_histogram(points, "score", target),
     }
+    later = points.where(F.col("sample").isin(*samples))
+    by_sample = {
+        "report": metrics.classification_report(later, target, "PRED", ["sample"]),
+        "ratings": reports.rating_tables(later, ["sample"], "PROBA", target, quantiles),
+        "summary": reports.score_summaries(later, ["sample"], "score", target),
+        "cohorts": reports.cohort_monitor(later, month, target, "score", keys=["sample"]),
+        "correlation": profile.correlation_matrices(later, list(features)[:n_correlated], "sample"),
+    }
     calibrators = {"isotonic": calibrate.fit_isotonic(train, "PROBA", target),
                    "sigmoid": calibrate.fit_sigmoid(train, "PROBA", target),
                    "quantile": calibrate.fit_quantile_transform(train, "PROBA")}
-    for name in ("test", "val", "oot"):
-        part = points.where(F.col("sample") == name)
-        tables[f"report_{name}"] = metrics.classification_report(part, target, "PRED")
-        tables[f"ratings_{name}"] = reports.rating_table(part, "PROBA", target, quantiles)
-        tables[f"summary_{name}"] = reports.score_summary(part, "score", target)
-        tables[f"cohorts_{name}"] = reports.cohort_monitor(part, month, target, "score")
-        tables[f"correlation_{name}"] = profile.correlation_matrix(part, list(features)[:n_correlated])
-        for kind, curve in calibrators.items():
-            tables[f"{kind}_{name}"] = metrics.auc_and_ks(curve.transform(part, "PROBA"),
-                                                          "calibrated_prob", target)
+    for kind, curve in calibrators.items():
+        by_sample[kind] = metrics.auc_and_ks(curve.transform(later, "PROBA"), "calibrated_prob", target, ["sample"])
+    for kind, table in by_sample.items():
+        tables[kind] = stage(table, f"report-{kind}")
+        for name in samples:
+            tables[f"{kind}_{name}"] = tables[kind].where(F.col("sample") == name).drop("sample")
     return tables
 
 

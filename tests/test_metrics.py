@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scorekit.functions.order_stats import BUCKET, exact_quantiles, ordered_buckets, row_rank, running_sums, surrounding
+from scorekit.functions.order_stats import BUCKET, exact_quantiles, grouped_quantiles, ordered_buckets, row_rank, running_sums, surrounding
 from scorekit.operators import metrics, reports
 
 
@@ -107,6 +107,52 @@ def test_exact_quantiles(spark):
     assert found["empty"] == [None] * len(probs)
 
 
+@pytest.mark.parametrize("accuracy", [10_000, 40])
+def test_grouped_quantiles(spark, monkeypatch, accuracy):
+    monkeypatch.setattr("scorekit.functions.order_stats.SKETCH_ACCURACY", accuracy)
+    import pandas as pd
+    rng = np.random.default_rng(16)
+    n = 20_000
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b", "c", "one"], n, p=[0.7, 0.25, 0.0499, 0.0001]), "h": rng.integers(0, 2, n),
+                        "smooth": rng.normal(size=n), "tied": rng.integers(0, 4, n) / 4.0, "hot": np.where(rng.random(n) < 0.6, 1.0, rng.random(n))})
+    pdf.loc[rng.random(n) < 0.1, "smooth"] = np.nan
+    pdf.loc[pdf.g == "b", "tied"] = np.nan
+    df = spark.createDataFrame(pdf).withColumn("g", F.when(F.col("g") != "c", F.col("g"))).repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.501, 0.999, 1.0]
+    rows = grouped_quantiles(df, ["g", "h"], ["smooth", "tied", "hot"], probs).collect()
+    got = {(r["g"], r["h"], r["variable"], r["prob"]): r["value"] for r in rows}
+    assert len(got) == len(rows)
+    count = 0
+    for (g, h), part in pdf.groupby(["g", "h"]):
+        for c in ("smooth", "tied", "hot"):
+            values = part[c].dropna()
+            for p in probs if len(values) else ():
+                assert got[None if g == "c" else g, h, c, p] == pytest.approx(np.quantile(values, p), abs=1e-12), (g, h, c, p)
+                count += 1
+    assert count == len(got)
+
+
+def test_reports_by_group_equal_those_of_each_group(spark):
+    rng = np.random.default_rng(17)
+    rows = [(s, float(p), int(rng.random() < p), int(p > 0.5), float(x), m) for s in ("x", "y", "z")
+            for p, x, m in zip(np.round(rng.random(400) ** (1 + (s == "y")), 2), rng.random(400), ["m1", "m2"] * 200)]
+    df = spark.createDataFrame(rows, "sample string, p double, y int, pred int, x double, month string").withColumn("score", 1000 - F.col("p") * 1000)
+    from scorekit.operators import profile
+    both = {
+        "ratings": (reports.rating_tables(df, ["sample"], "p", "y", 7), lambda d: reports.rating_table(d, "p", "y", 7)),
+        "summary": (reports.score_summaries(df, ["sample"], "score", "y"), lambda d: reports.score_summary(d, "score", "y")),
+        "report": (metrics.classification_report(df, "y", "pred", ["sample"]), lambda d: metrics.classification_report(d, "y", "pred")),
+        "cohorts": (reports.cohort_monitor(df, "month", "y", "score", keys=["sample"]), lambda d: reports.cohort_monitor(d, "month", "y", "score")),
+        "correlation": (profile.correlation_matrices(df, ["p", "x", "score"], "sample"), lambda d: profile.correlation_matrix(d, ["p", "x", "score"])),
+    }
+    plain = lambda rows, columns: sorted(str([round(r[c], 9) if isinstance(r[c], float) else r[c] for c in columns]) for r in rows)
+    for name, (grouped, single) in both.items():
+        rows = grouped.collect()
+        for s in ("x", "z"):
+            want = single(df.where(F.col("sample") == s))
+            assert plain([r for r in rows if r["sample"] == s], want.columns) == plain(want.collect(), want.columns), name
+
+
 def test_running_sums_and_ranks_over_buckets(spark):
     df = spark.range(1000).selectExpr("id % 3 AS k", "id % 97 AS v", "1 AS one", "id", "(id % 97) div 10 AS b")
     counted = df.groupBy("k", "b", "v").agg(F.sum("one").alias("n"))

@@ -99,6 +99,24 @@ SELECT 'R' || CAST(b + 1 AS VARCHAR) AS rating, {rs('avg(target)')} AS bad_rate,
 FROM banded GROUP BY b"""
 
 
+def ratings_by_sample(spark, sf):
+    return rounded(reports.rating_tables(scored(spark, sf, True), ["sample"], "proba_tied", "target", 20), "bad_rate")
+
+
+def _ratings_by_sample_sql(score, q):
+    probs = ", ".join(repr(i / q) for i in range(q + 1))
+    return with_(SAMPLED, f"""pts AS (SELECT sample, (1 - {score}) * 1000 AS s, target FROM sampled),
+edges AS (SELECT sample, list_sort(list_distinct(quantile_cont(s, [{probs}]))) AS e FROM pts GROUP BY sample),
+banded AS (SELECT pts.sample, target, len(list_filter(e[2:len(e) - 1], lambda v: v < s)) AS b FROM pts JOIN edges ON pts.sample = edges.sample)""") + f"""
+SELECT sample, 'R' || CAST(b + 1 AS VARCHAR) AS rating, {rs('avg(target)')} AS bad_rate, CAST(count(*) AS BIGINT) AS volume
+FROM banded GROUP BY sample, b"""
+
+
+def summary_by_sample(spark, sf):
+    points = scored(spark, sf, True).withColumn("score", reports.score_points("proba"))
+    return rounded(reports.score_summaries(points, ["sample"], "score", "target"), *SUMMARY_FLOATS)
+
+
 SUMMARY_FLOATS = ["mean", "std", "min", *[f"p{10 * i}" for i in range(1, 10)], "max"]
 
 
@@ -215,6 +233,11 @@ FROM (SELECT proba, sum(target) AS pos, sum(1 - target) AS neg FROM scored GROUP
 SELECT target AS class, CAST(count(*) AS BIGINT) AS count, {rs('avg(s)')} AS mean, {rs('stddev_samp(s)')} AS std,
   {rs('min(s)')} AS min, """ + ", ".join(f"{rs(f'quantile_cont(s, {i / 10})')} AS p{10 * i}" for i in range(1, 10)) +
           f", {rs('max(s)')} AS max FROM pts GROUP BY target"),
+    Query("ag18_rating_tables_by_sample", ratings_by_sample, _ratings_by_sample_sql("proba_tied", 20)),
+    Query("ag19_score_summary_by_sample", summary_by_sample, with_(SAMPLED, "pts AS (SELECT sample, (1 - proba) * 1000 AS s, target FROM sampled)") + f"""
+SELECT sample, target AS class, CAST(count(*) AS BIGINT) AS count, {rs('avg(s)')} AS mean, {rs('stddev_samp(s)')} AS std,
+  {rs('min(s)')} AS min, """ + ", ".join(f"{rs(f'quantile_cont(s, {i / 10})')} AS p{10 * i}" for i in range(1, 10)) +
+          f", {rs('max(s)')} AS max FROM pts GROUP BY sample, target"),
     Query("ag19_score_histogram", histogram, with_(SCORED, "pts AS (SELECT round((1 - proba) * 1000, 3) AS s, target FROM scored)") + """
 SELECT target AS class, CAST(least(floor(s / 100) + 1, 10) AS INTEGER) AS band, CAST(count(*) AS BIGINT) AS n
 FROM pts GROUP BY 1, 2"""),

@@ -362,7 +362,7 @@ def _model_frame(spark, sf):
 
 def _fit(kind, params):
     def run(spark, sf):
-        df = stage(_model_frame(spark, sf), "model-frame")
+        df = stage(_model_frame(spark, sf), "model-frame", even=True)
         fitted = train.fit_classifier(df.where("sample = 'train'"), MODEL_FEATURES, "target", kind, params)
         return fitted.score(df).select(*ROW_KEY, "sample", "target", r("PROBA").alias("PROBA"), "PRED")
     return run
@@ -370,7 +370,7 @@ def _fit(kind, params):
 
 def baseline(spark, sf):
     trials = []
-    df = stage(_model_frame(spark, sf), "model-frame")
+    df = stage(_model_frame(spark, sf), "model-frame", even=True)
     for kind, params in (("lgbm", FAST_TREES), ("logit", {"maxIter": 50})):
         trials.append(train.baseline(df, MODEL_FEATURES, "target", kind, params)[0])
     return train.leaderboard(spark, trials).drop("PARAMS", "FEATURES")
@@ -381,7 +381,7 @@ def _small_trees(rng):
 
 
 def search(spark, sf):
-    df = stage(_model_frame(spark, sf), "model-frame")
+    df = stage(_model_frame(spark, sf), "model-frame", even=True)
     trials = train.random_search(df, MODEL_FEATURES, "target", "lgbm", 3, space=_small_trees)
     return train.leaderboard(spark, trials).drop("PARAMS", "FEATURES")
 
@@ -405,51 +405,51 @@ def linear_importance(spark, sf):
 
 
 def tree_importance(spark, sf):
-    df = stage(_model_frame(spark, sf), "model-frame")
+    df = stage(_model_frame(spark, sf), "model-frame", even=True)
     fitted = train.fit_classifier(df.where("sample = 'train'"), MODEL_FEATURES, "target", "lgbm", FAST_TREES)
     return train.importance_table(spark, fitted)
 
 
 def exchange_importance(spark, sf):
-    df = stage(_model_frame(spark, sf), "model-frame")
+    df = stage(_model_frame(spark, sf), "model-frame", even=True)
     fitted = train.fit_classifier(df.where("sample = 'train'"), MODEL_FEATURES, "target", "logit")
     return train.permutation_importance(df.where("sample = 'test'"), fitted, ROW_KEY)
 
 
 def drift(spark, sf):
     df = stage(_model_frame(spark, sf).withColumn(
-        "drifting", F.month("data_ref1") + F.year("data_ref1") * 12 + F.col("l_linenumber")), "model-frame")
+        "drifting", F.month("data_ref1") + F.year("data_ref1") * 12 + F.col("l_linenumber")), "model-frame", even=True)
     older, recent = split_by_recency(df.where("sample <> 'test'"), "data_ref1", 6)
     return select.drift_elimination(older, recent, df.where("sample = 'test'"), [*MODEL_FEATURES, "drifting"],
                                     "target", params=FAST_TREES)
 
 
 def curve(spark, sf):
-    df = stage(_model_frame(spark, sf), "model-frame")
+    df = stage(_model_frame(spark, sf), "model-frame", even=True)
     return select.progressive_curve(df, MODEL_FEATURES, "target", params=FAST_TREES)
 
 
 def forward(spark, sf):
-    df = stage(_model_frame(spark, sf), "model-frame")
+    df = stage(_model_frame(spark, sf), "model-frame", even=True)
     return select.forward_selection(df, MODEL_FEATURES, "target", params=FAST_TREES)
 
 
 def recursive(spark, sf):
-    df = stage(_model_frame(spark, sf).where("sample = 'train'"), "model-frame")
+    df = stage(_model_frame(spark, sf).where("sample = 'train'"), "model-frame", even=True)
     found = select.recursive_elimination(df, MODEL_FEATURES, "target", [2, 4], params=FAST_TREES)
     return spark.createDataFrame([(m, i, f) for m, fs in found.items() for i, f in enumerate(fs, 1)],
                                  "method string, rank int, feature string")
 
 
 def boruta(spark, sf):
-    df = stage(_model_frame(spark, sf).where("sample = 'train'"), "model-frame")
+    df = stage(_model_frame(spark, sf).where("sample = 'train'"), "model-frame", even=True)
     return select.all_relevant(df, MODEL_FEATURES, "target", ROW_KEY, (100, 80),
                                params={"numTrees": 8, "maxDepth": 4})
 
 
 def coordinator(spark, sf):
     from scorekit.sources.writers import feature_list
-    df = stage(_model_frame(spark, sf).where("sample = 'train'"), "model-frame")
+    df = stage(_model_frame(spark, sf).where("sample = 'train'"), "model-frame", even=True)
     found = select.select_features(df, MODEL_FEATURES, "target", ROW_KEY, ("catboost", "boruta", "mrmr"), (3,), (100,), (3,),
                                    model_params=FAST_TREES)
     return feature_list(spark, select.prune_correlated(df, found, "target", 0.8))

@@ -13,7 +13,7 @@ from scorekit.functions.columns import finite, hash32
 from scorekit.operators import profile
 from scorekit.operators.metrics import auc_and_ks
 from scorekit.operators.sample import label_and_union
-from scorekit.operators.train import fit_classifier, sample_metrics
+from scorekit.operators.train import fit_classifier, sample_metrics, vector_table
 
 GROUP_ROWS = 4000  # rows among which values are exchanged
 SWAP_STEPS = 8  # numbers of places between the rows that swap
@@ -34,7 +34,8 @@ def drift_elimination(older: DataFrame, recent: DataFrame, test: DataFrame, feat
     (1 - tolerance) of the previous round's. The feature recorded last stays in the list.
     """
     spark = older.sparkSession
-    both = label_and_union(older.select(*features, target), recent.select(*features, target))
+    both = vector_table(label_and_union(older.select(*features, target), recent.select(*features, target)), features, ["target_drift"])
+    older, test = (vector_table(df, features, [target]) for df in (older, test))
     left, rows, previous = list(features), [], 0.0
     for number in range(1, (max_rounds or len(features)) + 1):
         if not left:
@@ -58,7 +59,8 @@ def progressive_curve(df: DataFrame, ranked: Sequence[str], target: str, kind: s
                       params: dict | None = None, step: int = 1) -> DataFrame:
     """AUC and KS on test and val against the number of features, most important first. All features
     are always the last point."""
-    train, judged = df.where(F.col("sample") == "train"), df.where(F.col("sample").isin("test", "val"))
+    table = vector_table(df, ranked, [target, "sample"])
+    train, judged = table.where(F.col("sample") == "train"), table.where(F.col("sample").isin("test", "val"))
     sizes = sorted({*range(step, len(ranked) + 1, step), len(ranked)} - {0})
     rows = []
     for n in sizes:
@@ -71,7 +73,8 @@ def progressive_curve(df: DataFrame, ranked: Sequence[str], target: str, kind: s
 def forward_selection(df: DataFrame, ranked: Sequence[str], target: str, kind: str = "lgbm",
                       params: dict | None = None) -> DataFrame:
     """In importance order keep a feature when the test AUC does not fall below the best so far."""
-    train, test = df.where(F.col("sample") == "train"), df.where(F.col("sample") == "test")
+    table = vector_table(df, ranked, [target, "sample"])
+    train, test = table.where(F.col("sample") == "train"), table.where(F.col("sample") == "test")
     chosen, best, rows = [], 0.0, []
     for position, feature in enumerate(ranked, 1):
         fitted = fit_classifier(train, [*chosen, feature], target, kind, params)
@@ -89,6 +92,7 @@ def recursive_elimination(train: DataFrame, features: Sequence[str], target: str
                           params: dict | None = None) -> dict[str, list[str]]:
     """Fit, drop the least important features, repeat; the lists at the wanted sizes are recorded."""
     left, found = list(features), {}
+    train = vector_table(train, features, [target])
     for size in sorted({min(s, len(features)) for s in sizes}, reverse=True):
         per_step = max(1, math.ceil((len(left) - size) / steps))
         while len(left) > size:
@@ -137,8 +141,8 @@ def all_relevant(train: DataFrame, features: Sequence[str], target: str, key: Se
     forest = {"numTrees": 20, "maxDepth": 5, **(params or {})}
     base = train.select(*dict.fromkeys([*key, target, *features]))
     for number in range(rounds):
-        mixed = shuffled_copies(base, features, key, seed + number)
         columns = features + [f"shadow_{f}" for f in features]
+        mixed = vector_table(shuffled_copies(base, features, key, seed + number), columns, [target])
         score = dict(fit_classifier(mixed, columns, target, "forest", forest, seed + number).importance())
         shadow = [score[f"shadow_{f}"] for f in features]
         for p in percentiles:

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from scorekit.operators.metrics import auc_and_ks
 from scorekit.session import stage
 
 VECTOR = "_features"
+ALL_VECTOR, WEIGHT = "_all_features", "_weight"
 SAMPLES = ("train", "test", "val", "oot")
 
 # Spark ML estimators standing in for the usual gradient-boosting libraries; "logit" is a regression.
@@ -34,15 +35,49 @@ def assemble(df: DataFrame, features: Sequence[str], missing: float | None = MIS
     return VectorAssembler(inputCols=names, outputCol=VECTOR).transform(staged).drop(*names)
 
 
+@dataclass(frozen=True)
+class VectorTable:
+    """A stored table with one assembled vector of many features, for loops that fit and score some of them at a time. Views
+    slice the stored vector, so no fit assembles anything."""
+
+    rows: DataFrame
+    features: Sequence[str]
+
+    def where(self, condition) -> VectorTable:
+        return VectorTable(self.rows.where(condition), self.features)
+
+    def view(self, features: Sequence[str]) -> DataFrame:
+        """The rows with the vector of some features, in their order."""
+        if list(features) == list(self.features):
+            return self.rows
+        place = {f: i for i, f in enumerate(self.features)}
+        slicer = VectorSlicer(inputCol=ALL_VECTOR, outputCol=VECTOR, indices=[place[f] for f in features])
+        return slicer.transform(self.rows.withColumnRenamed(VECTOR, ALL_VECTOR)).drop(ALL_VECTOR)
+
+
+def vector_table(df: DataFrame | VectorTable, features: Sequence[str], keep: Sequence[str]) -> VectorTable:
+    """Assemble ``features`` once and store them with the columns ``keep``, rows dealt evenly. A vector table stays as it is."""
+    if isinstance(df, VectorTable):
+        return df
+    return VectorTable(stage(assemble(df, features).select(*dict.fromkeys(keep), VECTOR), "vectors", even=True), list(features))
+
+
+def _vectors(df: DataFrame | VectorTable, features: Sequence[str]) -> DataFrame:
+    return df.view(features) if isinstance(df, VectorTable) else assemble(df, features)
+
+
 def make_classifier(kind: str, target: str, params: dict | None = None, seed: int = 42):
     params = {k: v for k, v in (params or {}).items() if k != "n_features"}
+    balanced = params.pop("class_weight", None)
+    if balanced not in (None, "balanced"):
+        raise ValueError(f"class_weight is None or 'balanced', not {balanced!r}")
     common = dict(featuresCol=VECTOR, labelCol=target, predictionCol="PRED")
     estimators = {"lgbm": GBTClassifier, "xgboost": GBTClassifier, "catboost": GBTClassifier,
                   "forest": RandomForestClassifier, "logit": LogisticRegression}
     if kind in estimators:
         if kind != "logit":
             common["seed"] = seed
-        estimator = estimators[kind](**common, **params)
+        estimator = estimators[kind](**common, **params, **({"weightCol": WEIGHT} if balanced else {}))
         return estimator.setProbabilityCol("_probability").setRawPredictionCol("_raw")
     raise ValueError(f"unknown classifier {kind!r}; known: {KINDS}")
 
@@ -56,9 +91,9 @@ class Classifier:
     target: str
     model: object
 
-    def score(self, df: DataFrame) -> DataFrame:
+    def score(self, df: DataFrame | VectorTable) -> DataFrame:
         """Add PROBA (probability of class 1) and PRED."""
-        scored = self.model.transform(assemble(df, self.features))
+        scored = self.model.transform(_vectors(df, self.features))
         return (scored.withColumn("PROBA", vector_to_array("_probability")[1])
                 .withColumn("PRED", F.col("PRED").cast("int")).drop(VECTOR, "_probability", "_raw"))
 
@@ -72,11 +107,26 @@ class Classifier:
         return sorted(zip(self.features, values), key=lambda fv: (-fv[1], fv[0]))
 
 
-def fit_classifier(train: DataFrame, features: Sequence[str], target: str, kind: str = "lgbm",
+def class_weights(data: DataFrame, target: str) -> DataFrame:
+    """Add WEIGHT, rows / (2 * rows of the class), from one count: both classes weigh the same in all."""
+    counts = {int(r[0]): r["count"] for r in data.groupBy(F.col(target).cast("int")).count().collect()}
+    total = sum(counts.values())
+    weight = F.lit(None).cast("double")
+    for label, n in counts.items():
+        weight = F.when(F.col(target) == label, F.lit(total / (len(counts) * n))).otherwise(weight)
+    return data.withColumn(WEIGHT, weight)
+
+
+def fit_classifier(train: DataFrame | VectorTable, features: Sequence[str], target: str, kind: str = "lgbm",
                    params: dict | None = None, seed: int = 42) -> Classifier:
-    data = (assemble(train.where(F.col(target).isin(0, 1)), features)
+    """Fit on the rows whose target is 0 or 1. The parameter ``class_weight`` is None or "balanced"; the others are the
+    estimator's."""
+    estimator = make_classifier(kind, target, params, seed)
+    data = (_vectors(train.where(F.col(target).isin(0, 1)), features)
             .select(VECTOR, F.col(target).cast("double").alias(target)))
-    return Classifier(kind, list(features), target, make_classifier(kind, target, params, seed).fit(data))
+    if (params or {}).get("class_weight"):
+        data = class_weights(data, target)
+    return Classifier(kind, list(features), target, estimator.fit(data))
 
 
 def importance_table(spark, classifier: Classifier, signed: bool = False) -> DataFrame:
@@ -120,11 +170,12 @@ def leaderboard(spark, trials: Sequence[Trial]) -> DataFrame:
     return spark.createDataFrame([t.row() for t in trials], LEADERBOARD_SCHEMA)
 
 
-def baseline(df: DataFrame, features: Sequence[str], target: str, kind: str = "logit",
+def baseline(df: DataFrame | VectorTable, features: Sequence[str], target: str, kind: str = "logit",
              params: dict | None = None, weight: float = 2.0) -> tuple[Trial, Classifier]:
     """Fit on the train rows of a frame with a ``sample`` column and judge all samples at once."""
-    fitted = fit_classifier(df.where(F.col("sample") == "train"), features, target, kind, params)
-    metrics = sample_metrics(fitted.score(df), target)
+    table = vector_table(df, features, [target, "sample"])
+    fitted = fit_classifier(table.where(F.col("sample") == "train"), features, target, kind, params)
+    metrics = sample_metrics(fitted.score(table), target)
     score = penalise(metrics["train"][0], metrics["test"][0], weight)
     return Trial(kind, "baseline", metrics, score, params or {}, features), fitted
 
@@ -151,26 +202,28 @@ def search_space(kind: str) -> Callable[[random.Random], dict]:
         "logit": lambda rng: {"regParam": 1.0 / _log_uniform(rng, 1e-2, 1e3),
                               "elasticNetParam": rng.uniform(0.0, 1.0),
                               "maxIter": rng.randint(100, 800), "tol": rng.uniform(1e-5, 1e-2),
-                              "fitIntercept": rng.random() < 0.5}}
+                              "fitIntercept": rng.random() < 0.5,
+                              "class_weight": rng.choice([None, "balanced"])}}
     return spaces[kind]
 
 
-def random_search(df: DataFrame, features: Sequence[str], target: str, kind: str = "lgbm",
+def random_search(df: DataFrame | VectorTable, features: Sequence[str], target: str, kind: str = "lgbm",
                   n_trials: int = 10, seed: int = 42, weight: float = 5.0,
                   space: Callable[[random.Random], dict] | None = None) -> list[Trial]:
     """Seeded random search. A trial fits once on all features, ranks them, keeps a random number of
-    the best, refits, and is judged by the penalised train / test AUC. Each fit is a distributed job;
-    pass a staged frame so that the loop re-reads a table instead of its lineage."""
+    the best, refits, and is judged by the penalised train / test AUC. All fits and scores read one
+    vector table, assembled once."""
     rng = random.Random(seed)
     space = space or search_space(kind)
-    train = df.where(F.col("sample") == "train")
+    table = vector_table(df, features, [target, "sample"])
+    train = table.where(F.col("sample") == "train")
     trials = []
     for number in range(n_trials):
         params = space(rng)
         first = fit_classifier(train, features, target, kind, params)
         chosen = [f for f, _ in first.importance()][:rng.randint(1, len(features))]
         fitted = fit_classifier(train, chosen, target, kind, params)
-        metrics = sample_metrics(fitted.score(df), target)
+        metrics = sample_metrics(fitted.score(table), target)
         trials.append(Trial(kind, str(number), metrics,
                             penalise(metrics["train"][0], metrics["test"][0], weight), params, chosen))
     return trials

@@ -23,9 +23,10 @@ def run_leaderboard(df: DataFrame, features: Sequence[str], target: str,
     for kind in kinds:
         prepared = prepare(df, features, categorical, kind)
         columns = [*features, *categorical]
-        first, _ = training.baseline(prepared, columns, target, kind, (baseline_params or {}).get(kind))
+        table = training.vector_table(prepared, columns, [target, "sample"])
+        first, _ = training.baseline(table, columns, target, kind, (baseline_params or {}).get(kind))
         trials.append(first)
-        trials += training.random_search(prepared, columns, target, kind, n_trials, seed,
+        trials += training.random_search(table, columns, target, kind, n_trials, seed,
                                          space=(spaces or {}).get(kind))
     return trials
 
@@ -34,7 +35,7 @@ def prepare(df: DataFrame, features: Sequence[str], categorical: Sequence[str],
     """The kind's preprocessing, staged so that the fitting loops re-read a table."""
     recipe = kind if kind in ("lgbm", "xgboost", "logit") else "lgbm"
     fitted = fit_preprocessor(recipe, df.where(F.col("sample") == "train"), list(features), list(categorical))
-    return stage(fitted.transform(df), f"prepared-{kind}")
+    return stage(fitted.transform(df), f"prepared-{kind}", even=True)
 
 
 def evaluate(scored: DataFrame, target: str, month: str, features: Sequence[str],

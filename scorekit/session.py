@@ -25,14 +25,17 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", path: str | None = None, even: bool = False) -> DataFrame:
     """Write ``df`` to shared storage and read it back.
 
     Cuts the lineage with a table that outlives lost executors, so loops of model fits never
-    recompute (or re-sample) their input.
+    recompute (or re-sample) their input. With ``even`` the rows are dealt evenly over as many files as the session has
+    shuffle partitions (cores at least), whatever the files they came from.
     """
     spark = df.sparkSession
     path = path or shared_path(spark, name)
+    if even:
+        df = df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

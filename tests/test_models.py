@@ -153,6 +153,40 @@ def test_refinement_job(spark, df):
     assert len(tried) == 2 and {SIGNAL, NOISE, "text"} - tried <= set(out.features)
 
 
+def test_loops_assemble_once(df, monkeypatch):
+    calls = []
+    real = train.assemble
+    monkeypatch.setattr(train, "assemble", lambda *a, **k: calls.append(1) or real(*a, **k))
+    train.random_search(df, FEATURES, "y", "lgbm", 2, space=lambda rng: dict(TREES))
+    assert len(calls) == 1
+    select.progressive_curve(df, FEATURES, "y", params=TREES)
+    assert len(calls) == 2
+    select.recursive_elimination(df, FEATURES, "y", [1], params=TREES)
+    assert len(calls) == 3
+
+
+def test_slices_give_the_same_fit(df):
+    few = list(FEATURES)[::-1][:2]
+    table = train.vector_table(df, FEATURES, ["k", "y"])
+    one, two = (train.fit_classifier(t, few, "y", "logit", {"maxIter": 50}) for t in (table, df))
+    assert dict(one.importance()) == pytest.approx(dict(two.importance()), rel=1e-6)
+    a, b = ({r["k"]: r["PROBA"] for r in c.score(t).collect()} for c, t in ((one, table), (two, df)))
+    assert a == pytest.approx(b, abs=1e-9)
+
+
+def test_balanced_classes_change_the_fit(df):
+    rare = df.where((F.col("y") == 0) | (F.col("k") % 9 == 0))
+    plain, balanced = (train.fit_classifier(rare, FEATURES, "y", "logit", {"maxIter": 50, "class_weight": w}).score(rare)
+                       .agg(F.avg("PROBA")).first()[0] for w in (None, "balanced"))
+    share = rare.agg(F.avg("y")).first()[0]
+    assert plain == pytest.approx(share, abs=0.02) and balanced > plain
+    weights = train.class_weights(rare.select("y"), "y").groupBy("y").agg(F.sum(train.WEIGHT).alias("w")).collect()
+    assert weights[0]["w"] == pytest.approx(weights[1]["w"])
+    assert {train.search_space("logit")(random.Random(s))["class_weight"] for s in range(9)} == {None, "balanced"}
+    with pytest.raises(ValueError):
+        train.fit_classifier(rare, FEATURES, "y", "logit", {"class_weight": "heavy"})
+
+
 def test_train_and_report(df):
     board, tables = reporting.train_and_report(
         df, FEATURES, "y", "month", kinds=("lgbm", "logit"), n_trials=1,

@@ -68,8 +68,9 @@ def read_feature_months(spark: SparkSession, path: str, months, month: str = "me
 def feature_months(df: DataFrame, months, month: str = "mes", month_format: str | None = None) -> DataFrame:
     """The rows of the wanted months, with ``month`` as a date.
 
-    A month that is no date needs its format (texts default to ISO days). A store whose months are
-    not spelled that way is refused, as it would otherwise match nothing.
+    A month that is no date needs its format (texts default to ISO days). A store that spells any of its months
+    another way is refused, as those rows would otherwise be lost. That takes a look at the month column of
+    the store, or at its folders where it is partitioned by month.
     """
     pair = next((p for p in YEAR_MONTH_PAIRS if set(p) <= set(df.columns)), None)
     if pair is not None:
@@ -80,8 +81,9 @@ def feature_months(df: DataFrame, months, month: str = "mes", month_format: str
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return df.where(month_predicate(df.columns, months, month)).withColumn(month, F.col(month).cast("date"))
     month_format = month_format or "yyyy-MM-dd"
-    first = df.where(F.col(month).isNotNull()).select(parse_date(month, month_format).alias("d"), F.col(month).alias("m")).first()
-    if first is not None and first["d"] is None:
-        raise ValueError(f"{month} holds {first['m']!r}, which is not spelled {month_format}")
+    spelled = F.date_format(parse_date(month, month_format), month_format).eqNullSafe(F.col(month).cast("string"))
+    odd = df.select(month).where(F.col(month).isNotNull() & ~spelled).first()
+    if odd is not None:
+        raise ValueError(f"{month} holds {odd[0]!r}, which is not spelled {month_format}")
     kept = df.where(month_predicate(df.columns, months, month, month_format))
     return kept.withColumn(month, parse_date(month, month_format))

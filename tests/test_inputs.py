@@ -163,6 +163,17 @@ def test_card_flags(spark):
     assert (row.flag_cartao_3m, row.flag_cartao_6m, row.flag_cartao_12m) == (1, 0, 0)
 
 
+def test_odd_spellings_of_months_are_refused(spark):
+    months = [dt.date(2024, 1, 1), dt.date(2024, 2, 1)]
+    good = [("2024-01", 1), ("2024-02", 2), ("2024-03", 3), (None, 4)]
+    store = spark.createDataFrame(good, "mes string, x int")
+    assert {r["x"] for r in feature_store.feature_months(store, months, "mes", "yyyy-MM").collect()} == {1, 2}
+    for odd in ("2024/01", "2024-1", "2024-02-01", "202402", "other"):
+        mixed = spark.createDataFrame([*good, (odd, 5)], "mes string, x int").repartition(3)
+        with pytest.raises(ValueError):
+            feature_store.feature_months(mixed, months, "mes", "yyyy-MM")
+
+
 def test_month_predicates_prune_partitions(spark):
     path = shared_path(spark, "store")
     rows = [(i, y, m) for i, (y, m) in enumerate([(2022, 12), (2023, 1), (2023, 2)])]

@@ -16,6 +16,8 @@ from scorekit.operators.metrics import feature_auc
 from scorekit.session import stage
 
 MISSING_LEVEL = "nan"
+TILE = 64  # columns whose cross products with as many others travel together
+PARTIALS = 2
 
 
 # missing ratio -----------------------------------------------------------------------------------
@@ -108,8 +110,10 @@ def information_value(df: DataFrame, target: str, numeric: Sequence[str] | None
 def _corr_by_blocks(df: DataFrame, columns: Sequence[str], weight: str | None = None,
                     centre: Sequence[float] | None = None, group: str | None = None) -> DataFrame:
     """Every task reduces its rows to pairwise-complete cross products (centred for stability, by default
-    on the means); one small row per pair and task is then summed. ``weight`` counts a row several times. With
-    ``group``, a text of few values, there are pairs of each group."""
+    on the means), in tiles of TILE by TILE columns. A tile is a packed row; those of all tasks are added up, tile by tile.
+    At most PARTIALS tasks a core make them, so what is shuffled does not grow with the input. A task holds 32 bytes per pair
+    of columns. ``weight`` counts a row several times. With ``group``, a text of few values, there are pairs of
+    each group."""
     k = len(columns)
     times = F.lit(1.0) if weight is None else F.col(weight).cast("double")
     groups = F.lit("") if group is None else F.coalesce(F.col(group).cast("string"), F.lit(""))
@@ -118,8 +122,12 @@ def _corr_by_blocks(df: DataFrame, columns: Sequence[str], weight: str | None =
         first = clean.agg(*[F.avg(c).alias(c) for c in columns]).first()
         centre = [0.0 if first[c] is None else first[c] for c in columns]
     centre = np.array(centre)
-    upper_i, upper_j = np.tril_indices(k, -1)
-    schema = "g string, i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    blocks = [np.arange(at, min(at + TILE, k)) for at in range(0, k, TILE)]
+
+    def tile(a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """Column pairs of two blocks, the later column first."""
+        i, j = (x.ravel() for x in np.meshgrid(blocks[a], blocks[b], indexing="ij"))
+        return i[i > j], j[i > j]
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_group: dict[str, np.ndarray] = {}
@@ -137,17 +145,25 @@ def _corr_by_blocks(df: DataFrame, columns: Sequence[str], weight: str | None =
                 sums[1] += x[rows].T @ often[rows]
                 sums[2] += (x[rows] * x[rows]).T @ often[rows]
                 sums[3] += x[rows].T @ (x[rows] * often[rows])
-        i, j = upper_i, upper_j
         for name, (n, s, ss, sp) in by_group.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(i), pa.string()), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(n[i, j]),
-                 pa.array(s[i, j]), pa.array(s[j, i]), pa.array(ss[i, j]), pa.array(ss[j, i]),
-                 pa.array(sp[i, j])],
-                names=["g", "i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
-
-    measures = ("n", "sx", "sy", "sxx", "syy", "sxy")
-    total = (clean.mapInArrow(partial, schema).groupBy("g", "i", "j")
-             .agg(*[F.sum(m).alias(m) for m in measures]))
+            for a in range(len(blocks)):
+                for b in range(a + 1):
+                    i, j = tile(a, b)
+                    if len(i):
+                        packed = np.concatenate([n[i, j], s[i, j], s[j, i], ss[i, j], ss[j, i], sp[i, j]])
+                        yield pa.RecordBatch.from_pydict({"g": pa.array([name], pa.string()), "a": pa.array([a], pa.int32()),
+                                                          "b": pa.array([b], pa.int32()), "sums": pa.array([packed])})
+
+    def total_of(table: pa.Table) -> pa.Table:
+        name, a, b = (table.column(c)[0].as_py() for c in range(3))
+        i, j = tile(a, b)
+        packed = sum(part.values.to_numpy() for part in table.column(3)).reshape(6, -1)
+        return pa.table([pa.array([name] * len(i), pa.string()), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)),
+                         *[pa.array(row) for row in packed]], names=["g", "i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    tasks = PARTIALS * df.sparkSession.sparkContext.defaultParallelism
+    total = (clean.coalesce(tasks).mapInArrow(partial, "g string, a int, b int, sums array<double>").groupBy("g", "a", "b")
+             .applyInArrow(total_of, "g string, i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"))
     vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
     vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
     cov = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")

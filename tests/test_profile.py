@@ -5,6 +5,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from scorekit.operators import calibrate, encode, profile
 from scorekit.operators.metrics import feature_auc
@@ -158,6 +159,26 @@ def test_preprocessors_pass_other_columns_through(df):
         encode.fit_preprocessor("other", df, ["a"], [])
 
 
+@pytest.mark.parametrize("tile", [1, 3, 64])
+def test_correlation_in_tiles(spark, monkeypatch, tile):
+    monkeypatch.setattr(profile, "TILE", tile)
+    rng = np.random.default_rng(21)
+    data = pd.DataFrame(rng.normal(size=(500, 8)), columns=[f"c{i}" for i in range(8)])
+    data["c3"] = data.c1 * 2 + rng.normal(size=500) / 10
+    data = data.mask(rng.random(data.shape) < 0.1)
+    found = profile.pearson_pairs(spark.createDataFrame(data).repartition(20), list(data.columns)).collect()
+    want = data.corr()
+    assert len(found) == 28 and all(r.r == pytest.approx(want.loc[r.feature_1, r.feature_2], abs=1e-9) for r in found)
+    assert all(r.feature_1 > r.feature_2 for r in found)
+
+
+def test_wide_correlation_shuffles_tiles(spark):
+    df = spark.range(0, 400, 1, 40).select(*[((F.col("id") * (i + 7)) % 101).cast("double").alias(f"c{i}") for i in range(200)])
+    plan = profile.pearson_pairs(df, df.columns)
+    assert "Coalesce" in plan._jdf.queryExecution().optimizedPlan().toString() or "Repartition" in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count() == 200 * 199 // 2
+
+
 def brute_isotonic(p, y):
     points = pd.DataFrame({"p": p, "y": y}).groupby("p").y.agg(["mean", "count"]).reset_index()
     blocks = []

@@ -6,11 +6,10 @@ import math
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -253,16 +252,19 @@ def permutation_importance(df: DataFrame, classifier: Classifier, key: Sequence[
                            seed: int = 7) -> DataFrame:
     """Loss of AUC when one feature is exchanged between rows.
 
-    The exchange reuses the shadow columns of ``shuffled_copies``: one extra shuffle for all features,
-    then one AUC job over (feature, score), with the untouched rows as one more feature.
+    The exchange reuses the shadow columns of ``shuffled_copies``: one extra shuffle for all features. Every row is then
+    scored once as it is and once per feature with that slot of its vector exchanged, in one pass whose plan does
+    not grow with the features, and one AUC job judges all of them.
     """
     from scorekit.operators.select import shuffled_copies
-    mixed = stage(shuffled_copies(df, classifier.features, key, seed), "swapped")
-
-    def judged(f):
-        swapped = mixed.select(*[F.col(f"shadow_{f}").alias(f) if c == f else F.col(c) for c in df.columns])
-        return classifier.score(swapped).select(F.lit(f).alias("feature"), "PROBA", classifier.target)
-    scores = reduce(DataFrame.unionAll, [judged(f) for f in ["", *classifier.features]])
-    found = {r["feature"]: r["auc"] for r in auc_and_ks(scores, "PROBA", classifier.target, ["feature"]).collect()}
-    losses = [(f, float(found[""] - found[f])) for f in classifier.features]
+    features, missing = list(classifier.features), F.lit(float(MISSING_NUMBER))
+    mixed = stage(shuffled_copies(df, features, key, seed), "swapped")
+    own, shadow = (F.array(*[F.coalesce(finite(prefix + f), missing) for f in features]) for prefix in ("", "shadow_"))
+    slots = F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1)))  # -1: the row as it is
+    rows = mixed.select(classifier.target, own.alias("_own"), shadow.alias("_shadow"), slots.alias("_slot"))
+    exchanged = F.transform("_own", lambda x, i: F.when(i == F.col("_slot"), F.get("_shadow", i)).otherwise(x))
+    scored = classifier.model.transform(rows.select(classifier.target, "_slot", array_to_vector(exchanged).alias(VECTOR)))
+    judged = scored.select("_slot", vector_to_array("_probability")[1].alias("PROBA"), classifier.target)
+    found = {r["_slot"]: r["auc"] for r in auc_and_ks(judged, "PROBA", classifier.target, ["_slot"]).collect()}
+    losses = [(f, float(found[-1] - found[i])) for i, f in enumerate(features)]
     return df.sparkSession.createDataFrame(losses, "feature string, importance double")

@@ -81,6 +81,22 @@ def test_exchange_importance_finds_the_signal(df):
     assert loss[SIGNAL] > 0.2 and abs(loss[NOISE]) < 0.05
 
 
+def test_exchange_importance_equals_scoring_each_exchange(df):
+    fitted = train.fit_classifier(df.where("sample = 'train'"), FEATURES, "y", "logit", {"maxIter": 20})
+    part = df.where("sample = 'test'").select("k", "y", *FEATURES)
+    mixed = select.shuffled_copies(part, FEATURES, ["k"], 7).toPandas()
+    spark = df.sparkSession
+
+    def auc(frame):
+        return train.auc_and_ks(fitted.score(spark.createDataFrame(frame)), "PROBA", "y").first()["auc"]
+
+    whole = auc(mixed[["k", "y", *FEATURES]])
+    got = {r.feature: r.importance for r in train.permutation_importance(part, fitted, ["k"]).collect()}
+    for f in FEATURES[:2]:
+        swapped = mixed[["k", "y", *FEATURES]].assign(**{f: mixed[f"shadow_{f}"]})
+        assert got[f] == pytest.approx(whole - auc(swapped), abs=1e-12)
+
+
 def test_shuffled_copies_keep_every_value(df):
     mixed = select.shuffled_copies(df.select("k", SIGNAL, NOISE), [SIGNAL, NOISE], ["k"], 3).toPandas()
     assert sorted(mixed[SIGNAL]) == sorted(mixed[f"shadow_{SIGNAL}"])

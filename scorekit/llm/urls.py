@@ -9,6 +9,8 @@ DataFrame functions are used.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,20 +62,18 @@ def judge_urls(urls: DataFrame, rules: DataFrame, url: str = "url",
     ``://`` or an empty table fit no rule. ``url`` names the only column that is read.
     """
     rules = prepare_rules(rules)
-    shapes = [(r["labels"], r["length"]) for r in rules.select("labels", "length").distinct()
+    shapes = [{"labels": r["labels"], "length": r["length"]} for r in rules.select("labels", "length").distinct()
               .orderBy("labels", "length").collect()]  # as many as rules have forms
     distinct = (urls.select(F.col(url).alias("url")).distinct()
                 .select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")))
     distinct = distinct.select("url", F.coalesce("host", F.lit("")).alias("host"),
                                F.coalesce("path", F.lit("")).alias("path"))
-    labels = F.size(F.split("host", r"\."))
-    expressions = [F.when((F.col("host") != "") & (labels >= a) & (F.length("path") >= n),
-                          F.concat(F.substring_index("host", ".", -a), F.substring("path", 1, n)))
-                   for a, n in shapes]
-    if not expressions:
-        expressions = [F.lit(None).cast("string")]
-    expanded = (distinct.select("url", F.explode(F.array_distinct(F.array_compact(F.array(*expressions))))
-                                .alias("expression"))
+    labels, length = F.size(F.split("host", r"\.")), F.length("path")
+    forms = F.from_json(F.lit(json.dumps(shapes)), "array<struct<labels int, length int>>")  # a constant, however many there are
+    fitting = F.filter(forms, lambda s: (F.col("host") != "") & (s["labels"] <= labels) & (s["length"] <= length))
+    expressions = F.transform(fitting, lambda s: F.concat(F.call_function("substring_index", F.col("host"), F.lit("."), -s["labels"]),
+                                                          F.substring("path", F.lit(1), s["length"])))
+    expanded = (distinct.select("url", F.explode(F.array_distinct(expressions)).alias("expression"))
                 .withColumn("full", _digest(F.col("expression")))
                 .withColumn("prefix", F.substring("full", 1, PREFIX_HEX))
                 .drop("expression"))

@@ -49,6 +49,21 @@ def test_any_rules_against_plain_matching(spark):
         assert (rule, verdict) == best[2:], address
 
 
+def test_many_forms_of_rules(spark):
+    random.seed(4)
+    names = ["a", "bb", "co", "net", "x1"]
+    rules = {(".".join(random.choices(names, k=random.randint(1, 6))), "/" + "p" * random.randint(0, 60)): random.choice(["allow", "block"])
+             for _ in range(400)}
+    table = spark.createDataFrame([(h, p, v) for (h, p), v in rules.items()], "host string, path string, verdict string")
+    rows = [(i, f"http://{'.'.join(random.choices(names, k=random.randint(1, 8)))}/{'p' * random.randint(0, 70)}?q") for i in range(200)]
+    found = urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), table)
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 40_000
+    for r in found.collect():
+        host, path = r["url"][7:-2].split("/", 1)
+        fits = [(len(h + p), len(h), h + p) for h, p in rules if (host == h or host.endswith("." + h)) and ("/" + path).startswith(p)]
+        assert r["rule"] == (max(fits)[2] if fits else None)
+
+
 def test_url_edge_tables(spark):
     empty = spark.createDataFrame([], PAGES)
     assert urls.filter_urls(empty, url_rules(spark)).count() == 0

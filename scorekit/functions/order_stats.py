@@ -169,33 +169,70 @@ def exact_quantiles(df: DataFrame, columns, probs) -> dict[str, list[float | Non
     columns, probs = list(columns), [float(p) for p in probs]
     if not columns:
         return {}
-    margin = 2.0 / SKETCH_ACCURACY
-    around = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
     clean = df.select(*[finite(c).alias(c) for c in columns])
-    sketch = clean.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[F.percentile_approx(c, double_array(around), SKETCH_ACCURACY).alias(f"q_{i}")
-          for i, c in enumerate(columns)]).first()
-    counts = {c: sketch[f"n_{i}"] for i, c in enumerate(columns)}
-    filled = [c for c in columns if counts[c]]
-    found = _bracketed(clean, {c: sketch[f"q_{columns.index(c)}"] for c in filled}, counts, probs) if filled else {}
-    return {c: found.get(c, [None] * len(probs)) for c in columns}
-
-
-def _bracketed(clean: DataFrame, sketches, counts, probs):
-    spark, half, margin = clean.sparkSession, len(probs), 2.0 / SKETCH_ACCURACY
+    row = clean.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)], *_sketches(dict.fromkeys(columns, probs))).first()
+    counts = {c: row[f"n_{i}"] for i, c in enumerate(columns)}
+    filled = {c: probs for c in columns if counts[c]}
+    found = _values_at(clean, {c: row[f"q_{columns.index(c)}"] for c in filled}, counts, filled) if filled else {}
+    return {c: [_interpolate(found[c], p * (counts[c] - 1)) for p in probs] if c in found else [None] * len(probs) for c in columns}
+
+
+def filled_quantiles(df: DataFrame, columns, probs) -> dict[str, tuple[float, list[float]]]:
+    """Per column with a finite value its exact median, and the exact quantiles it has once all other values are replaced by
+    the median.
+
+    Filling puts copies of the median behind the lower half of the sorted values, so each rank of the filled
+    column is a rank of the values or the median: the filled column is never sorted or even made. Three passes:
+    count, sketch, search.
+    """
+    columns, probs = list(columns), [float(p) for p in probs]
+    clean = df.select(*[finite(c).alias(c) for c in columns])
+    row = clean.agg(F.count("*").alias("_rows"), *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)]).first()
+    rows, counts = row["_rows"], {c: row[f"n_{i}"] for i, c in enumerate(columns) if row[f"n_{i}"]}
+    if not counts:
+        return {}
+    places, asked = {}, {}
+    for c, n in counts.items():
+        lower, holes = (n - 1) // 2, rows - n
+        places[c] = [[k if k <= lower else None if k <= lower + holes else k - holes for k in (math.floor(r), math.ceil(r))]
+                     for r in (p * (rows - 1) for p in probs)]
+        ranks = {k for pair in places[c] for k in pair if k is not None} | {lower, n // 2}
+        asked[c] = [k / max(1, n - 1) for k in sorted(ranks)]
+    sketch = clean.agg(*_sketches(asked)).first()
+    found = _values_at(clean, {c: sketch[f"q_{i}"] for i, c in enumerate(asked)}, counts, asked)
+    out = {}
+    for c, n in counts.items():
+        median = _interpolate(found[c], (n - 1) / 2)
+        values = []
+        for p, pair in zip(probs, places[c], strict=True):
+            low, high = (median if k is None else found[c][k] for k in pair)
+            values.append(low + (high - low) * (p * (rows - 1) - math.floor(p * (rows - 1))))
+        out[c] = (median, values)
+    return out
+
+
+def _sketches(probs: dict[str, list[float]]):
+    """Sketch aggregates that bracket the probabilities of each column."""
+    margin = 2.0 / SKETCH_ACCURACY
+    return [F.percentile_approx(c, double_array([max(0.0, p - margin) for p in own] + [min(1.0, p + margin) for p in own]), SKETCH_ACCURACY)
+            .alias(f"q_{i}") for i, (c, own) in enumerate(probs.items())]
+
+
+def _values_at(clean: DataFrame, sketches, counts, probs) -> dict[str, dict[int, float]]:
+    """Per column, the values at the ranks around each of its probabilities."""
+    spark, margin = clean.sparkSession, 2.0 / SKETCH_ACCURACY
     edges, targets = {}, []
     for i, (name, found) in enumerate(sketches.items()):
-        few = counts[name] * margin < 4
-        los = [-math.inf if few or p <= margin else v for p, v in zip(probs, found[:half])]
-        his = [math.inf if few or p >= 1 - margin else v for p, v in zip(probs, found[half:])]
+        few, own = counts[name] * margin < 4, probs[name]
+        los = [-math.inf if few or p <= margin else v for p, v in zip(own, found[:len(own)])]
+        his = [math.inf if few or p >= 1 - margin else v for p, v in zip(own, found[len(own):])]
         merged, member = _brackets(los, his)
         # cell 2k is the gap below interval k, cell 2k+1 the interval itself
         bounds = []
         for lo, hi in merged:
             bounds += [lo, math.nextafter(hi, math.inf)]
         edges[name] = bounds
-        for p, where in zip(probs, member):
+        for p, where in zip(own, member):
             rank = p * (counts[name] - 1)
             for k in {math.floor(rank), math.ceil(rank)}:
                 targets.append((i, 2 * where + 1, k))
@@ -223,8 +260,7 @@ def _bracketed(clean: DataFrame, sketches, counts, probs):
     by_variable: dict[int, dict[int, float]] = {}
     for hit in hits:
         by_variable.setdefault(hit["variable"], {})[hit["k"]] = hit["value"]
-    return {name: [_interpolate(by_variable[i], p * (counts[name] - 1)) for p in probs]
-            for i, name in enumerate(edges)}
+    return {name: by_variable[i] for i, name in enumerate(edges)}
 
 
 def _slice(value, number, bounds):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorekit.functions.columns import bin_index, finite, numeric_columns, ratio, unpivot_structs
-from scorekit.functions.order_stats import BUCKET, exact_quantiles, ordered_buckets, running_sums
+from scorekit.functions.order_stats import BUCKET, filled_quantiles, ordered_buckets, running_sums
 from scorekit.functions.skew import hot_counts, spread_join
 from scorekit.operators.metrics import feature_auc
 from scorekit.session import stage
@@ -46,12 +46,6 @@ def _distinct(edges) -> list[float]:
     return sorted({e for e in edges if e is not None})
 
 
-def quantile_bin_edges(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
-    """Distinct quantile edges per column (``bins + 1`` before removing duplicates)."""
-    found = exact_quantiles(df, columns, [i / bins for i in range(bins + 1)])
-    return {c: _distinct(found[c]) for c in columns}
-
-
 def woe_bins(df: DataFrame, target: str, numeric: Sequence[str] | None = None,
              categorical: Sequence[str] | None = None, bins: int = 10) -> DataFrame:
     """Counts, WoE and IV part of every bin of every variable.
@@ -67,15 +61,10 @@ def woe_bins(df: DataFrame, target: str, numeric: Sequence[str] | None = None,
     source = df.where(y.isin(0, 1)).select(
         y.alias("_y"), *[finite(c).alias(c) for c in numeric],
         *[F.coalesce(F.col(c).cast("string"), F.lit(MISSING_LEVEL)).alias(c) for c in categorical])
-    counts = source.agg(F.count("*").alias("n"), *[F.count(c).alias(c) for c in numeric]).first() \
-        if numeric else None
-    holes = [c for c in numeric if 0 < counts[c] < counts["n"]]
-    numeric = [c for c in numeric if counts[c] > 0]
-    if holes:
-        medians = exact_quantiles(source, holes, [0.5])
-        source = source.select([F.coalesce(F.col(c), F.lit(medians[c][0])).alias(c) if c in medians
-                                else F.col(c) for c in source.columns])
-    edges = quantile_bin_edges(source, numeric, bins)
+    found = filled_quantiles(source, numeric, [i / bins for i in range(bins + 1)]) if numeric else {}
+    numeric = [c for c in numeric if c in found]
+    source = source.select([F.coalesce(F.col(c), F.lit(found[c][0])).alias(c) if c in found else F.col(c) for c in source.columns])
+    edges = {c: _distinct(found[c][1]) for c in numeric}
 
     entries = []
     for c in numeric:

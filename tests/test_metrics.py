@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scorekit.functions.order_stats import BUCKET, exact_quantiles, grouped_quantiles, ordered_buckets, row_rank, running_sums, surrounding
+from scorekit.functions.order_stats import BUCKET, exact_quantiles, filled_quantiles, grouped_quantiles, ordered_buckets, row_rank, running_sums, surrounding
 from scorekit.operators import metrics, reports
 
 
@@ -107,6 +107,22 @@ def test_exact_quantiles(spark):
     assert found["empty"] == [None] * len(probs)
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 40_000])
+def test_quantiles_of_filled_columns(spark, n):
+    import pandas as pd
+    rng = np.random.default_rng(n)
+    pdf = pd.DataFrame({"smooth": rng.normal(size=n), "tied": rng.integers(0, 4, n) / 4.0, "mostly": rng.random(n), "whole": rng.random(n)})
+    for c, share in (("smooth", 0.3), ("tied", 0.2), ("mostly", 0.97)):
+        pdf.loc[(rng.random(n) < share) & (np.arange(n) > 0), c] = np.nan
+    pdf["empty"] = np.nan
+    probs = [i / 20 for i in range(21)] + [0.333]
+    got = filled_quantiles(spark.createDataFrame(pdf).repartition(3), list(pdf.columns), probs)
+    assert set(got) == {"smooth", "tied", "mostly", "whole"}
+    for c, (median, values) in got.items():
+        assert median == pytest.approx(pdf[c].median(), abs=1e-12)
+        assert np.allclose(values, np.quantile(pdf[c].fillna(pdf[c].median()), probs), rtol=1e-12, atol=1e-12), c
+
+
 @pytest.mark.parametrize("accuracy", [10_000, 40])
 def test_grouped_quantiles(spark, monkeypatch, accuracy):
     monkeypatch.setattr("scorekit.functions.order_stats.SKETCH_ACCURACY", accuracy)

@@ -39,8 +39,8 @@ def frequency_ranks(df: DataFrame, columns: Sequence[str], min_count: int = MIN_
 class RankCountModel:
     """Frequency codes: known values get their rank, unseen or rare ones 1, missing ``set_nans``.
 
-    ``short`` holds the codes of columns whose lists were checked to be small, and lives in memory; each
-    other column is a shuffled join that deals the values of which the mapping counts many rows.
+    ``short`` holds the codes of columns whose lists were checked to be small, and lives in memory; all
+    other columns together take one shuffled join that deals the values of which the mapping counts many rows.
     """
 
     mapping: DataFrame
@@ -50,18 +50,32 @@ class RankCountModel:
     short_columns: frozenset[str] = frozenset()
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = df
-        for c in self.columns:
+        long = [c for c in self.columns if c not in self.short_columns]
+        out = self._all_at_once(df, long) if len(long) > 1 else df
+        for c in (self.columns if len(long) == 1 else [c for c in self.columns if c not in long]):
             own = ((self.short if c in self.short_columns else self.mapping).where(F.col("variable") == c)
                    .select(F.col("value").alias("_value"), F.col("code").alias("_code"), "n"))
             codes, keyed = own.drop("n"), out.withColumn("_value", F.col(c).cast("string"))
             joined = (keyed.join(F.broadcast(codes), "_value", "left") if c in self.short_columns
                       else spread_join(keyed, codes, ["_value"], hot=hot_counts(own, ["_value"], "n")))
-            code = (F.when(F.col(c).isNull(), F.lit(self.set_nans))
-                    .otherwise(F.coalesce(F.col("_code"), F.lit(RARE_CODE))).cast("int"))
-            out = joined.select(*[code.alias(c) if x == c else F.col(x) for x in out.columns])
+            out = joined.select(*[self._code(F.col(c), F.col("_code")).alias(c) if x == c else F.col(x) for x in out.columns])
         return out
 
+    def _code(self, value, found):
+        return (F.when(value.isNull(), F.lit(self.set_nans)).otherwise(F.coalesce(found, F.lit(RARE_CODE)))).cast("int")
+
+    def _all_at_once(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """Codes of several long columns from one join: (row, column, value) meets the mapping, and a row's codes come back
+        as a map. Row numbers are stored with the rows, so a task that is run again finds the same."""
+        rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "encoder-rows")
+        entries = [F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value")) for c in columns]
+        values = unpivot_structs(rows, ["_row"], entries).where(F.col("value").isNotNull())
+        own, keys = self.mapping.where(F.col("variable").isin(columns)), ["variable", "value"]
+        met = spread_join(values, own.select(*keys, "code"), keys, "inner", hot_counts(own, keys, "n"))
+        codes = met.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("variable", "code"))).alias("_codes"))
+        joined = rows.join(codes, "_row", "left")
+        return joined.select(*[self._code(F.col(x), F.col("_codes")[x]).alias(x) if x in columns else F.col(x) for x in df.columns])
+
 
 @dataclass(frozen=True)
 class RankCountEncoder:

@@ -139,6 +139,22 @@ def test_long_mapping_uses_the_shuffled_path(spark):
     assert sorted(r.cat for r in other.transform(df).collect()) == sorted(r.cat for r in model.transform(df).collect())
 
 
+def test_several_long_mappings_share_a_join(spark):
+    rng = np.random.default_rng(30)
+    names = np.array(["a", "b", "c", "d", None], object)
+    rows = [(i, *(names[k] for k in rng.integers(0, 5, 3)), "kept") for i in range(300)] * 2
+    df = spark.createDataFrame(rows, "k int, x string, y string, z string, _codes_of string")
+    model = encode.RankCountEncoder(["x", "y", "z"], min_count=115).fit(df)
+    assert model.short_columns == {"x", "y", "z"}
+    for short in ((), ("y",)):
+        long = encode.RankCountModel(model.mapping, ["x", "y", "z"], -999, model.short, frozenset(short))
+        out = long.transform(df)
+        assert out.columns == df.columns
+        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, model.transform(df).collect()))
+        if not short:
+            assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2  # values to codes, codes to rows
+
+
 def test_scalers(df, data):
     scaled = encode.fit_standard(df, ["holes", "flat"]).transform(df).select("k", "holes", "flat").toPandas().set_index("k")
     want = (data.holes - data.holes.mean()) / data.holes.std(ddof=0)

@@ -38,7 +38,8 @@ def ordered_buckets(counted: DataFrame, keys, value: str, most: int = BUCKET_VAL
     stored rows are cut into more ranges. Beyond ``most`` * MOST_BUCKETS rows the buckets grow.
     """
     order = [F.col(k).asc_nulls_first() for k in [*keys, value]]
-    buckets = max(2, int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spark = counted.sparkSession
+    buckets = max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))
     while True:
         stored = stage(counted.repartitionByRange(buckets, *order)
                        .withColumn(BUCKET, F.spark_partition_id().cast("long")), "ordered")

@@ -280,3 +280,14 @@ def test_shadow_test_reads_its_rows_in_few_columns(df, monkeypatch):
     for mixed in made:
         assert mixed.columns == ["y", *FEATURES, *[f"shadow_{f}" for f in FEATURES]]
         assert "Window" not in mixed._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_fits_of_large_tables_follow_their_rows(df, monkeypatch):
+    """A task of a fit holds a bounded number of rows; small tables stay as they are."""
+    assert train.spread_rows(df).rdd.getNumPartitions() == df.rdd.getNumPartitions()
+    monkeypatch.setattr(train, "FIT_ROWS", 150)
+    spread = train.spread_rows(df)
+    assert spread.rdd.getNumPartitions() == 20 and spread.count() == 3000
+    assert max(spread.rdd.glom().map(len).collect()) <= 160
+    fitted = train.fit_classifier(df.where("sample = 'train'"), FEATURES, "y", "lgbm", TREES)
+    assert fitted.importance()[0][0] == SIGNAL

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorekit.llm import decontam, mixing, nearcopies, quality, tokens
+from scorekit.llm import decontam, mixing, nearcopies, quality, simhash, tokens
 from scorekit.llm.common import load, python_workers, shared_path, stage
 from scorekit.llm.queries import END_ID, KEEP, tokenizer_path, training_labels
 
@@ -24,9 +24,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: 5-word shingles, Jaccard similarity 0.8 or more."""
+    """One document of each class of near copies: 5-word shingles, Jaccard similarity 0.8 or more. Candidates are the
+    classes of fingerprints by distances to pivots, as op7 finds them, and the bands of MinHash; all are confirmed exactly."""
     python_workers(spark)
-    return nearcopies.deduplicate(docs)
+    return nearcopies.deduplicate(docs, candidates=simhash.classes(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

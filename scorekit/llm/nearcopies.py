@@ -151,13 +151,14 @@ def _own_block() -> Column:
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-            similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+            similarity: float = SIMILARITY, block: int = BLOCK, candidates: DataFrame | None = None) -> DataFrame:
     """One row per input row: key, digest (of the text), fp (stands for the shingle set), component: the
     smallest key of the class, root.
 
     Texts without words are of one class. Null keys are members of their class but never its name, unless
     it has no other. Repeated rows stay repeated. Only the two columns are read; an empty table gives no
-    rows. MinHash is laid out for a similarity of 0.8 or more.
+    rows. MinHash is laid out for a similarity of 0.8 or more. ``candidates`` (digest, root) are classes of
+    another method: texts of one root are compared too, and link if their sets are similar.
     """
     content = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = stage(docs.select(F.col(key).alias("key"), F.md5(content).alias("digest"), _sketch_of(F.col(text), shingle).alias("s"))
@@ -165,6 +166,10 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: i
     members = stage(rows.groupBy("fp").agg(F.min("key").alias("first"), F.min(F.struct("key", "digest")).alias("one"),
                                            F.first("size").alias("size"), F.first("keys").alias("keys")), "near-members")
     keyed = members.select("fp", "size", F.posexplode("keys").alias("band", "key"))
+    if candidates is not None:
+        other = candidates.select("digest", F.xxhash64(F.lit("class"), "root").alias("key")).distinct()
+        keyed = keyed.unionByName(rows.select("digest", "fp", "size").distinct().join(other, "digest")
+                                  .select("fp", "size", F.lit(BANDS).alias("band"), "key").distinct())
     shared = (keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("band").alias("band"), F.sum("size").alias("total"),
                                        F.min("fp").alias("least"), F.bit_xor(F.xxhash64("fp")).alias("who")).where("n > 1"))
     blocks = F.ceil(F.greatest(F.col("n") / block, F.col("total") / BLOCK_SHINGLES)).cast("int")

@@ -248,3 +248,25 @@ def test_search_over_long_vectors_is_exact(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = topk.search(table, F.col("id") % 10 == 0, 5)
     assert sorted(tuple(r) for r in got.collect()) == best_of(rows[:60], 5, 10)
+
+
+def test_candidates_of_another_method_are_confirmed(spark):
+    """At a similarity that MinHash is not laid out for, pairs are found if another method names them, and no others."""
+    random.seed(9)
+    texts = []
+    for n in range(12):
+        base = [f"b{n}x{i}" for i in range(40)]
+        texts += [" ".join(base), " ".join([*base[:26], *[f"c{n}x{i}" for i in range(14)]]), " ".join(f"d{n}x{i}" for i in range(40))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    named = docs.selectExpr("md5(cast(text as binary)) AS digest", "doc_id div 3 AS root")
+    at = lambda **more: {r["key"]: r["component"] for r in nearcopies.classes(docs, similarity=0.4, **more).collect()}
+    assert at(candidates=named) == dict(enumerate(similar_roots(texts, 0.4)))
+    assert at() != at(candidates=named)
+
+
+def test_pipeline_asks_the_pivot_tables(spark, monkeypatch):
+    asked, real = [], simhash.classes
+    monkeypatch.setattr(simhash, "classes", lambda *a: asked.append(a) or real(*a))
+    docs = spark.createDataFrame([(1, "one two three"), (2, "one  TWO three"), (3, None)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [1, 3]
+    assert len(asked) == 1

@@ -257,3 +257,10 @@ def test_fits_of_large_tables_follow_their_rows(df, monkeypatch):
     assert max(spread.rdd.glom().map(len).collect()) <= 160
     fitted = train.fit_classifier(df.where("sample = 'train'"), FEATURES, "y", "lgbm", TREES)
     assert fitted.importance()[0][0] == SIGNAL
+
+
+def test_fits_count_the_rows_of_their_tasks(df, monkeypatch):
+    """What a task holds decides, not how many tasks the session could have."""
+    monkeypatch.setattr(train, "FIT_ROWS", 1000)
+    spread = train.spread_rows(df.coalesce(1))
+    assert spread.rdd.getNumPartitions() == 3 and max(spread.rdd.glom().map(len).collect()) <= 1010

@@ -268,3 +268,30 @@ def test_quantile_transform_matches_two_sided_interpolation(spark):
         rows = fitted.transform(spark.createDataFrame([(float(v),) for v in probe], "x double"), "x").collect()
         got = {r.x: r.calibrated_prob for r in rows}
         assert np.allclose([got[v] for v in probe], want, atol=1e-9)
+
+
+def test_spearman_ranks_wide_rows(spark, monkeypatch):
+    """Ranks of hot values, holes, both zeros and infinities equal pandas', whether a column is sorted or counted; no value meets
+    its rank in a join."""
+    rng = np.random.default_rng(5)
+    n = 3000
+    x = rng.normal(size=n)
+    pdf = pd.DataFrame({"fine": x, "hot": np.where(rng.random(n) < 0.4, 0.0, x + rng.normal(size=n)), "flags": rng.integers(0, 2, n) * 1.0,
+                        "signs": rng.choice([-0.0, 0.0, 1.0], n), "holes": np.where(rng.random(n) < 0.3, np.nan, -x),
+                        "ends": np.where(rng.random(n) < 0.1, np.inf, np.round(x, 1)), "gone": np.full(n, np.nan)})
+    columns = list(pdf.columns)
+    table = spark.createDataFrame(pdf).repartition(3).cache()
+    expected = pdf.replace([np.inf, -np.inf], np.nan).rank().corr()
+
+    def check():
+        for r in profile.spearman_pairs(table, columns).collect():
+            want = expected.loc[r.feature_1, r.feature_2]
+            assert (r.r is None) if np.isnan(want) else r.r == pytest.approx(want, abs=1e-10)
+    with monkeypatch.context() as patch:
+        patch.setattr(profile, "SORTED_COLUMNS", 0)
+        check()
+    monkeypatch.setattr(profile, "RANK_CELLS", 30)
+    monkeypatch.setattr(profile, "EDGE_ROWS", 500)
+    monkeypatch.setattr(profile, "spread_join", None)
+    check()
+    assert profile.spearman_pairs(table.limit(0), columns).where("r IS NOT NULL").count() == 0

@@ -10,11 +10,12 @@ descent does not see.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ from scorekit.llm.common import hash_share
 
 FIT_ROWS = 12_000  # labelled documents per fit
 BITS = 16  # log2 of the number of hashed features
+NUMBER = np.dtype("<u2")  # a feature number as the fit keeps it
 BYTE_GRAMS = (2, 4)
 SHAPE_GRAMS = (2, 3, 5)
 SMOOTHING = 1.0
@@ -101,7 +103,20 @@ class Model(NamedTuple):
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -500, 500))))
 
 
-def descend(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: np.ndarray, dim: int,
+class Made(Sequence):
+    """A sequence of arrays that are made of others whenever they are asked for, so that only the others are held."""
+
+    def __init__(self, of: Sequence[np.ndarray], make: Callable[[np.ndarray], np.ndarray]):
+        self.of, self.make = of, make
+
+    def __len__(self) -> int:
+        return len(self.of)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.make(self.of[i])
+
+
+def descend(rows: Sequence[np.ndarray], values: Sequence[np.ndarray], y: np.ndarray, cost: np.ndarray, dim: int,
             passes: int = PASSES, seed: int = 1) -> np.ndarray:
     """Weights of the hinge-loss model, by dual coordinate descent; the last feature is the bias.
 
@@ -144,9 +159,10 @@ def _calibrated(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(beta[0]), 1e-3), float(beta[1])
 
 
-def fit_rows(found: list[np.ndarray], labels: np.ndarray) -> Model:
+def fit_rows(found: Sequence[np.ndarray], labels: np.ndarray) -> Model:
     """Fit on feature rows with labels 0 and 1. With one class only, or no rows, every score is the share
-    of label 1 (0.5 without rows). Of each class, every CALIBRATION-th row calibrates and the others train."""
+    of label 1 (0.5 without rows). Of each class, every CALIBRATION-th row calibrates and the others train. Beside the
+    rows as given nothing is held that grows with them."""
     dim = 1 << BITS
     y = np.where(labels > 0, 1.0, -1.0)
     share = (float((y > 0).sum()) + 0.5) / (len(y) + 1)
@@ -165,11 +181,13 @@ def fit_rows(found: list[np.ndarray], labels: np.ndarray) -> Model:
         v = ratio[at]
         return np.concatenate([v / (float(np.sqrt(v @ v)) or 1.0), [1.0]]).astype(np.float32)
 
-    rows = [np.concatenate([at, [dim]]).astype(np.int32) for at in found]
-    values = [scaled(at) for at in found]
+    def placed(at: np.ndarray) -> np.ndarray:
+        return np.concatenate([at, [dim]])
+
     balance = np.where(y > 0, len(train) / (2 * (y[train] > 0).sum()), len(train) / (2 * (y[train] < 0).sum()))
-    weights = descend([rows[i] for i in train], [values[i] for i in train], y[train], COST * balance[train], dim + 1)
-    margins = np.array([float(weights[rows[i]] @ values[i]) for i in np.flatnonzero(held)])
+    own = [found[i] for i in train]
+    weights = descend(Made(own, placed), Made(own, scaled), y[train], COST * balance[train], dim + 1)
+    margins = np.array([float(weights[placed(found[i])] @ scaled(found[i])) for i in np.flatnonzero(held)])
     slope, offset = _calibrated(margins, y[held])
     return Model(weights[:dim] * ratio, ratio ** 2, float(weights[dim]), slope, offset)
 
@@ -191,19 +209,19 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = [features(v.as_py()).astype(np.int32) for v in batch.column("text")]
+            at = [features(v.as_py()).astype(NUMBER).tobytes() for v in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("label").cast(pa.int32()), pa.array(at, pa.list_(pa.int32()))],
+                [batch.column("key"), batch.column("label").cast(pa.int32()), pa.array(at, pa.binary())],
                 ["key", "label", "at"])
 
     kind = dict(docs.dtypes)[key]
     turned = found.select("key", "label", F.col("text").cast("binary").alias("text")).mapInArrow(
-        turn, f"key {kind}, label int, at array<int>")
+        turn, f"key {kind}, label int, at binary")
 
     def learn(table: pa.Table) -> pa.Table:
-        order = table.sort_by("key").combine_chunks()
-        at = [v.values.to_numpy(zero_copy_only=False) for v in order.column("at")]
-        model = fit_rows(at, order.column("label").to_numpy())
+        order = pc.sort_indices(table.column("key")).to_numpy()
+        at = [np.frombuffer(v.as_buffer(), NUMBER) for v in table.column("at")]
+        model = fit_rows([at[i] for i in order], table.column("label").to_numpy()[order])
         return pa.table({"weights": [model.weights], "ratio2": [model.ratio2], "rest": [model[2:]]})
 
     got = turned.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(learn, "weights array<double>, ratio2 array<double>, rest array<double>").first()

@@ -1,6 +1,7 @@
 """Quality classifier and language identification."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -156,3 +157,15 @@ def test_numbers_and_marks_are_no_letters():
         assert not langid.has_letter(text), text
     for text in ("a", "½ ② x", "ª", "漢", "ʰ", "ß", "_é"):
         assert langid.has_letter(text), text
+
+
+def test_quality_fit_holds_little_beside_its_rows():
+    """Rows as long as those of large texts: neither their places nor their values may be kept a second time."""
+    random_ = np.random.default_rng(3)
+    rows = [np.sort(random_.permutation(1 << quality.BITS)[:20_000]).astype(quality.NUMBER) for _ in range(200)]
+    tracemalloc.start()
+    model = quality.fit_rows(rows, np.arange(200) % 2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.isfinite(model.weights).all()
+    assert most < 2 * sum(at.nbytes for at in rows)

@@ -1,6 +1,7 @@
 """Model-driven selection, training and the three jobs on small data with a known answer."""
 
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from scorekit import session
 from scorekit.functions.feature_names import LIQUIDITY
 from scorekit.operators import enrich, select, train
 from scorekit.plans import build_abt as abt
@@ -276,3 +278,12 @@ def test_report_prepares_every_kind_once(df, monkeypatch):
                                            spaces={"lgbm": space, "logit": lambda rng: {"maxIter": 5}})
     assert made == ["lgbm", "logit"]
     assert set(tables["scored"].columns) == {*df.columns, "PROBA", "PRED"} and tables["scored"].count() == df.count()
+
+
+def test_even_tables_follow_their_rows(df, monkeypatch):
+    """Neither the session's partitions nor its cores bound what a task deals out, only the rows do."""
+    monkeypatch.setattr(session, "EVEN_ROWS", 100)
+    rows, fewest = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    table = train.vector_table(df, FEATURES, ["y", "sample"]).rows
+    held = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
+    assert sum(held) == rows and len(held) == math.ceil(rows / 100) > fewest and max(held) <= 110

@@ -287,3 +287,35 @@ def test_even_tables_follow_their_rows(df, monkeypatch):
     table = train.vector_table(df, FEATURES, ["y", "sample"]).rows
     held = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
     assert sum(held) == rows and len(held) == math.ceil(rows / 100) > fewest and max(held) <= 110
+
+
+@pytest.mark.parametrize("loop", ["search", "curve"])
+def test_fits_of_a_loop_find_their_rows_in_the_same_places(df, monkeypatch, loop):
+    """Where rows are dealt anew, tasks hold a bounded number of them, and which features a fit takes does not move them."""
+    monkeypatch.setattr(train, "FIT_ROWS", 100)
+    held, make = [], train.make_classifier
+
+    class Recorder:
+        def __init__(self, *args):
+            self.estimator = make(*args)
+
+        def fit(self, data):
+            held.append(data.rdd.map(lambda r: (float(r[train.VECTOR][0]), r["y"])).glom().collect())
+            return self.estimator.fit(data)
+
+    monkeypatch.setattr(train, "make_classifier", Recorder)
+    if loop == "curve":
+        select.progressive_curve(df, FEATURES, "y", params=TREES)
+    else:
+        train.random_search(df, FEATURES, "y", "lgbm", 2, space=lambda rng: {"maxIter": rng.randint(2, 3), "maxDepth": 2})
+    rows = df.where("sample = 'train'").count()
+    assert len(held) > 2 and sum(map(len, held[0])) == rows and max(map(len, held[0])) <= 110
+    assert all(h == held[0] for h in held[1:])
+
+
+def test_dealt_rows_have_an_order_of_their_own(df, monkeypatch):
+    """The order in which a task gets its rows does not reach the fit."""
+    monkeypatch.setattr(train, "FIT_ROWS", 1000)
+    dealt = train.spread_rows(df.select("k", SIGNAL).coalesce(1))
+    marks = [[r[0] for r in part] for part in dealt.select(F.xxhash64("k", SIGNAL)).rdd.glom().collect()]
+    assert len(marks) == 3 and all(m == sorted(m) for m in marks)

@@ -319,3 +319,39 @@ def test_dealt_rows_have_an_order_of_their_own(df, monkeypatch):
     dealt = train.spread_rows(df.select("k", SIGNAL).coalesce(1))
     marks = [[r[0] for r in part] for part in dealt.select(F.xxhash64("k", SIGNAL)).rdd.glom().collect()]
     assert len(marks) == 3 and all(m == sorted(m) for m in marks)
+
+
+def test_spread_copies_equal_those_of_the_window(df, monkeypatch):
+    """Large tables exchange values in batches, with the same copies whatever the batches cut: gaps, repeated and missing keys."""
+    odd = df.select(F.when(F.col("k") % 50 != 0, F.col("k") % 2900).alias("k"), "y", SIGNAL,
+                    F.when(F.col("k") % 7 != 0, F.col(NOISE)).alias(NOISE), F.lit(float("nan")).alias("noise2"))
+    monkeypatch.setattr(select, "GROUP_ROWS", 300)
+    monkeypatch.setattr(select, "FIT_ROWS", 500)
+    monkeypatch.setattr(select, "PERIOD", 12)
+    names = ["k", "y", *FEATURES, *[f"shadow_{f}" for f in FEATURES]]
+    ordered = odd.withColumn("place", F.col(SIGNAL))  # rows of one key stand in an order of their own
+    was = select.shuffled_copies(ordered, FEATURES, ["k", "place"], 5).withColumn("noise2", train.finite("noise2")).select(*names)
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "70")
+    try:
+        now = select.spread_copies(ordered, FEATURES, ["k", "place"], 5, ["k", "y"], odd.count()).select(*names)
+        assert now.rdd.getNumPartitions() == 9
+        assert sorted(map(repr, now.collect())) == sorted(map(repr, was.collect()))
+    finally:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_shadow_rounds_of_large_tables_are_dealt_once(df, monkeypatch):
+    """Rounds of a large table fit on the tasks that exchanged its values: nothing is stored, nor dealt again."""
+    part = df.where("sample = 'train'")
+    small = {r.feature: r.hits for r in select.all_relevant(part, FEATURES, "y", ["k"], rounds=3, params={"numTrees": 5, "maxDepth": 3}).collect()}
+    monkeypatch.setattr(train, "FIT_ROWS", 300)
+    monkeypatch.setattr(select, "FIT_ROWS", 300)
+    monkeypatch.setattr(select, "GROUP_ROWS", 20)
+    monkeypatch.setattr(select, "vector_table", None)
+    held, real = [], train.spread_rows
+    monkeypatch.setattr(train, "spread_rows", lambda rows: held.append((rows, real(rows))) or held[-1][1])
+    large = {r.feature: r.hits for r in select.all_relevant(part, FEATURES, "y", ["k"], rounds=3, params={"numTrees": 5, "maxDepth": 3}).collect()}
+    assert len(held) == 3 and all(a is b for a, b in held)
+    assert large[SIGNAL] == small[SIGNAL] == 3

@@ -355,3 +355,26 @@ def test_shadow_rounds_of_large_tables_are_dealt_once(df, monkeypatch):
     large = {r.feature: r.hits for r in select.all_relevant(part, FEATURES, "y", ["k"], rounds=3, params={"numTrees": 5, "maxDepth": 3}).collect()}
     assert len(held) == 3 and all(a is b for a, b in held)
     assert large[SIGNAL] == small[SIGNAL] == 3
+
+
+@pytest.mark.parametrize("loop", ["search", "curve", "forward", "recursive", "drift"])
+def test_loops_deal_their_rows_once(df, monkeypatch, loop):
+    """The fits of a loop read rows that were dealt before it, and leave nothing kept."""
+    monkeypatch.setattr(train, "FIT_ROWS", 100)
+    dealt, real = [], train.spread_rows
+    monkeypatch.setattr(train, "spread_rows", lambda rows: dealt.append(1) or real(rows))
+    kept = df.sparkSession.sparkContext._jsc.getPersistentRDDs
+    before = set(kept())
+    if loop == "search":
+        train.random_search(df, FEATURES, "y", "lgbm", 2, space=lambda rng: {"maxIter": 2, "maxDepth": 2})
+    elif loop == "curve":
+        select.progressive_curve(df, FEATURES, "y", params=TREES)
+    elif loop == "forward":
+        select.forward_selection(df, FEATURES, "y", params=TREES)
+    elif loop == "recursive":
+        assert select.recursive_elimination(df, FEATURES, "y", [1], params=TREES)["catboost_top1"] == [SIGNAL]
+    else:
+        older, recent = df.where("month < '2023-06-01'"), df.where("month >= '2023-06-01'")
+        select.drift_elimination(older, recent, df.where("sample = 'test'"), [*FEATURES, "drifts"], "y", params=TREES, max_rounds=2)
+    assert len(dealt) == (2 if loop == "drift" else 1)
+    assert set(kept()) == before
